@@ -7,8 +7,19 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "string": T.StringType(), "double": T.DoubleType(), "smallint": T.ShortType(), "int": T.IntegerType(),
+    "date": T.DateType(), "timestamp": T.TimestampType(), "boolean": T.BooleanType(),
+    "decimal(12,2)": T.DecimalType(12, 2), "decimal(6,5)": T.DecimalType(6, 5),
+    "bigint": T.LongType(), "decimal(18,1)": T.DecimalType(18, 1), "decimal(18,2)": T.DecimalType(18, 2),
+    "decimal(18,3)": T.DecimalType(18, 3), "decimal(5,2)": T.DecimalType(5, 2), "decimal(6,4)": T.DecimalType(6, 4),
+}
+
+
 def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Fields written as ``name type, name type``; needs no running session."""
+    fields = [f.split(" ") for f in spec.split(", ")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in fields])
 
 
 @dataclass(frozen=True)
@@ -71,6 +82,20 @@ STAR = {
     ),
 }
 
+FEATURES = TableSpec(
+    schema=_struct(
+        "transaction_id string, customer_id string, txn_timestamp timestamp, amount decimal(12,2), "
+        "merchant_category string, channel string, customer_txn_seq bigint, "
+        "avg_amount_7d decimal(18,2), avg_amount_30d decimal(18,2), "
+        "amount_to_avg_7d_ratio decimal(18,3), amount_to_avg_30d_ratio decimal(18,3), "
+        "txn_count_1h bigint, txn_count_24h bigint, amount_sum_1h decimal(18,2), amount_sum_24h decimal(18,2), "
+        "minutes_since_prev_txn decimal(18,1), km_from_prev_txn decimal(18,1), geo_velocity_kmh decimal(18,1), "
+        "km_from_home decimal(18,1), device_age_hours decimal(18,2), hour_of_day smallint, day_of_week smallint, "
+        "is_night boolean, is_online boolean, is_fraud boolean"
+    ),
+    key=("transaction_id",),
+)
+
 SCORES = TableSpec(
     schema=_struct(
         "transaction_id string, model_version string, scored_at timestamp, dataset_split string, "
