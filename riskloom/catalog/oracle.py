@@ -475,6 +475,30 @@ _sql(
         FROM feats, (SELECT median(km_from_home) AS mid, max(km_from_home) AS top FROM feats WHERE {_SPLIT} = 'train')""",
 )
 
+_PLAIN = (
+    "amount", "customer_txn_seq", "txn_count_1h", "txn_count_24h", "amount_sum_1h", "amount_sum_24h", "km_from_home",
+    "device_age_hours", "hour_of_day", "day_of_week",
+)
+_FILLED = {
+    "avg_amount_7d": "amount", "avg_amount_30d": "amount", "amount_to_avg_7d_ratio": "1", "amount_to_avg_30d_ratio": "1",
+    "minutes_since_prev_txn": "43200", "km_from_prev_txn": "0", "geo_velocity_kmh": "0",
+}
+_sql(
+    "model_matrix",
+    "SELECT transaction_id, "
+    + ", ".join(
+        [f"CAST({c} AS DOUBLE) AS {c}" for c in _PLAIN]
+        + [f"coalesce(CAST({c} AS DOUBLE), CAST({v} AS DOUBLE)) AS {c}" for c, v in _FILLED.items()]
+        + [f"CAST(CAST({c} AS INTEGER) AS DOUBLE) AS {c}" for c in ("is_night", "is_online")]
+        + ["CASE WHEN avg_amount_30d IS NULL THEN CAST(0 AS DOUBLE) ELSE CAST(1 AS DOUBLE) END AS has_history"]
+        + [
+            f"CASE WHEN merchant_category = '{c}' THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS cat_{c}"
+            for c in MERCHANT_CATEGORIES
+        ]
+    )
+    + " FROM feats",
+)
+
 # ------------------------------------------------------------------ evaluation
 
 _sql("roc_auc", "SELECT model, roc_auc FROM ranking")

@@ -15,11 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.exact import round_half_even
+from riskloom.models import boost, forest, matrix
+from riskloom.models.trees import feature_importance
 from riskloom.operators import calendar as cal
 from riskloom.operators import integrity
 from riskloom.operators.history import rolling
 from riskloom.operators.ordering import dense_key, exact_quantiles
-from riskloom.plans import bi, evaluate, export, scoring, tiles, validation
+from riskloom.plans import bi, evaluate, export, pipeline, scoring, tiles, validation
 from riskloom.plans.features import features
 from riskloom.plans.measures import between, summarize
 from riskloom.sources import star, testdata
@@ -304,6 +306,72 @@ def anomaly_scaling(spark, sf_dir):
     return raw.select("transaction_id", round_half_even(scaled * 100).cast("bigint").alias("hundredths"))
 
 
+@query
+def model_matrix(spark, sf_dir):
+    return matrix.model_matrix(_features(spark, sf_dir))
+
+
+# ---------------------------------------------------- fitted models (no SQL form)
+
+# Small ensembles, so that every registered query ends in seconds; all rows are
+# fitted on and scored. The pipeline's own defaults are the full sizes.
+SMALL = pipeline.Settings(
+    valid_start=testdata.VALID_START,
+    test_start=testdata.TEST_START,
+    forest_trees=100,
+    forest_sample=1_024,
+    boost_trees=20,
+    boost_patience=5,
+    learning_rate=0.2,
+)
+
+
+def _matrix(spark, sf_dir):
+    return pipeline.training_matrix(_features(spark, sf_dir), SMALL)
+
+
+@query
+def isolation_scores(spark, sf_dir):
+    made, columns = _matrix(spark, sf_dir)
+    train = made.filter("dataset_split = 'train'")
+    model = forest.fit_forest(train, columns, trees=SMALL.forest_trees, sample=SMALL.forest_sample)
+    return forest.score_forest(made, model).select("transaction_id", "dataset_split", "isolation_anomaly_score")
+
+
+def _boosted(spark, sf_dir):
+    made, columns = _matrix(spark, sf_dir)
+    parts = [made.filter(F.col("dataset_split") == part) for part in ("train", "valid")]
+    model = boost.fit_boost(
+        *parts, columns, max_trees=SMALL.boost_trees, patience=SMALL.boost_patience, learning_rate=SMALL.learning_rate
+    )
+    return made, model
+
+
+@query
+def boosted_scores(spark, sf_dir):
+    made, model = _boosted(spark, sf_dir)
+    return boost.score_boost(made, model).select("transaction_id", "dataset_split", "xgb_fraud_probability")
+
+
+@query
+def feature_importances(spark, sf_dir):
+    return feature_importance(_boosted(spark, sf_dir)[1], spark)
+
+
+@query
+def top_features(spark, sf_dir):
+    return feature_importance(_boosted(spark, sf_dir)[1], spark).limit(10)
+
+
+@query
+def fitted_performance(spark, sf_dir):
+    """Test-period metrics of the fitted models, as published."""
+    made, columns = _matrix(spark, sf_dir)
+    scores = materialize(pipeline.score(made, *pipeline.fit(made, columns, SMALL)), "scores")
+    tested = materialize(pipeline.test_rows(scores, testdata.transactions(spark, sf_dir)), "scored_test")
+    return evaluate.model_performance(evaluate.evaluate(evaluate.policies(tested)))
+
+
 # ------------------------------------------------------------------ evaluation
 
 

@@ -49,10 +49,11 @@ def dense_key(df: DataFrame, order: Sequence[Column | str], name: str, start: in
 _BINS_PER_LOG = 256
 
 
-def value_bin(value: Column) -> Column:
+def value_bin(value: Column, finer: int = 1) -> Column:
     """Monotone bin of a number; all doubles fall in under 400,000 bins, the
-    usual amounts and scores in a few thousand."""
-    size = F.floor(F.log1p(F.abs(value)) * _BINS_PER_LOG)
+    usual amounts and scores in a few thousand. ``finer``, a power of two, cuts
+    each bin into that many."""
+    size = F.floor(F.log1p(F.abs(value)) * F.lit(float(_BINS_PER_LOG * finer)))
     return F.when(value < 0, -size).otherwise(size)
 
 
@@ -93,37 +94,73 @@ def running_totals(
     )
 
 
+# Sub-bins per bin, one level down, in the search for a quantile.
+_SUB_BINS = 4_096
+
+
 def exact_quantiles(
     df: DataFrame, groups: Sequence[str], values: Sequence[str], q: float | Column = 0.5
 ) -> DataFrame:
     """Exact quantile of each value column per group, linearly interpolated,
     NULLs skipped; output columns keep the value names, as doubles.
 
-    Rows shrink to one count per distinct (group, column, value) before the
-    shuffle, so a group with most of the rows costs no more than its distinct
-    values, spread over tasks by :func:`running_totals`.
+    The two neighbouring ranks are searched in three passes: counts per value
+    bin, counts per sub-bin of the bin that holds the rank, counts per distinct
+    value of that sub-bin. Each pass combines counts before the shuffle, so a
+    group with most of the rows costs no more than any other. ``df`` is read
+    once per pass; pass a stored table.
     """
     groups = list(groups)
     q = F.lit(float(q)) if isinstance(q, (int, float)) else q
     pairs = F.array(*[F.struct(F.lit(v).alias("m"), F.col(v).cast("double").alias("x")) for v in values])
-    hist = (
+    keys = [*groups, "_metric"]
+    spot = F.col("_x")
+    long = (
         df.select(*groups, F.explode(pairs).alias("p"))
         .select(*groups, F.col("p.m").alias("_metric"), F.col("p.x").alias("_x"))
-        .filter(F.col("_x").isNotNull())
-        .groupBy(*groups, "_metric", "_x")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(spot.isNotNull())
+        .withColumn("_bin", value_bin(spot))
+        .withColumn("_sub", value_bin(spot, _SUB_BINS))
     )
-    spot = q * (F.col("_n_all") - F.lit(1))
+
+    def locate(counts: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
+        """Rows of ``counts`` whose running total first passes the rank."""
+        order = Window.partitionBy(*by).orderBy(key)
+        upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return (
+            counts.withColumn("_upto", F.col("_before") + upto)
+            .filter((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")))
+            .withColumn("_before", F.col("_upto") - F.col("_n"))
+        )
+
+    def within(targets: DataFrame, key: str) -> DataFrame:
+        """Values in the located bins; the hint only behind a count of the bins."""
+        fixed = materialize(targets.select(*keys, "_end", "_rank", "_part", "_before", key), "quantile_bins")
+        side = F.broadcast(fixed) if fixed.count() <= BROADCAST_ROWS else fixed
+        match = _same("v", "t", keys) & (F.col(f"v.{key}") == F.col(f"t.{key}"))
+        return long.alias("v").join(side.alias("t"), match).select(
+            "v.*", *[f"t.{c}" for c in ("_end", "_rank", "_part", "_before")]
+        )
+
+    bins = long.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    exact = q * (F.sum("_n").over(Window.partitionBy(*keys)) - F.lit(1))
+    ends = F.array(*[F.struct(F.lit(i).alias("e"), f("_exact").alias("r")) for i, f in enumerate((F.floor, F.ceil))])
     ranked = (
-        running_totals(hist, [*groups, "_metric"], "_x", ["_n"])
-        .withColumn("_spot", spot)
-        .withColumn("_low", F.floor("_spot"))
-        .withColumn("_high", F.ceil("_spot"))
+        bins.withColumn("_exact", exact)
+        .withColumn("_part", F.col("_exact") - F.floor("_exact"))
+        .withColumn("_before", F.lit(0).cast("bigint"))
+        .select("*", F.explode(ends).alias("end"))
+        .select("*", F.col("end.e").alias("_end"), F.col("end.r").alias("_rank"))
     )
-    ends = ranked.groupBy(*groups, "_metric").agg(
-        F.min(F.when(F.col("_n_upto") > F.col("_low"), F.col("_x"))).alias("_a"),
-        F.min(F.when(F.col("_n_upto") > F.col("_high"), F.col("_x"))).alias("_b"),
-        F.max(F.col("_spot") - F.col("_low")).alias("_f"),
+    by = [*keys, "_end"]
+    carried = [F.first(c).alias(c) for c in ("_rank", "_part", "_before")]
+    count = F.count(F.lit(1)).alias("_n")
+    subs = within(locate(ranked, "_bin", by), "_bin").groupBy(*by, "_sub").agg(count, *carried)
+    found = within(locate(subs, "_sub", by), "_sub").groupBy(*by, "_x").agg(count, *carried)
+    ends_found = locate(found, "_x", by).groupBy(*keys).agg(
+        F.max(F.when(F.col("_end") == 0, F.col("_x"))).alias("_a"),
+        F.max(F.when(F.col("_end") == 1, F.col("_x"))).alias("_b"),
+        F.max("_part").alias("_f"),
     )
     point = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")
-    return ends.groupBy(*groups).agg(*[F.max(F.when(F.col("_metric") == v, point)).alias(v) for v in values])
+    return ends_found.groupBy(*groups).agg(*[F.max(F.when(F.col("_metric") == v, point)).alias(v) for v in values])

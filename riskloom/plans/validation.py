@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.geo import haversine_km
 from riskloom.operators.ordering import exact_quantiles
+from riskloom.storage import materialize
 
 MEDIANS = {
     "amount": "med_amount",
@@ -28,6 +30,7 @@ def feature_validation(features: DataFrame, fact: DataFrame) -> DataFrame:
     exact medians and the share of night rows per scenario, largest first."""
     scenario = fact.select("transaction_id", F.coalesce("fraud_scenario", F.lit("legit")).alias("scenario"))
     rows = features.select("transaction_id", "is_night", *MEDIANS).join(scenario, "transaction_id")
+    rows = materialize(rows.drop("transaction_id"), "validation")
     sizes = rows.groupBy("scenario").agg(
         F.count(F.lit(1)).alias("txns"),
         share(F.count_if("is_night"), F.count(F.lit(1)), 3).cast("decimal(6,3)").alias("night_share"),
@@ -83,8 +86,6 @@ def city_distances(fact: DataFrame, customers: DataFrame, min_km: float = 800.0)
     """Home city and purchase city at least ``min_km`` apart, with their
     distance and the transactions between them. Only pairs that occur are
     formed: transactions are counted per pair before any city is looked up."""
-    from riskloom.functions.geo import haversine_km
-
     homes = customers.select("customer_id", "home_city")
     pairs = (
         fact.groupBy("customer_id", "city").agg(F.count(F.lit(1)).alias("n"))
