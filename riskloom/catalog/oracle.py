@@ -78,11 +78,11 @@ WINDOW q AS (PARTITION BY customer_id ORDER BY txn_timestamp, transaction_id),
 
 
 def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
-    return (
-        f"2 * CAST(6371.0 AS DOUBLE) * asin(least(CAST(1.0 AS DOUBLE), sqrt("
-        f"power(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
-        f" * power(sin(radians({lon2} - {lon1}) / 2), 2))))"
+    root = (
+        f"sqrt(power(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * cos(radians({lat2}))"
+        f" * power(sin(radians({lon2} - {lon1}) / 2), 2))"
     )
+    return f"2 * CAST(6371.0 AS DOUBLE) * asin(CASE WHEN {root} > 1 THEN CAST(1.0 AS DOUBLE) ELSE {root} END)"
 
 
 PARTS["deltas"] = f"""
