@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exact import round_half_even
 from riskloom.models import boost, forest, matrix
-from riskloom.models.trees import feature_importance
+from riskloom.models.trees import feature_importance as gain_share
 from riskloom.operators import calendar as cal
 from riskloom.operators import integrity
 from riskloom.operators.history import rolling
@@ -354,13 +354,13 @@ def boosted_scores(spark, sf_dir):
 
 
 @query
-def feature_importances(spark, sf_dir):
-    return feature_importance(_boosted(spark, sf_dir)[1], spark)
+def feature_importance(spark, sf_dir):
+    return gain_share(_boosted(spark, sf_dir)[1], spark)
 
 
 @query
 def top_features(spark, sf_dir):
-    return feature_importance(_boosted(spark, sf_dir)[1], spark).limit(10)
+    return gain_share(_boosted(spark, sf_dir)[1], spark).limit(10)
 
 
 @query

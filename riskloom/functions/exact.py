@@ -11,16 +11,16 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # 2000 * a * b stays inside a 64-bit integer, with room for one more term.
-_PRODUCT_LIMIT = 4_000_000_000_000_000
+_PRODUCT_LIMIT = 4e15
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def idiv(a: Column, b: Column) -> Column:
-    """Integer quotient (toward zero); NULL when the divisor is 0."""
-    return F.call_function("div", a, F.nullif(b, F.lit(0).cast("bigint")))
+def _div(a: Column, b: Column) -> Column:
+    """Integer quotient, toward zero."""
+    return F.call_function("div", a, b)
 
 
 def cents(amount: Column | str) -> Column:
@@ -34,27 +34,23 @@ def scaled(units: Column, digits: int) -> Column:
 
 
 def mean_cents(total: Column, count: Column) -> Column:
-    """total / count in whole cents, half up, for non-negative totals."""
-    return idiv(F.lit(2) * total + count, F.lit(2) * count)
+    """total / count in whole cents, half up, for non-negative totals; NULL without rows."""
+    return F.when(count > 0, _div(F.lit(2) * total + count, F.lit(2) * count))
 
 
 def ratio_milli(value: Column, total: Column, count: Column) -> Column:
-    """value / (total / count) in thousandths, half up. Products beyond 64 bits
-    (a very busy customer) go through 38-digit decimals instead."""
-    small = value <= F.call_function("div", F.lit(_PRODUCT_LIMIT), F.greatest(count, F.lit(1).cast("bigint")))
-    wide = lambda c: c.cast("decimal(19,0)")
-    exact = F.call_function(
-        "div",
-        (F.lit(2000).cast("decimal(4,0)") * wide(value)).cast("decimal(19,0)") * wide(count) + wide(total),
-        F.nullif((F.lit(2).cast("decimal(1,0)") * wide(total)).cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)")),
-    )
-    quick = idiv(F.lit(2000) * value * count + total, F.lit(2) * total)
-    return F.when(small, quick).otherwise(exact)
+    """value / (total / count) in thousandths, half up, for positive values;
+    NULL without a total. Products beyond 64 bits (billions of rows in a frame)
+    fall back to doubles, good to fifteen digits."""
+    fits = value * F.lit(1.0) * count <= _PRODUCT_LIMIT
+    exact = _div(F.lit(2000) * value * count + total, F.lit(2) * total)
+    close = F.floor(value / total * count * F.lit(1000.0) + F.lit(0.5))
+    return F.when(total > 0, F.when(fits, exact).otherwise(close))
 
 
 def elapsed_units(micros: Column, unit_micros: int) -> Column:
     """Non-negative microseconds in whole units, half up."""
-    return F.call_function("div", micros + F.lit(unit_micros // 2), F.lit(unit_micros).cast("bigint"))
+    return _div(micros + F.lit(unit_micros // 2), F.lit(unit_micros).cast("bigint"))
 
 
 def micros(ts: Column | str) -> Column:

@@ -47,9 +47,9 @@ def with_history(
     df: DataFrame,
     *,
     key: str,
-    ts: str,
+    us: str,
     row_id: str,
-    value: Column,
+    value: str,
     frames: Mapping[str, int],
     previous: Sequence[str] = (),
     first_use: str | None = None,
@@ -57,86 +57,85 @@ def with_history(
     hot_rows: int = HOT_ROWS,
     slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Adds to every row of ``df``
+    """Adds to every row of ``df``, whose time ``us`` is in microseconds,
 
     * ``sum_<f>``, ``cnt_<f>`` for each frame ``f`` (seconds back, bounds and
-      same-time rows included), over the integer ``value``;
+      same-time rows included), over the integer column ``value``;
     * ``seq``, the 1-based position by (time, row id), and ``prev_<c>`` for the
       columns in ``previous``, from the row before;
     * ``first_use_us``, the earliest time of (key, ``first_use`` column);
     * the columns of ``attributes``, one row per key, joined on the key.
     """
-    rows = df.withColumn("_us", micros(ts)).withColumn("_v", value.cast("bigint"))
     heavy, n_heavy, n_rows = hot_keys(df, key, hot_rows)
-    plain = dict(key=key, row_id=row_id, frames=frames, previous=previous, first_use=first_use)
+    plain = dict(key=key, us=us, value=value, row_id=row_id, frames=frames, previous=previous, first_use=first_use)
     if heavy is None:
-        out = _by_key(rows, **plain)
-        return (out if attributes is None else out.join(attributes, key)).drop("_us", "_v")
+        out = _by_key(df, **plain)
+        return out if attributes is None else out.join(attributes, key)
     heavy = sized(heavy, n_heavy)
-    calm = _by_key(rows.join(heavy, key, "left_anti"), **plain)
+    calm = _by_key(df.join(heavy, key, "left_anti"), **plain)
     slices = max(1, ceil(n_rows * (1 + len(frames)) / slice_rows))
-    busy = _by_slice(rows.join(heavy, key, "left_semi"), slices=slices, n_keys=n_heavy, **plain)
+    busy = _by_slice(df.join(heavy, key, "left_semi"), slices=slices, n_keys=n_heavy, **plain)
     if attributes is not None:
         calm = calm.join(attributes, key)
         busy = busy.join(sized(attributes.join(heavy, key, "left_semi"), n_heavy), key)
-    return calm.unionByName(busy).drop("_us", "_v")
+    return calm.unionByName(busy)
 
 
 def _previous(columns: Sequence[str], take) -> list[Column]:
     return [take(c).alias(f"prev_{c}") for c in columns]
 
 
-def _by_key(rows: DataFrame, *, key, row_id, frames, previous, first_use) -> DataFrame:
+def _by_key(rows: DataFrame, *, key, us, value, row_id, frames, previous, first_use) -> DataFrame:
     # Sequence first: its (time, id) order also serves the time-only frames.
-    seq = Window.partitionBy(key).orderBy("_us", row_id)
+    seq = Window.partitionBy(key).orderBy(us, row_id)
     out = rows.select(
         "*", F.row_number().over(seq).cast("bigint").alias("seq"), *_previous(previous, lambda c: F.lag(c).over(seq))
     )
-    by_time = Window.partitionBy(key).orderBy("_us")
+    by_time = Window.partitionBy(key).orderBy(us)
     upto = by_time.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     one = F.lit(1).cast("bigint")
     totals = []
     for name, seconds in frames.items():
         before = by_time.rangeBetween(Window.unboundedPreceding, -seconds * _SECOND - 1)
         totals += [
-            (F.sum("_v").over(upto) - F.coalesce(F.sum("_v").over(before), F.lit(0))).alias(f"sum_{name}"),
+            (F.sum(value).over(upto) - F.coalesce(F.sum(value).over(before), F.lit(0))).alias(f"sum_{name}"),
             (F.count(one).over(upto) - F.count(one).over(before)).alias(f"cnt_{name}"),
         ]
     out = out.select("*", *totals)
     if first_use:
-        out = out.withColumn("first_use_us", F.min("_us").over(Window.partitionBy(key, first_use)))
+        out = out.withColumn("first_use_us", F.min(us).over(Window.partitionBy(key, first_use)))
     return out
 
 
-def _by_slice(rows: DataFrame, *, key, row_id, frames, previous, first_use, slices, n_keys) -> DataFrame:
+def _by_slice(rows: DataFrame, *, key, us, value, row_id, frames, previous, first_use, slices, n_keys) -> DataFrame:
     names = list(frames)
     exits = F.array(
         *[
-            F.struct(F.lit(i + 1).alias("tag"), (F.col("_us") + F.lit(s * _SECOND + 1)).alias("us"))
+            F.struct(F.lit(i + 1).alias("tag"), (F.col(us) + F.lit(s * _SECOND + 1)).alias("us"))
             for i, s in enumerate(frames.values())
         ]
     )
     events = rows.withColumn("_tag", F.lit(0))
     if names:
-        left = rows.select(key, "_v", F.explode(exits).alias("e")).select(
-            key, "_v", F.col("e.tag").alias("_tag"), F.col("e.us").alias("_us")
+        left = rows.select(key, value, F.explode(exits).alias("e")).select(
+            key, value, F.col("e.tag").alias("_tag"), F.col("e.us").alias(us)
         )
         events = events.unionByName(left, allowMissingColumns=True)
     events = materialize(
-        events.repartitionByRange(slices, key, "_us").withColumn("_slice", F.spark_partition_id()), "slices"
+        events.repartitionByRange(slices, key, us).withColumn("_slice", F.spark_partition_id()), "slices"
     )
 
     is_row = F.col("_tag") == 0
     change = {}
     for i, name in enumerate(names):
         gone = F.col("_tag") == i + 1
-        change[f"sum_{name}"] = F.when(is_row, F.col("_v")).when(gone, -F.col("_v")).otherwise(0)
+        change[f"sum_{name}"] = F.when(is_row, F.col(value)).when(gone, -F.col(value)).otherwise(0)
         change[f"cnt_{name}"] = F.when(is_row, 1).when(gone, -1).otherwise(0).cast("bigint")
     change["seq"] = is_row.cast("bigint")
 
     # What earlier slices of the key hand over: at most one row per slice and key.
     carried = F.struct(*[F.col(c) for c in previous]) if previous else F.struct(F.lit(0).alias("none"))
-    last = F.max_by(F.when(is_row, carried), F.when(is_row, F.struct("_us", row_id)))
+    last = F.max_by(F.when(is_row, carried), F.when(is_row, F.struct(us, row_id)))
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     handed = (
         events.groupBy(key, "_slice")
@@ -149,10 +148,10 @@ def _by_slice(rows: DataFrame, *, key, row_id, frames, previous, first_use, slic
         )
     )
     in_slice = Window.partitionBy(key, "_slice")
-    by_row = in_slice.orderBy("_us", "_tag", row_id)
+    by_row = in_slice.orderBy(us, "_tag", row_id)
     so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     strictly = by_row.rowsBetween(Window.unboundedPreceding, -1)
-    by_time = in_slice.orderBy("_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    by_time = in_slice.orderBy(us).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     local = events.select(
         "*",
         F.sum(change["seq"]).over(so_far).alias("_l_seq"),
@@ -169,7 +168,7 @@ def _by_slice(rows: DataFrame, *, key, row_id, frames, previous, first_use, slic
     )
     if first_use:
         # Groups of the join are bounded by a slice, even when one (key, value) is most of the key.
-        use = events.filter(is_row).groupBy(key, first_use, "_slice").agg(F.min("_us").alias("_first"))
+        use = events.filter(is_row).groupBy(key, first_use, "_slice").agg(F.min(us).alias("_first"))
         use = use.select(
             key, first_use, "_slice", F.min("_first").over(Window.partitionBy(key, first_use)).alias("first_use_us")
         )
@@ -180,7 +179,6 @@ def _by_slice(rows: DataFrame, *, key, row_id, frames, previous, first_use, slic
 
 def rolling(df: DataFrame, key: str, ts: str, value: str, seconds: int, row_id: str, **options) -> DataFrame:
     """Sum and count of an integer ``value`` over the last ``seconds`` per key."""
-    out = with_history(
-        df, key=key, ts=ts, row_id=row_id, value=F.col(value), frames={"w": seconds}, **options
-    )
-    return out.drop("seq").withColumnsRenamed({"sum_w": "sum", "cnt_w": "count"})
+    timed = df.withColumn("_us", micros(ts))
+    out = with_history(timed, key=key, us="_us", row_id=row_id, value=value, frames={"w": seconds}, **options)
+    return out.drop("_us", "seq").withColumnsRenamed({"sum_w": "sum", "cnt_w": "count"})

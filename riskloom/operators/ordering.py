@@ -96,6 +96,8 @@ def running_totals(
 
 # Sub-bins per bin, one level down, in the search for a quantile.
 _SUB_BINS = 4_096
+# Up to this many rows a quantile is found in one pass over distinct values.
+DIRECT_ROWS = 1_000_000
 
 
 def exact_quantiles(
@@ -107,8 +109,9 @@ def exact_quantiles(
     The two neighbouring ranks are searched in three passes: counts per value
     bin, counts per sub-bin of the bin that holds the rank, counts per distinct
     value of that sub-bin. Each pass combines counts before the shuffle, so a
-    group with most of the rows costs no more than any other. ``df`` is read
-    once per pass; pass a stored table.
+    group with most of the rows costs no more than any other. ``df`` is counted
+    and read once per pass; pass a stored table. A small ``df`` needs the last
+    pass only.
     """
     groups = list(groups)
     q = F.lit(float(q)) if isinstance(q, (int, float)) else q
@@ -142,11 +145,12 @@ def exact_quantiles(
             "v.*", *[f"t.{c}" for c in ("_end", "_rank", "_part", "_before")]
         )
 
-    bins = long.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    key = "_bin" if df.count() > DIRECT_ROWS else "_x"
+    counts = long.groupBy(*keys, key).agg(F.count(F.lit(1)).alias("_n"))
     exact = q * (F.sum("_n").over(Window.partitionBy(*keys)) - F.lit(1))
     ends = F.array(*[F.struct(F.lit(i).alias("e"), f("_exact").alias("r")) for i, f in enumerate((F.floor, F.ceil))])
-    ranked = (
-        bins.withColumn("_exact", exact)
+    found = (
+        counts.withColumn("_exact", exact)
         .withColumn("_part", F.col("_exact") - F.floor("_exact"))
         .withColumn("_before", F.lit(0).cast("bigint"))
         .select("*", F.explode(ends).alias("end"))
@@ -154,9 +158,10 @@ def exact_quantiles(
     )
     by = [*keys, "_end"]
     carried = [F.first(c).alias(c) for c in ("_rank", "_part", "_before")]
-    count = F.count(F.lit(1)).alias("_n")
-    subs = within(locate(ranked, "_bin", by), "_bin").groupBy(*by, "_sub").agg(count, *carried)
-    found = within(locate(subs, "_sub", by), "_sub").groupBy(*by, "_x").agg(count, *carried)
+    if key == "_bin":
+        for outer, inner in (("_bin", "_sub"), ("_sub", "_x")):
+            inside = within(locate(found, outer, by), outer)
+            found = inside.groupBy(*by, inner).agg(F.count(F.lit(1)).alias("_n"), *carried)
     ends_found = locate(found, "_x", by).groupBy(*keys).agg(
         F.max(F.when(F.col("_end") == 0, F.col("_x"))).alias("_a"),
         F.max(F.when(F.col("_end") == 1, F.col("_x"))).alias("_b"),

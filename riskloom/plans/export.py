@@ -9,7 +9,6 @@ from riskloom.functions.exact import cents
 from riskloom.operators.dictionary import dictionary_encode
 from riskloom.operators.ordering import dense_key
 from riskloom.plans.tiles import LIVE
-from riskloom.storage import materialize
 
 DIMENSIONS = (
     "merchant_category", "channel", "state", "customer_segment", "fraud_type", "outcome", "risk_tier",
@@ -19,14 +18,14 @@ ALERT_FROM = 30
 
 def live_rows(fact: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
     """Live transactions with segment and week, numbered from 0 by (time, id).
-    Fixed on disk, since columns, dictionaries and alerts all read it."""
+    The numbering stores its input, which columns, dictionaries and alerts then read."""
     rows = (
         fact.filter(F.col("model_period") == LIVE["model_period"])
         .join(customers.select("customer_id", "customer_segment"), "customer_id")
         .join(dates.select("date", "week_start"), F.col("date") == F.col("txn_date"))
         .drop("date")
     )
-    return materialize(dense_key(rows, ["txn_timestamp", "transaction_id"], "row", start=0), "live_rows")
+    return dense_key(rows, ["txn_timestamp", "transaction_id"], "row", start=0)
 
 
 def web_columns(live: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -24,40 +24,45 @@ _HUNDREDTH_HOUR = 36_000_000
 
 def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """All feature columns; transactions of unknown customers drop out."""
+    # Time and amount travel through the shuffle once, as integers.
     history = with_history(
         fact.select(
-            "transaction_id", "customer_id", "device_id", "txn_timestamp", "amount", "merchant_category",
-            "channel", "latitude", "longitude", "is_fraud", micros("txn_timestamp").alias("ts_us"),
+            "transaction_id", "customer_id", "device_id", micros("txn_timestamp").alias("ts_us"),
+            cents("amount").alias("cents"), "merchant_category", "channel", "latitude", "longitude", "is_fraud",
         ),
         key="customer_id",
-        ts="txn_timestamp",
+        us="ts_us",
         row_id="transaction_id",
-        value=cents("amount"),
+        value="cents",
         frames=FRAMES,
         previous=("ts_us", "latitude", "longitude"),
         first_use="device_id",
         attributes=customers.select("customer_id", "home_latitude", "home_longitude"),
         hot_rows=hot_rows,
     )
-    own = cents("amount")
-    prior = {f: (F.col(f"sum_{f}") - own, F.col(f"cnt_{f}") - F.lit(1)) for f in ("7d", "30d")}
-    gap_us = F.col("ts_us") - F.col("prev_ts_us")
-    km_prev = haversine_km(
-        F.col("prev_latitude"), F.col("prev_longitude"), F.col("latitude"), F.col("longitude")
-    )
-    km_home = haversine_km(
-        F.col("home_latitude"), F.col("home_longitude"), F.col("latitude"), F.col("longitude")
-    )
+    own, one = F.col("cents"), F.lit(1)
+    point = (F.col("latitude"), F.col("longitude"))
+    # Named once, since several features use each of these.
+    prior = {f: (F.col(f"total_{f}"), F.col(f"count_{f}")) for f in ("7d", "30d")}
+    history = history.withColumns(
+        {
+            **{f"total_{f}": F.col(f"sum_{f}") - own for f in prior},
+            **{f"count_{f}": F.col(f"cnt_{f}") - one for f in prior},
+            "gap_us": F.col("ts_us") - F.col("prev_ts_us"),
+            "km_prev": haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), *point),
+            "km_home": haversine_km(F.col("home_latitude"), F.col("home_longitude"), *point),
+            "ts": F.timestamp_micros("ts_us"),
+        }
+    ).withColumn("hour", F.hour("ts").cast("smallint"))
+    gap_us, km_prev, ts, hour = (F.col(c) for c in ("gap_us", "km_prev", "ts", "hour"))
     # Elapsed time is held at one minute, so that simultaneous rows do not divide by zero.
     hours = F.greatest(gap_us / F.lit(3.6e9), F.lit(1.0 / 60))
     velocity = F.when(gap_us.isNotNull(), km_prev / hours)
-    ts = F.col("txn_timestamp")
-    hour = F.hour(ts).cast("smallint")
     return history.select(
         "transaction_id",
         "customer_id",
-        "txn_timestamp",
-        "amount",
+        ts.alias("txn_timestamp"),
+        scaled(own, 2).cast("decimal(12,2)").alias("amount"),
         "merchant_category",
         "channel",
         F.col("seq").alias("customer_txn_seq"),
@@ -70,7 +75,7 @@ def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) ->
         scaled(elapsed_units(gap_us, _TENTH_MINUTE), 1).alias("minutes_since_prev_txn"),
         km_prev.cast("decimal(18,1)").alias("km_from_prev_txn"),
         velocity.cast("decimal(18,1)").alias("geo_velocity_kmh"),
-        km_home.cast("decimal(18,1)").alias("km_from_home"),
+        F.col("km_home").cast("decimal(18,1)").alias("km_from_home"),
         scaled(elapsed_units(F.col("ts_us") - F.col("first_use_us"), _HUNDREDTH_HOUR), 2).alias("device_age_hours"),
         hour.alias("hour_of_day"),
         (F.dayofweek(ts) - 1).cast("smallint").alias("day_of_week"),

@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small local data would otherwise end in fewer partitions than cores.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.ui.enabled": "false",
 }
 

@@ -5,7 +5,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.functions.exact import cents
+from riskloom.functions.exact import cents, micros
 from riskloom.functions.geo import haversine_km
 from riskloom.operators import history
 from riskloom.plans.features import FEATURE_COLUMNS, FRAMES, features
@@ -15,6 +15,10 @@ from tests.conftest import START
 HOUR, DAY = 3600, 86400
 
 
+def timed(fact):
+    return fact.withColumns({"us": micros("txn_timestamp"), "cents": cents("amount")})
+
+
 def by_id(df):
     return {r["transaction_id"]: r for r in df.collect()}
 
@@ -46,8 +50,7 @@ def test_frame_bounds(make_fact, customers, frame):
     rows = [{"after": -1e-6}, {"after": 0}, {"after": width}]
     got = by_id(
         history.with_history(
-            make_fact(rows), key="customer_id", ts="txn_timestamp", row_id="transaction_id",
-            value=cents("amount"), frames=FRAMES,
+            timed(make_fact(rows)), key="customer_id", us="us", row_id="transaction_id", value="cents", frames=FRAMES
         )
     )
     assert got["T0002"][f"cnt_{frame}"] == 2  # exactly `width` earlier counts, a microsecond more does not
@@ -100,7 +103,7 @@ def test_frames_against_brute_force(make_fact):
     data = [(r.transaction_id, r.customer_id, r.txn_timestamp, int(r.amount * 100)) for r in fact.collect()]
     got = by_id(
         history.with_history(
-            fact, key="customer_id", ts="txn_timestamp", row_id="transaction_id", value=cents("amount"), frames=FRAMES
+            timed(fact), key="customer_id", us="us", row_id="transaction_id", value="cents", frames=FRAMES
         )
     )
     for i, c, t, _ in data:
@@ -146,12 +149,13 @@ def test_partition_count_does_not_matter(spark, make_fact, customers):
     assert out[0] == out[1]
 
 
-def test_large_products_stay_exact(spark):
+def test_ratio_beyond_64_bits(spark):
     from riskloom.functions.exact import ratio_milli
 
-    big = spark.createDataFrame([(10**11, 3 * 10**16, 10**6)], "v long, s long, n long")
-    got = big.select(ratio_milli(F.col("v"), F.col("s"), F.col("n"))).first()[0]
-    assert got == (2000 * 10**11 * 10**6 + 3 * 10**16) // (6 * 10**16)
+    rows = [(10**11, 3 * 10**16, 10**6), (999, 10**18, 10**15), (5, 0, 0)]
+    df = spark.createDataFrame(rows, "v long, s long, n long")
+    got = [r[0] for r in df.select(ratio_milli(F.col("v"), F.col("s"), F.col("n"))).collect()]
+    assert got == [(2000 * v * n + s) // (2 * s) if s else None for v, s, n in rows]
 
 
 def test_one_shuffle_of_the_fact(spark, make_fact, customers):
