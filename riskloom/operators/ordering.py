@@ -94,9 +94,10 @@ def running_totals(
     )
 
 
-# Sub-bins per bin, one level down, in the search for a quantile.
-_SUB_BINS = 4_096
-# Up to this many rows a quantile is found in one pass over distinct values.
+# A bin is cut into this many on each further pass of the search for a quantile.
+_CUT = 4_096
+_FINEST = _CUT**2
+# Up to this many rows are searched directly, by distinct value.
 DIRECT_ROWS = 1_000_000
 
 
@@ -106,66 +107,65 @@ def exact_quantiles(
     """Exact quantile of each value column per group, linearly interpolated,
     NULLs skipped; output columns keep the value names, as doubles.
 
-    The two neighbouring ranks are searched in three passes: counts per value
-    bin, counts per sub-bin of the bin that holds the rank, counts per distinct
-    value of that sub-bin. Each pass combines counts before the shuffle, so a
-    group with most of the rows costs no more than any other. ``df`` is counted
-    and read once per pass; pass a stored table. A small ``df`` needs the last
-    pass only.
+    The two neighbouring ranks are narrowed down by passes over ``df``: counts
+    per value bin locate the bins that hold them, those bins are cut finer, and
+    once few rows are left their distinct values are counted. Each pass combines
+    counts before the shuffle, so a group with most of the rows costs no more
+    than any other. Pass a stored table; a small one needs a single pass.
     """
     groups = list(groups)
     q = F.lit(float(q)) if isinstance(q, (int, float)) else q
     pairs = F.array(*[F.struct(F.lit(v).alias("m"), F.col(v).cast("double").alias("x")) for v in values])
     keys = [*groups, "_metric"]
-    spot = F.col("_x")
+    by = [*keys, "_end"]
+    n, x = F.count(F.lit(1)).alias("_n"), F.col("_x")
     long = (
         df.select(*groups, F.explode(pairs).alias("p"))
         .select(*groups, F.col("p.m").alias("_metric"), F.col("p.x").alias("_x"))
-        .filter(spot.isNotNull())
-        .withColumn("_bin", value_bin(spot))
-        .withColumn("_sub", value_bin(spot, _SUB_BINS))
+        .filter(x.isNotNull())
     )
 
-    def locate(counts: DataFrame, key: str, by: Sequence[str]) -> DataFrame:
-        """Rows of ``counts`` whose running total first passes the rank."""
+    def locate(counts: DataFrame, key: str) -> DataFrame:
+        """The row per searched rank whose running total first passes it."""
         order = Window.partitionBy(*by).orderBy(key)
         upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return (
             counts.withColumn("_upto", F.col("_before") + upto)
             .filter((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")))
             .withColumn("_before", F.col("_upto") - F.col("_n"))
+            .drop("_upto")
         )
 
-    def within(targets: DataFrame, key: str) -> DataFrame:
-        """Values in the located bins; the hint only behind a count of the bins."""
-        fixed = materialize(targets.select(*keys, "_end", "_rank", "_part", "_before", key), "quantile_bins")
-        side = F.broadcast(fixed) if fixed.count() <= BROADCAST_ROWS else fixed
-        match = _same("v", "t", keys) & (F.col(f"v.{key}") == F.col(f"t.{key}"))
-        return long.alias("v").join(side.alias("t"), match).select(
-            "v.*", *[f"t.{c}" for c in ("_end", "_rank", "_part", "_before")]
-        )
-
-    key = "_bin" if df.count() > DIRECT_ROWS else "_x"
-    counts = long.groupBy(*keys, key).agg(F.count(F.lit(1)).alias("_n"))
+    finer, key = 1, "_bin" if df.count() > DIRECT_ROWS else "_x"
     exact = q * (F.sum("_n").over(Window.partitionBy(*keys)) - F.lit(1))
     ends = F.array(*[F.struct(F.lit(i).alias("e"), f("_exact").alias("r")) for i, f in enumerate((F.floor, F.ceil))])
-    found = (
-        counts.withColumn("_exact", exact)
+    carried = ("_rank", "_part", "_before")
+    counts = (
+        long.withColumn("_bin", value_bin(x)).groupBy(*keys, key).agg(n)
+        .withColumn("_exact", exact)
         .withColumn("_part", F.col("_exact") - F.floor("_exact"))
         .withColumn("_before", F.lit(0).cast("bigint"))
-        .select("*", F.explode(ends).alias("end"))
-        .select("*", F.col("end.e").alias("_end"), F.col("end.r").alias("_rank"))
+        .withColumn("_ends", F.explode(ends))
+        .select(*keys, key, "_n", "_part", "_before", F.col("_ends.e").alias("_end"), F.col("_ends.r").alias("_rank"))
     )
-    by = [*keys, "_end"]
-    carried = [F.first(c).alias(c) for c in ("_rank", "_part", "_before")]
-    if key == "_bin":
-        for outer, inner in (("_bin", "_sub"), ("_sub", "_x")):
-            inside = within(locate(found, outer, by), outer)
-            found = inside.groupBy(*by, inner).agg(F.count(F.lit(1)).alias("_n"), *carried)
-    ends_found = locate(found, "_x", by).groupBy(*keys).agg(
-        F.max(F.when(F.col("_end") == 0, F.col("_x"))).alias("_a"),
-        F.max(F.when(F.col("_end") == 1, F.col("_x"))).alias("_b"),
+    while key == "_bin":
+        found = materialize(locate(counts, key), "quantile_bins")
+        bins, widest = found.agg(F.count(F.lit(1)), F.max("_n")).first()
+        side = F.broadcast(found) if bins <= BROADCAST_ROWS else found
+        binned = long.withColumn("_bin", value_bin(x, finer))
+        match = _same("v", "t", keys) & (F.col("v._bin") == F.col("t._bin"))
+        inside = binned.alias("v").join(side.alias("t"), match).select("v.*", "t._end", *[f"t.{c}" for c in carried])
+        finer *= _CUT
+        key = "_x" if (widest or 0) <= DIRECT_ROWS or finer > _FINEST else "_bin"
+        counts = (
+            inside.withColumn("_bin", value_bin(x, finer))
+            .groupBy(*by, key)
+            .agg(n, *[F.first(c).alias(c) for c in carried])
+        )
+    points = locate(counts, "_x").groupBy(*keys).agg(
+        F.max(F.when(F.col("_end") == 0, x)).alias("_a"),
+        F.max(F.when(F.col("_end") == 1, x)).alias("_b"),
         F.max("_part").alias("_f"),
     )
     point = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")
-    return ends_found.groupBy(*groups).agg(*[F.max(F.when(F.col("_metric") == v, point)).alias(v) for v in values])
+    return points.groupBy(*groups).agg(*[F.max(F.when(F.col("_metric") == v, point)).alias(v) for v in values])
