@@ -65,7 +65,12 @@ def _same(left: str, right: str, groups: Sequence[str]) -> Column:
 
 
 def running_totals(
-    hist: DataFrame, groups: Sequence[str], value: str, counts: Sequence[str], descending: bool = False
+    hist: DataFrame,
+    groups: Sequence[str],
+    value: str,
+    counts: Sequence[str],
+    descending: bool = False,
+    finer: int = 1,
 ) -> DataFrame:
     """Adds ``<count>_upto``, the inclusive running total along ``value`` within
     each group, and ``<count>_all``, the group total. ``hist`` has one row per
@@ -73,7 +78,7 @@ def running_totals(
     inside a bin, so no task sees a whole group."""
     groups = list(groups)
     order = lambda c: F.col(c).desc() if descending else F.col(c).asc()
-    binned = hist.withColumn("_bin", value_bin(F.col(value).cast("double")))
+    binned = hist.withColumn("_bin", value_bin(F.col(value).cast("double"), finer))
     per_group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     earlier = per_group.orderBy(order("_bin")).rowsBetween(Window.unboundedPreceding, -1)
     bins = binned.groupBy(*groups, "_bin").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])
@@ -94,11 +99,10 @@ def running_totals(
     )
 
 
-# A bin is cut into this many on each further pass of the search for a quantile.
-_CUT = 4_096
-_FINEST = _CUT**2
-# Up to this many rows are searched directly, by distinct value.
+# Up to this many rows all distinct values are counted, without a bracket.
 DIRECT_ROWS = 1_000_000
+_ACCURACY = 10_000
+_FINE = 4_096  # bins of a bracketed histogram, per ordinary bin
 
 
 def exact_quantiles(
@@ -107,65 +111,80 @@ def exact_quantiles(
     """Exact quantile of each value column per group, linearly interpolated,
     NULLs skipped; output columns keep the value names, as doubles.
 
-    The two neighbouring ranks are narrowed down by passes over ``df``: counts
-    per value bin locate the bins that hold them, those bins are cut finer, and
-    once few rows are left their distinct values are counted. Each pass combines
-    counts before the shuffle, so a group with most of the rows costs no more
-    than any other. Pass a stored table; a small one needs a single pass.
+    A quantile sketch brackets each quantile; then the values below the bracket
+    are counted and the distinct values inside it, a few in ten thousand of the
+    rows, are ranked. Sketches and counts combine before the shuffle, so a group
+    with most of the rows costs no more than any other. Should a rank fall
+    outside its bracket, all distinct values are ranked instead. ``df`` is read
+    several times; pass a stored table.
     """
-    groups = list(groups)
-    q = F.lit(float(q)) if isinstance(q, (int, float)) else q
-    pairs = F.array(*[F.struct(F.lit(v).alias("m"), F.col(v).cast("double").alias("x")) for v in values])
-    keys = [*groups, "_metric"]
-    by = [*keys, "_end"]
-    n, x = F.count(F.lit(1)).alias("_n"), F.col("_x")
-    long = (
-        df.select(*groups, F.explode(pairs).alias("p"))
-        .select(*groups, F.col("p.m").alias("_metric"), F.col("p.x").alias("_x"))
-        .filter(x.isNotNull())
-    )
-
-    def locate(counts: DataFrame, key: str) -> DataFrame:
-        """The row per searched rank whose running total first passes it."""
-        order = Window.partitionBy(*by).orderBy(key)
-        upto = F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return (
-            counts.withColumn("_upto", F.col("_before") + upto)
-            .filter((F.col("_upto") > F.col("_rank")) & (F.col("_upto") - F.col("_n") <= F.col("_rank")))
-            .withColumn("_before", F.col("_upto") - F.col("_n"))
-            .drop("_upto")
+    if not isinstance(q, (int, float)):
+        q = df.sparkSession.range(1).select(q.cast("double")).first()[0]
+    q = 0.5 if q is None else float(q)  # no rows: every quantile is NULL
+    keys = [*groups, "_one"]
+    named = df.select(*groups, F.lit(0).alias("_one"), *[F.col(v).cast("double").alias(f"_v_{v}") for v in values])
+    found = _ranked(named, keys, values, q, bracketed=True) if df.count() > DIRECT_ROWS else None
+    if found is None:
+        found = _ranked(named, keys, values, q, bracketed=False)
+    point = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")
+    return found.groupBy(*groups).agg(*[F.max(F.when(F.col("_metric") == v, point)).alias(v) for v in values])
+
+
+def _ranked(
+    named: DataFrame, keys: Sequence[str], values: Sequence[str], q: float, bracketed: bool
+) -> DataFrame | None:
+    """(keys, _metric, _a, _b, _part): the values at the ranks around each
+    quantile and the position between them; None if a bracket missed."""
+    metric = [*keys, "_metric"]
+    rows = named
+    if bracketed:
+        ends = [max(0.0, q - 2 / _ACCURACY), min(1.0, q + 2 / _ACCURACY)]
+        sketch = [F.percentile_approx(f"_v_{v}", ends, _ACCURACY).alias(f"_e_{v}") for v in values]
+        brackets = materialize(named.groupBy(*keys).agg(*sketch), "brackets")
+        side = F.broadcast(brackets) if brackets.count() <= BROADCAST_ROWS else brackets
+        rows = named.alias("l").join(side.alias("r"), _same("l", "r", keys)).select(
+            "l.*", *[f"r._e_{v}" for v in values]
         )
-
-    finer, key = 1, "_bin" if df.count() > DIRECT_ROWS else "_x"
-    exact = q * (F.sum("_n").over(Window.partitionBy(*keys)) - F.lit(1))
-    ends = F.array(*[F.struct(F.lit(i).alias("e"), f("_exact").alias("r")) for i, f in enumerate((F.floor, F.ceil))])
-    carried = ("_rank", "_part", "_before")
-    counts = (
-        long.withColumn("_bin", value_bin(x)).groupBy(*keys, key).agg(n)
-        .withColumn("_exact", exact)
-        .withColumn("_part", F.col("_exact") - F.floor("_exact"))
-        .withColumn("_before", F.lit(0).cast("bigint"))
-        .withColumn("_ends", F.explode(ends))
-        .select(*keys, key, "_n", "_part", "_before", F.col("_ends.e").alias("_end"), F.col("_ends.r").alias("_rank"))
+        below = {v: F.col(f"_v_{v}") < F.col(f"_e_{v}")[0] for v in values}
+        inside = {v: F.col(f"_v_{v}").between(F.col(f"_e_{v}")[0], F.col(f"_e_{v}")[1]) for v in values}
+    else:
+        below = {v: F.lit(False) for v in values}
+        inside = {v: F.col(f"_v_{v}").isNotNull() for v in values}
+
+    counted = rows.groupBy(*keys).agg(
+        *[F.struct(F.count(f"_v_{v}").alias("all"), F.count_if(below[v]).alias("below")).alias(f"_c_{v}") for v in values]
     )
-    while key == "_bin":
-        found = materialize(locate(counts, key), "quantile_bins")
-        bins, widest = found.agg(F.count(F.lit(1)), F.max("_n")).first()
-        side = F.broadcast(found) if bins <= BROADCAST_ROWS else found
-        binned = long.withColumn("_bin", value_bin(x, finer))
-        match = _same("v", "t", keys) & (F.col("v._bin") == F.col("t._bin"))
-        inside = binned.alias("v").join(side.alias("t"), match).select("v.*", "t._end", *[f"t.{c}" for c in carried])
-        finer *= _CUT
-        key = "_x" if (widest or 0) <= DIRECT_ROWS or finer > _FINEST else "_bin"
-        counts = (
-            inside.withColumn("_bin", value_bin(x, finer))
-            .groupBy(*by, key)
-            .agg(n, *[F.first(c).alias(c) for c in carried])
-        )
-    points = locate(counts, "_x").groupBy(*keys).agg(
-        F.max(F.when(F.col("_end") == 0, x)).alias("_a"),
-        F.max(F.when(F.col("_end") == 1, x)).alias("_b"),
-        F.max("_part").alias("_f"),
+    sizes = F.array(*[F.struct(F.lit(v).alias("m"), F.col(f"_c_{v}").alias("c")) for v in values])
+    spot = q * (F.col("s.c.all") - F.lit(1))
+    ranks = materialize(
+        counted.withColumn("s", F.explode(sizes)).filter("s.c.all > 0").select(
+            *keys, F.col("s.m").alias("_metric"), F.col("s.c.below").alias("_below"),
+            F.floor(spot).alias("_low"), F.ceil(spot).alias("_high"), (spot - F.floor(spot)).alias("_part"),
+        ),
+        "ranks",
+    )
+    kept = F.array(
+        *[F.when(inside[v], F.struct(F.lit(v).alias("m"), F.col(f"_v_{v}").alias("x"))) for v in values]
+    )
+    hist = materialize(
+        rows.select(*keys, F.explode(kept).alias("p")).filter("p IS NOT NULL")
+        .groupBy(*keys, F.col("p.m").alias("_metric"), F.col("p.x").alias("_x"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "histogram",
+    )
+    side = F.broadcast(ranks) if ranks.count() <= BROADCAST_ROWS else ranks
+    if bracketed:
+        got = hist.groupBy(*metric).agg(F.sum("_n").alias("_in"))
+        missed = (F.col("_low") < F.col("_below")) | (F.col("_high") >= F.col("_below") + F.coalesce("_in", F.lit(0)))
+        checked = side.alias("l").join(got.alias("r"), _same("l", "r", metric), "left")
+        if checked.filter(missed).limit(1).count():
+            return None
+    finer = _FINE if bracketed else 1
+    runs = running_totals(hist, metric, "_x", ["_n"], finer=finer)
+    upto = F.col("_below") + F.col("_n_upto")
+    first = lambda rank: F.min(F.when(upto > F.col(rank), F.col("_x")))
+    return (
+        runs.alias("l").join(side.alias("r"), _same("l", "r", metric))
+        .groupBy(*[F.col(f"l.{k}") for k in metric])
+        .agg(first("_low").alias("_a"), first("_high").alias("_b"), F.max("_part").alias("_part"))
     )
-    point = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f")
-    return points.groupBy(*groups).agg(*[F.max(F.when(F.col("_metric") == v, point)).alias(v) for v in values])

@@ -25,7 +25,7 @@ RULE_AMOUNT = 500
 def equal_volume_cut(test: DataFrame, score: str = "isolation_anomaly_score") -> DataFrame:
     """One row: the score at which an alert policy raises as many alerts as the
     flags do, the exact quantile at 1 - flag share."""
-    flagged = test.agg((F.lit(1.0) - F.count_if("is_flagged") / F.count(F.lit(1))).alias("q")).scalar()
+    flagged = test.agg((F.lit(1.0) - F.count_if("is_flagged") / F.nullif(F.count(F.lit(1)), F.lit(0))).alias("q")).scalar()
     return exact_quantiles(test, [], [score], flagged).withColumnRenamed(score, "cut")
 
 

@@ -37,6 +37,16 @@ def test_quantiles_match_numpy(spark, monkeypatch, q, direct):
         assert r.w == pytest.approx(np.quantile(-groups[r.g][::3], q), rel=1e-12)
 
 
+def test_quantile_outside_its_bracket(spark, monkeypatch):
+    """A sketch that misses costs a second search, not the result."""
+    df = spark.createDataFrame([(float(i),) for i in range(2001)], "v double")
+    monkeypatch.setattr(ordering, "DIRECT_ROWS", 0)
+    monkeypatch.setattr(ordering, "_ACCURACY", 3)
+    real = ordering.F.percentile_approx
+    monkeypatch.setattr(ordering.F, "percentile_approx", lambda c, ends, n: real(c, [0.9, 0.95], 1000))
+    assert ordering.exact_quantiles(df, [], ["v"], 0.5).first()[0] == 1000.0
+
+
 def test_quantile_of_null_group_and_scalar(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("x", 5.0)], "g string, v double")
     assert {r.g: r.v for r in ordering.exact_quantiles(df, ["g"], ["v"]).collect()} == {None: 2.0, "x": 5.0}
