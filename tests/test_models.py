@@ -134,3 +134,26 @@ def test_category_list_is_never_cut(spark, monkeypatch):
     monkeypatch.setattr(matrix, "MAX_CATEGORIES", 1)
     with pytest.raises(ValueError):
         matrix.frozen_categories(df)
+
+
+def test_workers_need_no_package(tmp_path):
+    """Started outside the repository, workers cannot import the package."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = tmp_path / "fit.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})\n"
+        "from riskloom.session import local_session\n"
+        "from riskloom.models import boost, forest\n"
+        f"spark = local_session(2, 'outside', '1g', **{{'spark.checkpoint.dir': {str(tmp_path / 'c')!r}}})\n"
+        "rows = spark.range(200).selectExpr('id', 'cast(id % 7 as double) a', 'cast(id % 11 as double) b', 'id % 7 > 4 y')\n"
+        "model = forest.fit_forest(rows, ['a', 'b'], 'id', trees=4, sample=32)\n"
+        "assert forest.score_forest(rows, model).count() == 200\n"
+        "print(forest.score_forest(rows, model).agg({'isolation_anomaly_score': 'max'}).first())\n"
+        "model = boost.fit_boost(rows, rows, ['a', 'b'], 'y', max_trees=2)\n"
+        "print(boost.score_boost(rows, model).agg({'xgb_fraud_probability': 'max'}).first())\n"
+    )
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-2000:]
