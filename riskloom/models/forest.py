@@ -117,7 +117,7 @@ def anomaly(df: DataFrame, model: Ensemble) -> Column:
     """Raw score in (0, 1], higher is stranger: 2 ** -(mean depth / expected depth)."""
     expected = float(mean_path(model.params["sample"])) or 1.0
     return score_column(
-        df.sparkSession, model, lambda v: np.exp2(-v.mean(axis=1) / expected), model.columns
+        df.sparkSession, model, lambda v: np.exp2(-v.mean(axis=0) / expected), model.columns
     )
 
 

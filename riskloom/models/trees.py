@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 NODES = "tree int, node int, feature int, threshold double, child int, value double, gain double"
-_BLOCK = 4_096  # rows walked at once: rows x trees positions stay a few megabytes
+_BLOCK = 10_000  # rows walked at once: long vectors, while one tree's nodes stay in cache
 
 
 @dataclass(frozen=True)
@@ -36,21 +36,26 @@ class Ensemble:
         """The ensemble of the first trees."""
         return Ensemble(self.kind, self.columns, self.nodes[self.nodes["tree"] < trees], self.params)
 
-    def arrays(self) -> dict[str, np.ndarray]:
-        """Flat arrays over all trees; a leaf is its own child."""
-        n = self.nodes.sort_values(["tree", "node"])
-        sizes = n.groupby("tree").size().sort_index().to_numpy()
-        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        offset = np.repeat(roots, sizes)
-        feature = n["feature"].to_numpy()
-        leaf = feature < 0
-        return {
-            "roots": roots.astype(np.int32),
-            "feature": np.where(leaf, 0, feature).astype(np.int32),
-            "threshold": np.where(leaf, np.inf, n["threshold"].to_numpy(dtype=float)),
-            "child": np.where(leaf, np.arange(len(n)), n["child"].to_numpy() + offset).astype(np.int32),
-            "value": n["value"].to_numpy(dtype=float),
-        }
+    def arrays(self) -> list[dict[str, np.ndarray | int]]:
+        """Per tree, node arrays and depth; a leaf is its own child."""
+        out = []
+        for _, n in self.nodes.sort_values(["tree", "node"]).groupby("tree"):
+            feature, child = n["feature"].to_numpy(), n["child"].to_numpy()
+            depth, level = 0, np.zeros(1, dtype=int)
+            while len(level := level[feature[level] >= 0]):
+                level = np.concatenate([child[level], child[level] + 1])
+                depth += 1
+            leaf = feature < 0
+            out.append(
+                {
+                    "feature": np.where(leaf, 0, feature).astype(np.int64),
+                    "threshold": np.where(leaf, np.inf, n["threshold"].to_numpy(dtype=float)),
+                    "child": np.where(leaf, np.arange(len(n)), child).astype(np.int64),
+                    "value": n["value"].to_numpy(dtype=float),
+                    "depth": depth,
+                }
+            )
+        return out
 
     def save(self, spark: SparkSession, path: str) -> None:
         spark.createDataFrame(self.nodes, NODES).write.mode("overwrite").parquet(f"{path}/nodes")
@@ -64,17 +69,18 @@ class Ensemble:
         return Ensemble(about["kind"], tuple(about["columns"]), nodes, about["params"])
 
 
-def leaf_values(arrays: dict[str, np.ndarray], x: np.ndarray) -> np.ndarray:
-    """(rows, trees) leaf values of a C-ordered (rows, features) block."""
+def leaf_values(trees: Sequence[dict[str, np.ndarray | int]], x: np.ndarray) -> np.ndarray:
+    """(trees, rows) leaf values of a C-ordered (rows, features) block."""
     flat = np.ascontiguousarray(x, dtype=float).reshape(-1)
-    start = (np.arange(len(x), dtype=np.int64) * x.shape[1])[:, None]
-    at = np.broadcast_to(arrays["roots"], (len(x), len(arrays["roots"]))).copy()
-    while True:
-        right = flat[start + arrays["feature"][at]] > arrays["threshold"][at]
-        after = arrays["child"][at] + right
-        if np.array_equal(after, at):
-            return arrays["value"][at]
-        at = after
+    start = np.arange(len(x), dtype=np.int64) * x.shape[1]
+    out = np.empty((len(trees), len(x)))
+    for k, tree in enumerate(trees):
+        at = np.zeros(len(x), dtype=np.int64)
+        for _ in range(tree["depth"]):
+            value = flat.take(start + tree["feature"].take(at))
+            at = tree["child"].take(at) + (value > tree["threshold"].take(at))
+        out[k] = tree["value"].take(at)
+    return out
 
 
 def blocks(frame: np.ndarray) -> Iterator[np.ndarray]:

@@ -63,7 +63,7 @@ def test_grown_tree_is_sound():
     assert nodes["node"].tolist() == list(range(len(nodes)))
     assert sorted([*inner["child"], *(inner["child"] + 1)]) == list(range(1, len(nodes)))
     depth = Ensemble("t", ("a",) * 4, nodes.assign(tree=0, gain=0.0))
-    values = leaf_values(depth.arrays(), x)[:, 0]
+    values = leaf_values(depth.arrays(), x)[0]
     assert values.mean() == pytest.approx(float(forest.mean_path(500)), rel=0.25)
     flat = forest._grow(np.ones((8, 3)), 5, np.random.default_rng(3))
     assert len(flat) == 1 and flat["value"][0] == pytest.approx(float(forest.mean_path(8)))
