@@ -162,3 +162,21 @@ def test_one_shuffle_of_the_fact(spark, make_fact, customers):
     """Sequence, frames and device first use share one exchange on the customer."""
     text = features(make_fact(_random_rows(20)), F.broadcast(customers))._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_generated_code_is_compiled(spark, make_fact, customers):
+    """The JVM interprets methods over 8,000 bytes; also with a sort-merge join."""
+    import contextlib
+    import io
+    import re
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        with contextlib.redirect_stdout(io.StringIO()) as text:
+            features(make_fact(_random_rows(5)), customers).explain("codegen")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
+    assert sizes and max(sizes) < 8000
