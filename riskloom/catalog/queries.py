@@ -83,18 +83,16 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.evaluate(evaluate.policies(_scored_test(spark, sf_dir)))
 
 
-def _bi_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = testdata.star(spark, sf_dir)
+def _bi_fact(tables: dict[str, DataFrame]) -> DataFrame:
     feats = materialize(features(tables["fact_transaction"], tables["dim_customer"]), "txn_features")
     scores = scoring.blend(_outputs(feats))
     return bi.bi_fact(tables["fact_transaction"], scores, feats, tables["dim_device"])
 
 
 def _model(spark: SparkSession, sf_dir: str) -> tiles.StarModel:
+    tables = testdata.star(spark, sf_dir)
     return tiles.star_model(
-        _bi_fact(spark, sf_dir),
-        bi.bi_customer(testdata.customers(spark, sf_dir)),
-        bi.bi_date(testdata.transactions(spark, sf_dir)),
+        _bi_fact(tables), bi.bi_customer(tables["dim_customer"]), bi.bi_date(tables["fact_transaction"])
     )
 
 
@@ -439,7 +437,7 @@ def scenario_matrix(spark, sf_dir):
 
 @query
 def bi_fact(spark, sf_dir):
-    return _bi_fact(spark, sf_dir)
+    return _bi_fact(testdata.star(spark, sf_dir))
 
 
 @query
@@ -468,7 +466,7 @@ def signups_by_quarter(spark, sf_dir):
 
 @query
 def period_outcome(spark, sf_dir):
-    return bi.period_outcome(_bi_fact(spark, sf_dir))
+    return bi.period_outcome(_bi_fact(testdata.star(spark, sf_dir)))
 
 
 def _tile(name: str) -> None:

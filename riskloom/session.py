@@ -16,6 +16,8 @@ SETTINGS = {
     # Small local data would otherwise end in fewer partitions than cores.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     "spark.ui.enabled": "false",
+    # Building a query is otherwise slowed by a call-site lookup per column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -24,8 +24,17 @@ def _pick(number: Column, values: tuple[str, ...]) -> Column:
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
+# Declared types of the provided tables, so that no job has to read them from a file first.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    source = spark.read.schema(_SCHEMAS[table]) if table in _SCHEMAS else spark.read
+    return source.parquet(f"{sf_dir}/{table}.parquet")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
