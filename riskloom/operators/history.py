@@ -25,6 +25,7 @@ from riskloom.storage import BROADCAST_ROWS, materialize
 
 HOT_ROWS = 5_000_000
 SLICE_ROWS = 2_000_000
+MAX_SLICES = 50_000  # beyond it slices grow instead, to keep the exchange's bookkeeping small
 _SECOND = 1_000_000
 
 
@@ -73,7 +74,7 @@ def with_history(
         return out if attributes is None else out.join(attributes, key)
     heavy = sized(heavy, n_heavy)
     calm = _by_key(df.join(heavy, key, "left_anti"), **plain)
-    slices = max(1, ceil(n_rows * (1 + len(frames)) / slice_rows))
+    slices = min(MAX_SLICES, max(1, ceil(n_rows * (1 + len(frames)) / slice_rows)))
     busy = _by_slice(df.join(heavy, key, "left_semi"), slices=slices, n_keys=n_heavy, **plain)
     if attributes is not None:
         calm = calm.join(attributes, key)

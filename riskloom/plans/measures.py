@@ -126,6 +126,9 @@ class StarModel:
         under a blank member."""
         out = self.fact
         own = set(out.columns)
+        known = own.union(*[table.columns for table, _, _ in self.dimensions.values()])
+        if unknown := {*columns, *filters} - known:
+            raise ValueError(f"no such columns: {sorted(unknown)}")
         out = out.filter(_all([matches(F.col(c), w) for c, w in filters.items() if c in own]))
         for table, fact_column, key in self.dimensions.values():
             held = [c for c in table.columns if c not in own]

@@ -88,6 +88,11 @@ def test_range_filter_and_parameters(model):
     assert summarize(model, [], ["review_cost"], registry=measures(review_cost=8)).first()[0] == 24
 
 
+def test_unknown_filter_is_an_error(model):
+    with pytest.raises(ValueError, match="stat"):
+        summarize(model, [], ["total_transactions"], {"stat": "A"})
+
+
 def test_subtitle(model):
     assert summarize(model, [], ["report_subtitle"]).first()[0] == "Model v1.0  |  All periods  |  6 transactions scored"
     live = summarize(model, [], ["report_subtitle"], tiles.LIVE).first()[0]
