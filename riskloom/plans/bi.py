@@ -16,12 +16,13 @@ RISK_DRIVERS = (
 
 
 def bi_fact(fact: DataFrame, scores: DataFrame, features: DataFrame, devices: DataFrame) -> DataFrame:
-    """One row per transaction, scored and labelled. The first three inputs
-    share the transaction key, so one partitioning serves both joins."""
+    """One row per transaction, scored and labelled. One partitioning on the
+    transaction serves all joins; only the two id columns also travel by device."""
+    used = fact.select("transaction_id", "device_id").join(devices.select("device_id", "device_type"), "device_id")
     rows = (
         fact.join(scores, "transaction_id")
         .join(features.select("transaction_id", *RISK_DRIVERS), "transaction_id")
-        .join(devices.select("device_id", "device_type"), "device_id")
+        .join(used.select("transaction_id", "device_type"), "transaction_id")
     )
     ts, score = F.col("txn_timestamp"), F.col("anomaly_risk_score")
     return rows.select(
