@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from riskloom.llm import packing
+from riskloom.llm import packing, rules, simhash
 
 QUERIES = {
+    "op4_quality_rules": rules.op4_quality_rules,
+    "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op4_quality_rules": rules.OP4_SQL}
