@@ -35,6 +35,11 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return stored(df.withColumn("_row", F.monotonically_increasing_id()), name)
 
 
+def whole_rows(documents: DataFrame, name: str) -> DataFrame:
+    """(_row, _doc) stored: the documents with all their columns folded into one, so that none can clash."""
+    return numbered(documents.select(F.struct("*").alias("_doc")), name)
+
+
 def worker_memory(name: str) -> dict:
     """A dictionary that lives as long as the Python worker, over many tasks.
     Callers bound its size."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskloom.llm import packing, rules, simhash
+from riskloom.llm import mixing, packing, rules, simhash
 
 QUERIES = {
     "op4_quality_rules": rules.op4_quality_rules,
+    "op5_source_mixing": mixing.op5_source_mixing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }

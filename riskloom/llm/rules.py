@@ -115,7 +115,8 @@ def ablations(ledger_rows: DataFrame, version: int = LATEST) -> DataFrame:
 
 def accept(documents: DataFrame, version: int = LATEST) -> DataFrame:
     """The documents that a policy keeps, with their own columns."""
-    return measured(documents).filter(kept(F.col("_q_fail_bits"), version)).select(*[F.col(f"`{c}`") for c in documents.columns])
+    rows = measured(documents.select(F.struct("*").alias("_doc"), "text"))
+    return rows.filter(kept(F.col("_q_fail_bits"), version)).select("_doc.*")
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import doc_columns, numbered, nulls_last, read, small, stored, texts
+from riskloom.llm.common import doc_columns, nulls_last, read, small, stored, texts, whole_rows
 from riskloom.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -188,8 +188,8 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_one(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """The documents, one of each group of near-duplicates: the smallest doc_id, the first row among equal ids, a row
     without an id only if the group has no other."""
-    rows = numbered(documents, "documents")
-    found = near_duplicates(rows, ["_row", "doc_id"], shingle, max_bits)
+    rows = whole_rows(documents, "documents")
+    found = near_duplicates(rows.select("_row", "_doc.doc_id", "_doc.text"), ["_row", "doc_id"], shingle, max_bits)
     first = F.min(F.struct(*nulls_last("doc_id"), F.col("_row").alias("_row"))).alias("first")
     kept = stored(found.groupBy("root").agg(first).select("first._row"), "kept")
-    return rows.join(small(kept), "_row", "left_semi").drop("_row")
+    return rows.join(small(kept), "_row", "left_semi").select("_doc.*")
