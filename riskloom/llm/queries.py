@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from riskloom.llm import mixing, packing, rules, simhash
+from riskloom.llm import mixing, packing, rules, secrets, simhash
 
 QUERIES = {
+    "op2_secret_scan": secrets.op2_secret_scan,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
