@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from riskloom.llm import mixing, packing, rules, secrets, simhash
+from riskloom.llm import mixing, packing, pages, rules, secrets, simhash
 
 QUERIES = {
+    "op10_html_extraction": pages.op10_html_extraction,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
