@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections.abc import Iterator
@@ -55,6 +56,21 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+_BREAK = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def text_blocks(text: bytes, size: int = 4 << 20) -> Iterator[bytes]:
+    """A text in blocks of about ``size`` bytes that end between words, so that a very long one is never a single list."""
+    at = 0
+    while len(text) - at > size:
+        found = _BREAK.search(text, at + size)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:] if at else text
+
+
 def nulls_last(column: str) -> list[Column]:
     return [F.col(column).isNull(), F.col(column)]
 

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import doc_columns, read, small, stored, texts, worker_memory
+from riskloom.llm.common import doc_columns, read, small, stored, text_blocks, texts, worker_memory
 
 CAPACITY = 2048
 OPEN_BINS = 1024
@@ -129,7 +129,7 @@ def token_ids(spark: SparkSession, tokenizer: str) -> Callable[[], Callable[[byt
 
     def make() -> Callable[[bytes], bytes]:
         ids = word_ids(shared.value)
-        return lambda text: ids(text.split())
+        return lambda text: b"".join(ids(block.split()) for block in text_blocks(text))
 
     return make
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from riskloom.llm import mixing, packing, pages, rules, secrets, simhash
+from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash
 
 QUERIES = {
+    "op1_lm_scoring": kneser_ney.op1_lm_scoring,
     "op10_html_extraction": pages.op10_html_extraction,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op4_quality_rules": rules.op4_quality_rules,

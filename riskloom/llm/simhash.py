@@ -24,29 +24,40 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import doc_columns, nulls_last, read, small, stored, texts, whole_rows
+from riskloom.llm.common import doc_columns, nulls_last, read, small, stored, text_blocks, texts, whole_rows
 from riskloom.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
 _BLOCK = 200_000  # shingles whose bits are counted at once
 
 
-def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """Fingerprint of a whole text: a bit is 1 if it is set in over half the shingles' hashes."""
-    words = text.lower().split()
-    if not words:
+def _count(words: list[bytes], shingle: int, seed: int, digest, ones: np.ndarray) -> int:
+    """Add the set bits of the words' shingles to ``ones``; the number of shingles."""
+    if len(words) < shingle:
         return 0
     line = b" ".join(words)
     size = np.fromiter(map(len, words), np.int64, len(words))
     starts = np.cumsum(size + 1) - size - 1
-    k = min(shingle, len(words))
-    ends = (starts + size)[k - 1 :].tolist()
+    ends = (starts + size)[shingle - 1 :].tolist()
     starts = starts[: len(ends)].tolist()
-    digest, ones = xxhash.xxh64_intdigest, np.zeros(64, np.int64)
     for i in range(0, len(ends), _BLOCK):
         hashes = np.array([digest(line[a:b], seed) for a, b in zip(starts[i : i + _BLOCK], ends[i : i + _BLOCK])], "<u8")
         ones += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = np.packbits(2 * ones > len(ends), bitorder="little")
+    return len(ends)
+
+
+def simhash(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """Fingerprint of a whole text: a bit is 1 if it is set in over half the shingles' hashes."""
+    digest, ones, total, rest = xxhash.xxh64_intdigest, np.zeros(64, np.int64), 0, []
+    for block in text_blocks(text.lower()):
+        words = rest + block.split()
+        total += _count(words, shingle, seed, digest, ones)
+        rest = words[max(0, len(words) - shingle + 1) :]
+    if not total:
+        if not rest:
+            return 0
+        total = _count(rest, len(rest), seed, digest, ones)
+    bits = np.packbits(2 * ones > total, bitorder="little")
     return int(bits.view("<u8")[0])
 
 
