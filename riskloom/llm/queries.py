@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash
+from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup
 
 QUERIES = {
     "op1_lm_scoring": kneser_ney.op1_lm_scoring,
     "op10_html_extraction": pages.op10_html_extraction,
+    "op9_suffix_array_dedup": suffix_dedup.op9_suffix_array_dedup,
     "op2_secret_scan": secrets.op2_secret_scan,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
