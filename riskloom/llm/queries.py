@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup
+from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk
 
 QUERIES = {
     "op1_lm_scoring": kneser_ney.op1_lm_scoring,
     "op10_html_extraction": pages.op10_html_extraction,
     "op9_suffix_array_dedup": suffix_dedup.op9_suffix_array_dedup,
     "op2_secret_scan": secrets.op2_secret_scan,
+    "op3_exact_topk": topk.op3_exact_topk,
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
