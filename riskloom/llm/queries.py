@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk
+from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk, unigram
 
 QUERIES = {
+    "op7_token_counts": unigram.op7_token_counts,
     "op1_lm_scoring": kneser_ney.op1_lm_scoring,
     "op10_html_extraction": pages.op10_html_extraction,
     "op9_suffix_array_dedup": suffix_dedup.op9_suffix_array_dedup,
