@@ -1,0 +1,353 @@
+"""Rules, SimHash, secrets, mixing, token counts, packing against brute force, over awkward documents."""
+
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from riskloom.llm import common, mixing, packing, rules, secrets, simhash, unigram
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def low(text):
+    return re.sub("[A-Z]", lambda m: m.group().lower(), text or "")
+
+
+def test_text_blocks_join_and_cut_between_words():
+    text = b"aa bb\ncc  dddddddd e"
+    for size in (1, 3, 7, 100):
+        parts = list(common.text_blocks(text, size))
+        assert b"".join(parts) == text
+        assert [w for p in parts for w in p.split()] == text.split()
+
+
+# Rules
+
+
+def measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    seen = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(3)}
+    return (
+        len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), len(lines)
+    )
+
+
+def failed(m):
+    n, chars, symbols, repeated, covered, lines = m
+    tests = (n < 50, 100 * covered > 50 * n, 10 * symbols > n, 2 * repeated > lines, chars < 3 * n, chars > 10 * n)
+    return sum(t << k for k, t in enumerate(tests))
+
+
+def test_ledger(corpus, clashing):
+    want = sorted((str(r.doc_id), *(m := measures(r.text)), failed(m)) for r in corpus.collect())
+    for docs in (corpus, clashing):
+        got = rules.ledger(docs).collect()
+        assert sorted((str(r.doc_id), *[r[m] for m in rules.MEASURES], r.fail_bits) for r in got) == want
+
+
+def test_policies_and_ablations(corpus, clashing, nothing):
+    bits = [failed(measures(r.text)) for r in corpus.collect()]
+    kept = rules.accept(clashing)
+    assert kept.columns == clashing.columns
+    assert kept.count() == sum(b == 0 for b in bits)
+    assert rules.accept(corpus, 1).count() == sum(b & 3 == 0 for b in bits)
+    got = {r.rule: (r.failed, r.failed_alone, r.kept_without) for r in rules.ablations(rules.ledger(corpus)).collect()}
+    for k, rule in enumerate(rules.RULES):
+        assert got[rule] == (sum(b >> k & 1 for b in bits), sum(b == 1 << k for b in bits), sum(b & ~(1 << k) == 0 for b in bits))
+    assert rules.ledger(nothing).count() == rules.accept(nothing).count() == rules.ablations(rules.ledger(nothing)).count() == 0
+
+
+def test_a_filter_does_not_repeat_the_measurements(corpus):
+    plan = rules.accept(corpus)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64(") == 1
+
+
+# SimHash
+
+
+def fingerprint(text, k=3):
+    words = WORD.findall(low(text))
+    if not words:
+        return 0
+    shingles = [" ".join(words[i : i + k]) for i in range(len(words) - k + 1)] or [" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def groups(values, bits=2):
+    """Component number of each distinct fingerprint."""
+    values = sorted(set(values))
+    parent = {v: v for v in values}
+
+    def root(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    for i, a in enumerate(values):
+        for b in values[i + 1 :]:
+            if (a ^ b).bit_count() <= bits:
+                parent[root(a)] = root(b)
+    return {v: root(v) for v in values}
+
+
+def test_simhash_in_blocks(monkeypatch):
+    whole = common.text_blocks
+    for size in (1, 5, 40):
+        monkeypatch.setattr(simhash, "text_blocks", lambda t, size=size: whole(t, size))
+        for text in ("", " ", "A b", "a b c", "A b  c\nd e f g h i j k l", "é ü ß x"):
+            assert simhash.simhash(text.encode()) == fingerprint(text)
+
+
+def test_near_duplicates(corpus, clashing):
+    rows = corpus.collect()
+    prints = [fingerprint(r.text) for r in rows]
+    group = groups(prints)
+    least = {}
+    for r, p in zip(rows, prints, strict=True):
+        if r.doc_id is not None:
+            least[group[p]] = min(least.get(group[p], r.doc_id), r.doc_id)
+    want = Counter((r.doc_id, p, least.get(group[p])) for r, p in zip(rows, prints, strict=True))
+    found = simhash.near_duplicates(clashing, ["doc_id"]).collect()
+    by = defaultdict(list)
+    for r in found:
+        by[r.root].append(r.doc_id)
+    least_of = {root: min((i for i in ids if i is not None), default=None) for root, ids in by.items()}
+    assert Counter((r.doc_id, r.fp % (1 << 64), least_of[r.root]) for r in found) == want
+    kept = simhash.keep_one(clashing)
+    assert kept.columns == clashing.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(least.get(g) for g in set(group.values()))
+
+
+def test_links_at_every_distance(spark):
+    """All pairs at 0 to 4 flipped bits around random fingerprints, places at their ends included."""
+    rnd = np.random.default_rng(1)
+    values = [0, 2**64 - 1, 0x1111111111111111, 0xF000000000000000]
+    values += [int(v) for v in rnd.integers(0, 2**64, 20, dtype=np.uint64)]
+    for v in list(values):
+        for _ in range(12):
+            flipped = v
+            for b in rnd.choice(64, rnd.integers(1, 5), replace=False):
+                flipped ^= 1 << int(b)
+            values.append(flipped)
+    signed = lambda v: v - (1 << 64) if v >> 63 else v
+    values = sorted(set(values))
+    table = common.stored(spark.createDataFrame([(signed(v),) for v in values], "fp long"), "test")
+    from riskloom.llm.components import components
+
+    roots = {r.node: r.root for r in components(simhash.links(table)).collect()}
+    want = groups(values)
+    mine = {v: roots.get(signed(v), signed(v)) for v in values}
+    assert len(set(mine.values())) == len(set(want.values()))
+    assert len({(mine[v], want[v]) for v in values}) == len(set(want.values()))
+
+
+def test_simhash_empty(nothing):
+    assert simhash.near_duplicates(nothing, ["doc_id"]).count() == simhash.keep_one(nothing).count() == 0
+
+
+# Secrets
+
+
+@pytest.fixture(scope="module")
+def scanner(spark):
+    return secrets.fit(spark, secrets.labelled_findings())
+
+
+def test_held_out_accuracy(scanner):
+    test = secrets.labelled_findings(1_500, seed=1234)
+    x = np.array([secrets.features(t, a, b, scanner.words, scanner.pairs) for t, a, b, _ in test.itertuples(index=False)])
+    p = secrets.leaf_values(scanner.trees, x).mean(axis=0)
+    assert ((p >= 0.5) == test["secret"].to_numpy()).mean() > 0.98
+
+
+def test_forest_agrees_over_sessions(spark, scanner):
+    again = secrets.fit(spark, secrets.labelled_findings())
+    assert all((a["threshold"] == b["threshold"]).all() and (a["value"] == b["value"]).all() for a, b in zip(scanner.trees, again.trees, strict=True))
+
+
+def test_findings_and_redaction(spark, scanner):
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    rows = [
+        (1, f'Some prose before token = "{key}" and after.', 10), (2, "order 4556737586899855 came, build 20240101", 11),
+        (3, None, None), (4, "", 0), (None, f'password = "{key}"', len(f'password = "{key}"')), (5, f"See commit {key} upstream.", 7),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("start", F.lit("mine"))
+    got = {(r.doc_id, r.is_secret) for r in secrets.findings(docs, scanner).collect()}
+    assert {(1, True), (None, True)} <= got and not {(2, True), (5, True)} & got
+    out = {r.doc_id: r for r in secrets.redacted(docs, scanner).collect()}
+    assert out[1].text == 'Some prose before token = "[secret]" and after.' and out[1].n_chars == 10
+    assert out[None].text == 'password = "[secret]"' and out[None].n_chars == len(out[None].text)
+    assert [out[k].text for k in (2, 3, 4, 5)] == [r[1] for r in rows if r[0] in (2, 3, 4, 5)]
+    assert secrets.redacted(docs, scanner).columns == docs.columns
+
+
+def test_clean_documents_stay_as_they_are(corpus, clashing, scanner):
+    assert Counter(r.text for r in secrets.redacted(clashing, scanner).collect()) == Counter(r.text for r in corpus.collect())
+
+
+def test_secrets_empty(nothing, scanner):
+    assert secrets.findings(nothing, scanner).count() == secrets.redacted(nothing, scanner).count() == 0
+
+
+# Mixing
+
+
+def targets(sizes, weights=(5, 2, 1), most=3):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {n: weights[i % len(weights)] for i, n in enumerate(names)}
+    total, capped = sum(sizes.values()), set()
+    while True:
+        free = sum(weight[n] for n in names if n not in capped)
+        level = (total - sum(most * sizes[n] for n in capped)) / free if free else 0
+        more = {n for n in names if n not in capped and weight[n] * level > most * sizes[n]}
+        if not more:
+            return {n: float(most * sizes[n]) if n in capped else weight[n] * level for n in names}
+        capped |= more
+
+
+def test_mix(corpus, clashing):
+    rows = corpus.collect()
+    sizes = defaultdict(int)
+    for r in rows:
+        sizes[r.source] += len(WORD.findall(r.text or ""))
+    want = targets(sizes)
+    slots, mixed = mixing.mix(clashing)
+    got = mixed.collect()
+    assert Counter((r.doc_id, r["size"], r.source_size) for r in got) == Counter(
+        (r.doc_id, len(WORD.findall(r.text or "")), sizes[r.source]) for r in rows
+    )
+    assert all(0 <= r.taken <= 3 * r["size"] and 0 <= r.copies <= 3 for r in got)
+    by = defaultdict(set)
+    for r in got:
+        by[r.source_size].add(r.target)
+    assert {round(t, 6) for ts in by.values() for t in ts} == {round(t, 6) for t in want.values()}
+    taken = defaultdict(int)
+    for r in got:
+        taken[r.source_size] += r.taken
+    size_of = defaultdict(float)
+    for n, t in want.items():
+        size_of[sizes[n]] += t
+    block = 1 if sum(sizes.values()) < mixing.LEAST_SLOTS else mixing.BLOCK
+    for s, t in taken.items():
+        assert abs(t - size_of[s]) <= 20 * block
+    again = mixing.mix(corpus)[1].collect()
+    key = lambda r: (r.doc_id is None, r.doc_id, r["size"], r.taken)
+    assert sorted(map(key, again), key=str) == sorted(map(key, got), key=str)
+    # the schedule gives every source its share in any stretch
+    order = [r._sid for r in slots.orderBy("slot").collect()]
+    shares = Counter(order)
+    part = Counter(order[: len(order) // 3])
+    assert all(abs(part[s] - n / 3) <= 25 for s, n in shares.items())
+
+
+def test_mix_ranks_and_capped_targets(spark):
+    rows = [(i, "w " * 10, "a") for i in range(3)] + [(10 + i, "w " * 100, "b") for i in range(50)] + [(99, "x", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    slots, mixed = mixing.mix(docs)
+    got = mixed.groupBy("source_size").agg(F.first("target"), F.sum("taken")).collect()
+    by = {r[0]: r[1:] for r in got}
+    assert by[30] == (90.0, 90) and by[1][0] == 3.0
+    assert abs(by[5000][1] - by[5000][0]) <= 5
+    ranks = defaultdict(list)
+    for r in slots.orderBy("slot").collect():
+        ranks[r._sid].append(r.rank)
+    assert all(v == list(range(len(v))) for v in ranks.values())
+
+
+def test_mixed_documents(corpus, clashing, nothing):
+    copies = Counter()
+    for r in mixing.mix(corpus)[1].collect():
+        copies[r.doc_id] += r.copies
+    out = mixing.mixed_documents(clashing)
+    assert out.columns == clashing.columns
+    got = Counter(r.doc_id for r in out.collect())
+    # rows that share an id may change places between runs, their sum does not
+    assert got == Counter({k: v for k, v in copies.items() if v})
+    assert mixing.mix(nothing)[1].count() == mixing.mixed_documents(nothing).count() == 0
+
+
+# Token counts
+
+
+def library(pieces, by_bytes):
+    from tokenizers import Regex, Tokenizer, models, pre_tokenizers
+
+    made = Tokenizer(models.Unigram(pieces, 0, by_bytes))
+    made.pre_tokenizer = pre_tokenizers.Sequence(
+        [pre_tokenizers.Split(Regex(r"[\x20\x09-\x0D]+"), "removed"), pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=False)]
+    )
+    return made
+
+
+def test_counts_match_the_tokenizer(corpus, clashing, nothing):
+    path = unigram.default_vocabulary()
+    made = library(unigram.vocabulary(path), True)
+    want = Counter((r.doc_id, len(made.encode(r.text or "", add_special_tokens=False).ids)) for r in corpus.collect())
+    assert Counter((r.doc_id, r.n_tokens) for r in unigram.token_counts(clashing, path).collect()) == want
+    assert unigram.token_counts(nothing, path).count() == 0
+
+
+def test_ties_and_unknowns():
+    import random
+
+    rnd = random.Random(3)
+    for by_bytes in (False, True) * 60:
+        vocabulary = {"".join(rnd.choice("ab▁é") for _ in range(rnd.randint(1, 4))): float(-rnd.randint(0, 3)) for _ in range(10)}
+        pieces = [("<unk>", 0.0), *vocabulary.items(), *([(f"<0x{b:02X}>", 0.0) for b in range(256)] if by_bytes else [])]
+        made, count = library(pieces, by_bytes), unigram.counter(pieces)
+        for _ in range(15):
+            word = "".join(rnd.choice("abéxy") for _ in range(rnd.randint(1, 9)))
+            assert count(word)[0] == len(made.encode(word, add_special_tokens=False).ids)
+
+
+# Packing
+
+
+def test_pack(corpus, clashing, nothing):
+    from tokenizers import Tokenizer
+
+    made = Tokenizer.from_file(packing.default_tokenizer())
+    want, total = Counter(), 0
+    for r in corpus.collect():
+        ids = np.array(made.encode(r.text or "", add_special_tokens=False).ids + [0], "<u4")
+        total += len(ids)
+        for k, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at : at + 2048]
+            want[(r.doc_id, k, at, len(part), zlib.crc32(part.tobytes()), part.tobytes())] += 1
+    got = packing.pack(clashing, packing.default_tokenizer(), with_ids=True).collect()
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32, bytes(r.ids)) for r in got) == want
+    sequences = defaultdict(list)
+    for r in got:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    assert len(sequences) <= -(-total // 2048) + 2
+    assert packing.pack(nothing, packing.default_tokenizer()).count() == 0
+
+
+def test_bins_close_the_fullest():
+    bins = packing.Bins(10, 2)
+    assert list(bins.give(4, "a")) == [] and list(bins.give(7, "b")) == []
+    assert list(bins.give(3, "c")) == [(1, 10, [(0, "b"), (7, "c")])]  # best fit: 3 free beats 6
+    assert list(bins.give(8, "d")) == []
+    assert list(bins.give(9, "e")) == [(1 + 1, 8, [(0, "d")])]  # full house: the fullest goes
+    assert sorted((fill, [i for _, i in items]) for _, fill, items in bins.rest()) == [(4, ["a"]), (9, ["e"])]
+
+
+def test_few_open_bins_still_pack_everything(corpus):
+    few = packing.pack(corpus, packing.default_tokenizer(), open_bins=2)
+    assert few.agg(F.sum("length")).first()[0] == packing.pack(corpus, packing.default_tokenizer()).agg(F.sum("length")).first()[0]
