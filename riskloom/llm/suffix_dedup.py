@@ -352,10 +352,10 @@ def ordered(documents: DataFrame) -> DataFrame:
     rows, known, distinct = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id")).first()
     if rows == known == distinct:
         return docs.withColumn("_doc", F.col("doc_id"))
-    docs = numbered(docs, "ordered")
-    keys = docs.select("_row", "doc_id", F.col("doc_id").isNull().alias("_null"))
-    keys = stored(dense_key(keys, ["_null", "doc_id", "_row"], "_doc").select("_row", "_doc"), "document-order")
-    return docs.join(small(keys), "_row").select("_doc", "doc_id", "text")
+    docs = numbered(docs, "ordered").withColumnRenamed("_row", "_nth")
+    keys = docs.select("_nth", "doc_id", F.col("doc_id").isNull().alias("_null"))
+    keys = stored(dense_key(keys, ["_null", "doc_id", "_nth"], "_doc").select("_nth", "_doc"), "document-order")
+    return docs.join(small(keys), "_nth").select("_doc", "doc_id", "text")
 
 
 def remove_repeats(
