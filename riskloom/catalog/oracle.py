@@ -417,7 +417,9 @@ _sql(
         FROM (SELECT p.home_city, f.city,
                      {_km('p.home_latitude', 'p.home_longitude', 'c.home_latitude', 'c.home_longitude')} AS km
               FROM fact f JOIN people p USING (customer_id)
-              JOIN (SELECT DISTINCT home_city, home_latitude, home_longitude FROM people) c ON c.home_city = f.city)
+              JOIN (SELECT city AS home_city, coalesce(min(q.home_latitude), min(latitude)) AS home_latitude,
+                           coalesce(min(q.home_longitude), min(longitude)) AS home_longitude
+                    FROM fact LEFT JOIN people q ON q.home_city = city GROUP BY city) c ON c.home_city = f.city)
         WHERE km >= 800 GROUP BY ALL""",
 )
 _sql(

@@ -10,10 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 2000 * a * b stays inside a 64-bit integer, with room for one more term.
-_PRODUCT_LIMIT = 4e15
-
-
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,12 +36,10 @@ def mean_cents(total: Column, count: Column) -> Column:
 
 def ratio_milli(value: Column, total: Column, count: Column) -> Column:
     """value / (total / count) in thousandths, half up, for positive values;
-    NULL without a total. Products beyond 64 bits (billions of rows in a frame)
-    fall back to doubles, good to fifteen digits."""
-    fits = value * F.lit(1.0) * count <= _PRODUCT_LIMIT
-    exact = _div(F.lit(2000) * value * count + total, F.lit(2) * total)
-    close = F.floor(value / total * count * F.lit(1000.0) + F.lit(0.5))
-    return F.when(total > 0, F.when(fits, exact).otherwise(close))
+    NULL without a total. The product of a value and a count passes 64 bits in
+    long frames, so it is taken in 38 digits, on every row alike."""
+    wide = lambda c: c.cast("decimal(19,0)")
+    return F.when(total > 0, _div(wide(value) * wide(F.lit(2000) * count) + wide(total), wide(F.lit(2) * total)))
 
 
 def elapsed_units(micros: Column, unit_micros: int) -> Column:
@@ -54,10 +48,18 @@ def elapsed_units(micros: Column, unit_micros: int) -> Column:
 
 
 def micros(ts: Column | str) -> Column:
-    """Microseconds since the epoch of a zoned or zone-less timestamp."""
+    """Microseconds since the epoch of a zoned timestamp."""
     return F.unix_micros(_col(ts).cast("timestamp"))
 
 
+def wall_micros(ts: Column | str) -> Column:
+    """Microseconds of a zone-less timestamp since 1970 on its own clock, whatever the session's zone."""
+    t = _col(ts)
+    days = F.unix_date(t.cast("date")).cast("bigint")
+    minutes = days * 1440 + F.hour(t) * 60 + F.minute(t)
+    return minutes * 60_000_000 + (F.extract(F.lit("SECOND"), t) * 1_000_000).cast("bigint")
+
+
 def round_half_even(value: Column) -> Column:
     """Nearest integer, ties to even."""
     return F.bround(value, 0).cast("int")

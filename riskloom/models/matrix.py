@@ -29,13 +29,15 @@ CATEGORIES = tuple(sorted(MERCHANT_CATEGORIES))
 MAX_CATEGORIES = 500
 
 
-def frozen_categories(train: DataFrame, column: str = "merchant_category") -> tuple[str, ...]:
-    """The category list to keep with a model, sorted. One-hot columns must
-    stay few, so a longer list is an error rather than a cut."""
-    found = [r[0] for r in train.select(column).distinct().limit(MAX_CATEGORIES + 1).collect()]
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
-    return tuple(sorted(c for c in found if c is not None))
+def frozen_categories(train: DataFrame, column: str = "merchant_category", most: int = MAX_CATEGORIES) -> tuple[str, ...]:
+    """The category list to keep with a model, sorted: a column of the matrix
+    each. They are counted before any is fetched; more than ``most`` is an error
+    rather than a cut, and ``most`` a setting of the run."""
+    values = train.select(column).filter(F.col(column).isNotNull()).distinct()
+    count = values.count()
+    if count > most:
+        raise ValueError(f"{column} has {count} values, the setting allows {most}")
+    return tuple(sorted(r[0] for r in values.collect()))
 
 
 def matrix_columns(categories: Sequence[str] = CATEGORIES) -> list[str]:

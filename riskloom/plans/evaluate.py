@@ -12,7 +12,7 @@ from riskloom.operators.ordering import exact_quantiles, running_totals
 from riskloom.plans.validation import share
 from riskloom.sources.schemas import MODEL_PERFORMANCE, SCENARIO_RECALL
 
-# Published model names, labels and order; pass other labels to the tables below.
+# Published model names, labels and order; pass other labels to the tables below.
 MODEL_LABELS = {
     "rule: amount >= $500": ("Rule: amount >= $500", 1),
     "isolation_forest": ("Isolation Forest", 2),
@@ -136,7 +136,8 @@ def evaluate(
 def _labelled(df: DataFrame, labels: Mapping[str, tuple[str, int]]) -> DataFrame:
     entries = [x for name, (label, order) in labels.items() for x in (
         F.lit(name), F.struct(F.lit(label).alias("label"), F.lit(order).cast("smallint").alias("sort_order")))]
-    return df.withColumn("_known", F.create_map(*entries)[F.col("model")])
+    unknown = F.raise_error(F.concat(F.lit("no published label for model "), F.coalesce("model", F.lit("NULL"))))
+    return df.withColumn("_known", F.coalesce(F.create_map(*entries)[F.col("model")], unknown))
 
 
 def model_performance(metrics: DataFrame, labels=MODEL_LABELS) -> DataFrame:

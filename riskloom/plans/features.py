@@ -3,31 +3,35 @@ up to and including that transaction."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from riskloom.functions.exact import cents, elapsed_units, mean_cents, micros, ratio_milli, scaled
+from riskloom.functions.exact import cents, elapsed_units, mean_cents, micros, ratio_milli, scaled, wall_micros
 from riskloom.functions.geo import haversine_km
 from riskloom.operators.history import HOT_ROWS, with_history
 
 FRAMES = {"1h": 3_600, "24h": 86_400, "7d": 7 * 86_400, "30d": 30 * 86_400}
-FEATURE_COLUMNS = (
-    "transaction_id", "customer_id", "txn_timestamp", "amount", "merchant_category", "channel", "customer_txn_seq",
-    "avg_amount_7d", "avg_amount_30d", "amount_to_avg_7d_ratio", "amount_to_avg_30d_ratio",
-    "txn_count_1h", "txn_count_24h", "amount_sum_1h", "amount_sum_24h",
-    "minutes_since_prev_txn", "km_from_prev_txn", "geo_velocity_kmh", "km_from_home",
-    "device_age_hours", "hour_of_day", "day_of_week", "is_night", "is_online", "is_fraud",
-)
 _TENTH_MINUTE = 6_000_000
 _HUNDREDTH_HOUR = 36_000_000
 
 
+def _clock(us: str) -> Column:
+    """Zone-less timestamp from microseconds on its own clock."""
+    seconds = (F.col(us).cast("decimal(20,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
 def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All feature columns; transactions of unknown customers drop out."""
+    """All feature columns; transactions of unknown customers drop out.
+
+    Zone-less times are taken by their own clock, so neither the session's zone
+    nor its changes to summer time matter; zoned times by the session's clock."""
+    zoneless = isinstance(fact.schema["txn_timestamp"].dataType, T.TimestampNTZType)
     # Time and amount travel through the shuffle once, as integers.
     history = with_history(
         fact.select(
-            "transaction_id", "customer_id", "device_id", micros("txn_timestamp").alias("ts_us"),
+            "transaction_id", "customer_id", "device_id", (wall_micros if zoneless else micros)("txn_timestamp").alias("ts_us"),
             cents("amount").alias("cents"), "merchant_category", "channel", "latitude", "longitude", "is_fraud",
         ),
         key="customer_id",
@@ -51,7 +55,7 @@ def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) ->
             "gap_us": F.col("ts_us") - F.col("prev_ts_us"),
             "km_prev": haversine_km(F.col("prev_latitude"), F.col("prev_longitude"), *point),
             "km_home": haversine_km(F.col("home_latitude"), F.col("home_longitude"), *point),
-            "ts": F.timestamp_micros("ts_us"),
+            "ts": _clock("ts_us") if zoneless else F.timestamp_micros("ts_us"),
         }
     ).withColumn("hour", F.hour("ts").cast("smallint"))
     gap_us, km_prev, ts, hour = (F.col(c) for c in ("gap_us", "km_prev", "ts", "hour"))

@@ -44,10 +44,13 @@ def positive_weight(train: DataFrame, label: str = "is_fraud") -> DataFrame:
 
 def blend_score(probability: Column, isolation: Column, weight: float = BLEND_WEIGHT) -> Column:
     """0..100: weighted sum of a probability and a 0..100 anomaly score, ties to
-    even. Decimal arithmetic keeps an exact .5 exact."""
-    first = F.lit(Decimal(str(weight)) * 100).cast("decimal(5,2)")
-    second = F.lit(1 - Decimal(str(weight))).cast("decimal(3,2)")
-    total = first * probability.cast("decimal(6,5)") + second * isolation.cast("decimal(5,2)")
+    even. Decimal arithmetic keeps an exact .5 exact; the weights have the
+    digits they were given, and sum to 1."""
+    if not 0 <= weight <= 1:
+        raise ValueError("the blend weight is between 0 and 1")
+    share = Decimal(str(weight))
+    exact = lambda x: F.lit(x).cast(f"decimal({max(0, -share.as_tuple().exponent) + 3},{max(0, -share.as_tuple().exponent)})")
+    total = exact(share * 100) * probability.cast("decimal(6,5)") + exact(1 - share) * isolation.cast("decimal(5,2)")
     return round_half_even(total).cast("smallint")
 
 

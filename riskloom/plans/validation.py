@@ -97,7 +97,11 @@ def city_distances(fact: DataFrame, customers: DataFrame, min_km: float = 800.0)
         F.min("home_latitude").alias("lat"), F.min("home_longitude").alias("lon")
     )
     near = centres.select("home_city", F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
-    far = centres.select(F.col("home_city").alias("city"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
+    # A city that is nobody's home lies where its purchases were made.
+    seen = fact.groupBy("city").agg(F.min("latitude").alias("lat"), F.min("longitude").alias("lon"))
+    far = seen.alias("s").join(centres.alias("c"), F.col("s.city") == F.col("c.home_city"), "left").select(
+        "s.city", F.coalesce("c.lat", "s.lat").alias("lat2"), F.coalesce("c.lon", "s.lon").alias("lon2")
+    )
     km = haversine_km(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
     return (
         pairs.join(near, "home_city")
