@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 
 from riskloom.plans.evaluate import MODEL_LABELS
-from riskloom.sources.schemas import MERCHANT_CATEGORIES, STAR
+from riskloom.sources.schemas import MERCHANT_CATEGORIES
 
 # Named building blocks; each may use the ones it mentions.
 PARTS: dict[str, str] = {}
@@ -301,6 +301,12 @@ _COUNTS = " UNION ALL ".join(
 _sql("load_counts", _COUNTS)
 _sql("star_reload", _COUNTS)
 _sql("csv_scan", f"SELECT * REPLACE (CAST(age AS BIGINT) AS age, strftime(signup_date, '%Y-%m-%d') AS signup_date) FROM people")
+_sql("csv_scan_device", f"SELECT device_id, customer_id, device_type, {_ts('first_seen_at')}, is_trusted FROM gear")
+_sql(
+    "csv_scan_transaction",
+    f"""SELECT transaction_id, customer_id, device_id, {_ts('txn_timestamp')}, CAST(amount AS DOUBLE) AS amount,
+               merchant_category, channel, city, state, latitude, longitude, is_fraud, fraud_scenario FROM fact""",
+)
 _sql(
     "pk_violations",
     "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows FROM lineitem "
@@ -334,6 +340,7 @@ _sql(
             _pk("dim_customer", "people", "customer_id"),
             _pk("dim_device", "gear", "device_id"),
             _pk("fact_transaction", "fact", "transaction_id"),
+            _pk("txn_features", "feats", "transaction_id"),
             _pk("txn_risk_scores", "scores", "transaction_id"),
             _fk("dim_device", "gear", "customer_id", "dim_customer", "people"),
             _fk("fact_transaction", "fact", "customer_id", "dim_customer", "people"),
@@ -350,22 +357,41 @@ _sql(
 )
 
 
+# The declared rules, written out here on their own: column, longest text or NULL; all but the last are required.
+_DECLARED = {
+    "dim_customer": (
+        "people",
+        {"customer_id": 10, "home_city": 50, "home_state": 2, "home_latitude": None, "home_longitude": None, "age": None,
+         "customer_segment": 20, "signup_date": None},
+    ),
+    "dim_device": (
+        "gear",
+        {"device_id": 10, "customer_id": 10, "device_type": 20, "first_seen_at": None, "is_trusted": None},
+    ),
+    "fact_transaction": (
+        "raw",
+        {"transaction_id": 12, "customer_id": 10, "device_id": 10, "txn_timestamp": None, "amount": None,
+         "merchant_category": 30, "channel": 10, "city": 50, "state": 2, "latitude": None, "longitude": None,
+         "is_fraud": None, "fraud_scenario": 30},
+    ),
+}
+
+
 def _rules(kind: str) -> str:
     out = []
-    sources = {"dim_customer": "people", "dim_device": "gear", "fact_transaction": "raw"}
-    for table, spec in STAR.items():
-        conditions = {
-            "not_null": {c: f"{c} IS NULL" for c in spec.required},
-            "check": {n: f"NOT ({sql})" for n, sql in spec.checks.items()},
-            "limit": {
-                **{c: f"length({c}) > {n}" for c, n in spec.lengths.items()},
-                **{f"{c}_precision": f"{c} IS NOT NULL AND abs({c}) >= 10000000000" for c in spec.decimals},
-            },
-        }[kind]
+    for table, (part, columns) in _DECLARED.items():
+        if kind == "not_null":
+            broken = {c: f"{c} IS NULL" for c in columns if c != "fraud_scenario"}
+        elif kind == "limit":
+            broken = {c: f"length({c}) > {n}" for c, n in columns.items() if n}
+            if "amount" in columns:
+                broken["amount_precision"] = "abs(amount) >= 10000000000"
+        else:
+            broken = {"amount_positive": "amount <= 0", "channel_known": "channel NOT IN ('online', 'in_store')"}
+            broken = broken if "amount" in columns else {}
         out += [
-            f"SELECT '{table}' AS table_name, '{kind}' AS kind, '{rule}' AS rule, "
-            f"count(*) FILTER ({cond}) AS violations FROM {sources[table]}"
-            for rule, cond in conditions.items()
+            f"SELECT '{table}' AS table_name, '{kind}' AS kind, '{rule}' AS rule, count(*) FILTER ({test}) AS violations FROM {part}"
+            for rule, test in broken.items()
         ]
     return " UNION ALL ".join(out)
 
@@ -399,6 +425,7 @@ _sql(
        FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate
                                 RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)""",
 )
+SQL["txn_features_sliced"], SQL["order_spend_90d_sliced"] = SQL["txn_features"], SQL["order_spend_90d"]
 _sql(
     "feature_validation",
     f"""SELECT coalesce(f.fraud_scenario, 'legit') AS scenario, count(*) AS txns,
@@ -536,6 +563,12 @@ SELECT d AS "Date", CAST(year(d) AS BIGINT) AS "Year", CAST(month(d) AS BIGINT)
 FROM (SELECT CAST(unnest(generate_series(make_date(year(min(signup_date)), 1, 1), make_date(year(max(signup_date)), 12, 31),
                                          INTERVAL 1 DAY)) AS DATE) AS d FROM people)"""
 _sql("auto_calendar", f"SELECT * REPLACE ({_day('Date')}) FROM cal")
+PARTS["txncal"] = """
+SELECT d AS "Date", CAST(year(d) AS BIGINT) AS "Year", CAST(month(d) AS BIGINT) AS "MonthNo", strftime(d, '%B') AS "Month",
+       CAST(quarter(d) AS BIGINT) AS "QuarterNo", 'Qtr ' || quarter(d) AS "Quarter", CAST(day(d) AS BIGINT) AS "Day"
+FROM (SELECT CAST(unnest(generate_series(make_date(year(min(ts)), 1, 1), make_date(year(max(ts)), 12, 31),
+                                         INTERVAL 1 DAY)) AS DATE) AS d FROM events)"""
+_sql("txn_calendar", f"SELECT * REPLACE ({_day('Date')}) FROM txncal")
 _sql(
     "signups_by_quarter",
     'SELECT "Year", "Quarter", count(*) AS customers FROM people JOIN cal ON signup_date = "Date" GROUP BY ALL',

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from riskloom.functions.exact import round_half_even
 from riskloom.models import boost, forest, matrix
+from riskloom.models.trees import Ensemble
 from riskloom.models.trees import feature_importance as gain_share
 from riskloom.operators import calendar as cal
 from riskloom.operators import integrity
@@ -23,9 +24,9 @@ from riskloom.operators.history import rolling
 from riskloom.operators.ordering import dense_key, exact_quantiles
 from riskloom.plans import bi, evaluate, export, pipeline, scoring, tiles, validation
 from riskloom.plans.features import features
-from riskloom.plans.measures import between, summarize
+from riskloom.plans.measures import MEASURES, between, summarize
 from riskloom.sources import star, testdata
-from riskloom.sources.schemas import MODEL_PERFORMANCE, SCENARIO_RECALL, SCORES, STAR
+from riskloom.sources.schemas import FEATURES, MODEL_PERFORMANCE, SCENARIO_RECALL, SCORES, STAR
 from riskloom.storage import materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,25 +75,36 @@ def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-period rows with labels and scores, written once."""
-    scores = _scores(spark, sf_dir).filter("dataset_split = 'test'")
-    fact = testdata.transactions(spark, sf_dir).select("transaction_id", "amount", "is_fraud", "fraud_scenario")
-    return materialize(scores.join(fact, "transaction_id"), "scored_test")
+    rows = pipeline.test_rows(_scores(spark, sf_dir), testdata.transactions(spark, sf_dir), testdata.TEST_START)
+    return materialize(rows, "scored_test")
 
 
 def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.evaluate(evaluate.policies(_scored_test(spark, sf_dir)))
 
 
-def _bi_fact(tables: dict[str, DataFrame]) -> DataFrame:
-    feats = materialize(features(tables["fact_transaction"], tables["dim_customer"]), "txn_features")
-    scores = scoring.blend(_outputs(feats))
-    return bi.bi_fact(tables["fact_transaction"], scores, feats, tables["dim_device"])
+_REPORTS: dict[tuple[str, str], str] = {}
+
+
+def _bi_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The reporting fact of a data folder, published once per session, by period."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _REPORTS:
+        tables = testdata.star(spark, sf_dir)
+        base = scratch_path(spark, "reports")
+        star.publish(features(tables["fact_transaction"], tables["dim_customer"]), base, "txn_features")
+        feats = star.read_table(spark, base, "txn_features")
+        fact = bi.bi_fact(tables["fact_transaction"], scoring.blend(_outputs(feats)), feats, tables["dim_device"])
+        star.publish(fact, base, "bi_fact_transactions", ("model_period",))
+        _REPORTS[key] = base
+    fact = star.read_table(spark, _REPORTS[key], "bi_fact_transactions")
+    return fact.select(*[c for c in fact.columns if c != "model_period"], "model_period")
 
 
 def _model(spark: SparkSession, sf_dir: str) -> tiles.StarModel:
     tables = testdata.star(spark, sf_dir)
     return tiles.star_model(
-        _bi_fact(tables), bi.bi_customer(tables["dim_customer"]), bi.bi_date(tables["fact_transaction"])
+        _bi_fact(spark, sf_dir), bi.bi_customer(tables["dim_customer"]), bi.bi_date(tables["fact_transaction"])
     )
 
 
@@ -114,13 +126,30 @@ def star_reload(spark, sf_dir):
     return star.table_counts(star.read_star(spark, base))
 
 
+def _csv(spark, sf_dir, name):
+    """Write a table as CSV files in two column orders, read them by header."""
+    base, rows = scratch_path(spark, "csv"), testdata.star(spark, sf_dir)[name]
+    odd = F.pmod(F.xxhash64(*STAR[name].key), F.lit(2)) == 1
+    for mode, part, columns in (("error", odd, rows.columns), ("append", ~odd, rows.columns[::-1])):
+        written = rows.filter(part).select(*columns).write.mode(mode).option("header", True)
+        written.option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/{STAR[name].file}")
+    return star.read_star_csv(spark, base, (name,))[name]
+
+
 @query
 def csv_scan(spark, sf_dir):
-    """Write the customers as CSV with reordered columns, read them by header."""
-    spec, base = STAR["dim_customer"], scratch_path(spark, "csv")
-    rows = testdata.customers(spark, sf_dir)
-    rows.select(*reversed(rows.columns)).write.option("header", True).csv(base)
-    return star.read_csv(spark, base, spec)
+    return _csv(spark, sf_dir, "dim_customer")
+
+
+@query
+def csv_scan_device(spark, sf_dir):
+    return _csv(spark, sf_dir, "dim_device")
+
+
+@query
+def csv_scan_transaction(spark, sf_dir):
+    """With NULL scenarios, decimals and timestamps."""
+    return _csv(spark, sf_dir, "fact_transaction")
 
 
 @query
@@ -140,8 +169,8 @@ def fk_violations(spark, sf_dir):
 def key_report(spark, sf_dir):
     feats = _features(spark, sf_dir)
     scores = scoring.blend(_outputs(feats))
-    tables = {**testdata.star(spark, sf_dir), "txn_risk_scores": scores}
-    return integrity.table_violations(tables, {**STAR, "txn_risk_scores": SCORES})
+    tables = {**testdata.star(spark, sf_dir), "txn_features": feats, "txn_risk_scores": scores}
+    return integrity.table_violations(tables, {**STAR, "txn_features": FEATURES, "txn_risk_scores": SCORES})
 
 
 @query
@@ -229,6 +258,21 @@ def order_spend_90d(spark, sf_dir):
     return out.select("o_orderkey", F.col("sum").alias("cents_90d"), F.col("count").alias("orders_90d"))
 
 
+@query
+def txn_features_sliced(spark, sf_dir):
+    """The same features, with every customer of more than a few rows taken by slices."""
+    return features(testdata.transactions(spark, sf_dir), testdata.customers(spark, sf_dir), hot_rows=3)
+
+
+@query
+def order_spend_90d_sliced(spark, sf_dir):
+    orders = testdata.read(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderdate", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents")
+    )
+    out = rolling(orders, "o_custkey", "o_orderdate", "cents", 90 * 86_400, "o_orderkey", hot_rows=3, slice_rows=2_000)
+    return out.select("o_orderkey", F.col("sum").alias("cents_90d"), F.col("count").alias("orders_90d"))
+
+
 @query
 def feature_validation(spark, sf_dir):
     feats = _features(spark, sf_dir)
@@ -311,62 +355,49 @@ def model_matrix(spark, sf_dir):
 
 # ---------------------------------------------------- fitted models (no SQL form)
 
-# Small ensembles, so that every registered query ends in seconds; all rows are
-# fitted on and scored. The pipeline's own defaults are the full sizes.
-SMALL = pipeline.Settings(
-    valid_start=testdata.VALID_START,
-    test_start=testdata.TEST_START,
-    forest_trees=100,
-    forest_sample=1_024,
-    boost_trees=20,
-    boost_patience=5,
-    learning_rate=0.2,
-)
+SETTINGS = pipeline.Settings(valid_start=testdata.VALID_START, test_start=testdata.TEST_START)
+_FITTED: dict[tuple[str, str], tuple[DataFrame, Ensemble, Ensemble]] = {}
 
 
-def _matrix(spark, sf_dir):
-    return pipeline.training_matrix(_features(spark, sf_dir), SMALL)
+def _fitted(spark, sf_dir):
+    """Matrix and both models of a data folder at their full sizes, fitted once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        made, columns = pipeline.training_matrix(_features(spark, sf_dir), SETTINGS)
+        _FITTED.clear()
+        _FITTED[key] = (made, *pipeline.fit(made, columns, SETTINGS))
+    return _FITTED[key]
 
 
 @query
 def isolation_scores(spark, sf_dir):
-    made, columns = _matrix(spark, sf_dir)
-    train = made.filter("dataset_split = 'train'")
-    model = forest.fit_forest(train, columns, trees=SMALL.forest_trees, sample=SMALL.forest_sample)
+    made, model, _ = _fitted(spark, sf_dir)
     return forest.score_forest(made, model).select("transaction_id", "dataset_split", "isolation_anomaly_score")
 
 
-def _boosted(spark, sf_dir):
-    made, columns = _matrix(spark, sf_dir)
-    parts = [made.filter(F.col("dataset_split") == part) for part in ("train", "valid")]
-    model = boost.fit_boost(
-        *parts, columns, max_trees=SMALL.boost_trees, patience=SMALL.boost_patience, learning_rate=SMALL.learning_rate
-    )
-    return made, model
-
-
 @query
 def boosted_scores(spark, sf_dir):
-    made, model = _boosted(spark, sf_dir)
+    made, _, model = _fitted(spark, sf_dir)
     return boost.score_boost(made, model).select("transaction_id", "dataset_split", "xgb_fraud_probability")
 
 
 @query
 def feature_importance(spark, sf_dir):
-    return gain_share(_boosted(spark, sf_dir)[1], spark)
+    return gain_share(_fitted(spark, sf_dir)[2], spark)
 
 
 @query
 def top_features(spark, sf_dir):
-    return gain_share(_boosted(spark, sf_dir)[1], spark).limit(10)
+    return gain_share(_fitted(spark, sf_dir)[2], spark).limit(10)
 
 
 @query
 def fitted_performance(spark, sf_dir):
     """Test-period metrics of the fitted models, as published."""
-    made, columns = _matrix(spark, sf_dir)
-    scores = materialize(pipeline.score(made, *pipeline.fit(made, columns, SMALL)), "scores")
-    tested = materialize(pipeline.test_rows(scores, testdata.transactions(spark, sf_dir)), "scored_test")
+    scores = materialize(pipeline.score(*_fitted(spark, sf_dir)), "scores")
+    tested = materialize(
+        pipeline.test_rows(scores, testdata.transactions(spark, sf_dir), testdata.TEST_START), "scored_test"
+    )
     return evaluate.model_performance(evaluate.evaluate(evaluate.policies(tested)))
 
 
@@ -437,7 +468,7 @@ def scenario_matrix(spark, sf_dir):
 
 @query
 def bi_fact(spark, sf_dir):
-    return _bi_fact(testdata.star(spark, sf_dir))
+    return _bi_fact(spark, sf_dir)
 
 
 @query
@@ -455,6 +486,12 @@ def auto_calendar(spark, sf_dir):
     return cal.calendar(testdata.customers(spark, sf_dir), "signup_date")
 
 
+@query
+def txn_calendar(spark, sf_dir):
+    """The second automatic date table, over the transactions' days."""
+    return cal.calendar(testdata.transactions(spark, sf_dir), "txn_timestamp")
+
+
 @query
 def signups_by_quarter(spark, sf_dir):
     """The date hierarchy at quarter level, joined on the date part."""
@@ -466,7 +503,7 @@ def signups_by_quarter(spark, sf_dir):
 
 @query
 def period_outcome(spark, sf_dir):
-    return bi.period_outcome(_bi_fact(testdata.star(spark, sf_dir)))
+    return bi.period_outcome(_bi_fact(spark, sf_dir))
 
 
 def _tile(name: str) -> None:
@@ -483,13 +520,8 @@ for _name in tiles.TILES:
 @query
 def all_measures(spark, sf_dir):
     """Every measure per customer segment: a dimension axis."""
-    names = [
-        "total_transactions", "total_volume", "fraud_transactions", "fraud_exposure", "fraud_rate",
-        "fraud_prevented", "fraud_missed", "prevention_rate", "flagged_alerts", "critical_alerts",
-        "frauds_caught", "false_alarms", "alert_precision", "fraud_catch_rate", "false_positive_rate",
-        "avg_risk_score", "review_cost", "net_savings", "fraud_prevented_per_alert", "report_subtitle",
-    ]
-    return summarize(_model(spark, sf_dir), ["customer_segment"], names)
+    parts = ("legit_transactions", "selected_version", "selected_period", "sum_amount", "sum_risk_score")
+    return summarize(_model(spark, sf_dir), ["customer_segment"], [n for n in MEASURES if n not in parts])
 
 
 @query

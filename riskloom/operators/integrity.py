@@ -107,7 +107,24 @@ def table_violations(tables: Mapping[str, DataFrame], specs: Mapping[str, TableS
 
 
 def violations(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec]) -> DataFrame:
-    """Every declared rule with its number of violations."""
+    """Every declared rule with its number of violations. ``tables`` may hold
+    parents that are not checked themselves."""
     return table_violations(tables, specs).unionByName(
         row_violations(tables, specs, ("not_null", "check", "limit"))
     )
+
+
+class BrokenRules(ValueError):
+    """Declared rules that published tables break."""
+
+
+def enforce(tables: Mapping[str, DataFrame], specs: Mapping[str, TableSpec], report: str, stop: bool = True) -> None:
+    """Check the declared rules of stored tables, append what was found to the
+    table ``report``, and raise if ``stop`` and any rule is broken."""
+    names = ", ".join(specs)
+    found = violations(tables, specs).coalesce(1)
+    found.write.mode("append").parquet(report)
+    rules = found.sparkSession.read.parquet(report).filter(F.col("table_name").isin(*specs) & (F.col("violations") > 0))
+    broken = rules.distinct().orderBy("table_name", "kind", "rule").collect()  # at most one row per declared rule and run
+    if stop and broken:
+        raise BrokenRules(f"{names}: " + "; ".join(f"{r.table_name} {r.kind} {r.rule}: {r.violations} rows" for r in broken))

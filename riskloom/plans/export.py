@@ -16,14 +16,23 @@ DIMENSIONS = (
 ALERT_FROM = 30
 
 
+# What columns and alerts show of a transaction.
+_SHOWN = (
+    "transaction_id", "customer_id", "txn_timestamp", "txn_date", "txn_hour", "amount", "city", "anomaly_risk_score",
+    "is_fraud", "is_flagged", *(d for d in DIMENSIONS if d != "customer_segment"), "txn_count_1h",
+    "amount_to_avg_30d_ratio", "geo_velocity_kmh", "device_age_hours",
+)
+
+
 def live_rows(fact: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFrame:
     """Live transactions with segment and week, numbered from 0 by (time, id).
     The numbering stores its input, which columns, dictionaries and alerts then read."""
     rows = (
         fact.filter(F.col("model_period") == LIVE["model_period"])
+        .select(*_SHOWN)
         .join(customers.select("customer_id", "customer_segment"), "customer_id")
         .join(dates.select("date", "week_start"), F.col("date") == F.col("txn_date"))
-        .drop("date")
+        .drop("date", "txn_date")
     )
     return dense_key(rows, ["txn_timestamp", "transaction_id"], "row", start=0)
 
@@ -63,15 +72,19 @@ def web_alerts(live: DataFrame, at_least: int = ALERT_FROM) -> DataFrame:
     )
 
 
-def write_extract(live: DataFrame, metrics: DataFrame, base: str) -> None:
-    """JSON lines per part of the extract, written by the executors."""
+MODEL_BLOCK = ("model_version", "split", "flag_threshold", "blend", "test_results")
+
+
+def write_extract(live: DataFrame, document: DataFrame, base: str) -> None:
+    """JSON lines per part of the extract, written by the executors; ``document``
+    is the run's metrics document."""
     columns, dictionary = web_columns(live)
     header = live.agg(F.count(F.lit(1)).alias("rows"), F.lit("live period").alias("generated_from"))
     parts = {
         "columns": columns,
         "dictionaries": dictionary,
         "alerts": web_alerts(live),
-        "model": metrics,
+        "model": document.select(*MODEL_BLOCK),
         "header": header,
     }
     for name, df in parts.items():

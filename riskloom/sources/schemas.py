@@ -94,6 +94,11 @@ FEATURES = TableSpec(
         "is_night boolean, is_online boolean, is_fraud boolean"
     ),
     key=("transaction_id",),
+    # A customer's first transaction has no history.
+    nullable=(
+        "avg_amount_7d", "avg_amount_30d", "amount_to_avg_7d_ratio", "amount_to_avg_30d_ratio",
+        "minutes_since_prev_txn", "km_from_prev_txn", "geo_velocity_kmh",
+    ),
 )
 
 SCORES = TableSpec(
@@ -114,11 +119,18 @@ MODEL_PERFORMANCE = TableSpec(
         "fraud_dollars decimal(12,2), fraud_dollars_caught decimal(12,2), dollar_recall decimal(6,4)"
     ),
     key=("model",),
+    nullable=(
+        "sort_order", "roc_auc", "pr_auc", "flagged_txns", "precision_rate", "recall_rate", "false_positive_rate",
+        "fraud_dollars", "fraud_dollars_caught", "dollar_recall",
+    ),
+    lengths={"model": 30},
 )
 
 SCENARIO_RECALL = TableSpec(
     schema=_struct("model string, sort_order smallint, fraud_type string, recall_rate decimal(6,4)"),
     key=("model", "fraud_type"),
+    nullable=("sort_order", "recall_rate"),
+    lengths={"model": 30, "fraud_type": 30},
 )
 
 # The ten merchant categories, in their declared order (fixed values).

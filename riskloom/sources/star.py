@@ -2,35 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.sources.schemas import FEATURES, SCORES, STAR, TableSpec
+from riskloom.storage import exists
 
 # Tables derived from the base tables; a reload makes them stale.
 DERIVED = {"txn_features": FEATURES, "txn_risk_scores": SCORES}
+# What reports read; emptied by a reload if it is there.
+REPORTING = (
+    "feature_validation", "feature_importance", "bi_fact_transactions", "bi_dim_customer", "bi_dim_date",
+    "bi_model_performance", "bi_scenario_recall",
+)
+EXTRACT = ("columns", "dictionaries", "alerts", "model", "header")
+
+
+def _files_by_header(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``path``, in any store Spark reads, by their first line
+    as Spark's CSV reader splits it. One small job per file."""
+    files = sorted(r[0] for r in spark.read.format("binaryFile").load(path).select("path").collect())
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        groups.setdefault(tuple(spark.read.option("header", True).csv(file).columns), []).append(file)
+    return groups
 
 
 def read_csv(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
     """CSV with a header: columns are taken by name, types from the schema.
-    Every file under ``path`` must have the same header."""
-    header = spark.read.option("header", True).csv(path).columns
-    missing = set(spec.required) - set(header)
-    if missing:
-        raise ValueError(f"{path}: missing columns {sorted(missing)}")
+    Files may have their columns in different orders; files that agree are read
+    together, and Spark compares each header once more while it reads."""
     types = {f.name: f.dataType for f in spec.schema}
-    schema = ", ".join(f"`{c}` {types[c].simpleString() if c in types else 'string'}" for c in header)
-    rows = spark.read.option("header", True).option("mode", "FAILFAST").schema(schema).csv(path)
-    return rows.select(
-        *[F.col(c) if c in header else F.lit(None).cast(t).alias(c) for c, t in types.items()]
-    )
+    parts = []
+    for header, files in _files_by_header(spark, path).items():
+        missing = set(spec.required) - set(header)
+        if missing:
+            raise ValueError(f"{files[0]}: missing columns {sorted(missing)}")
+        schema = ", ".join(f"`{c}` {types[c].simpleString() if c in types else 'string'}" for c in header)
+        rows = (
+            spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+            .schema(schema).csv(files)
+        )
+        parts.append(rows.select(*[F.col(c) if c in header else F.lit(None).cast(t).alias(c) for c, t in types.items()]))
+    if not parts:
+        raise ValueError(f"{path}: no files")
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_star_csv(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: read_csv(spark, f"{folder}/{spec.file}", spec) for name, spec in STAR.items()}
+def read_star_csv(spark: SparkSession, folder: str, names: Sequence[str] = tuple(STAR)) -> dict[str, DataFrame]:
+    return {name: read_csv(spark, f"{folder}/{STAR[name].file}", STAR[name]) for name in names}
 
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
@@ -51,12 +74,18 @@ def publish(df: DataFrame, base: str, name: str, partition_by: tuple[str, ...] =
 
 
 def load_star(tables: Mapping[str, DataFrame], base: str) -> dict[str, int]:
-    """Replace the base tables, parents first, and empty the derived tables,
-    which an earlier run may have left behind. Running it again gives the same contents."""
+    """Replace the base tables, parents first, and empty every table, report and
+    extract that an earlier run derived from them. Running it again gives the same contents."""
     counts = {name: publish(tables[name].select(*spec.schema.names), base, name) for name, spec in STAR.items()}
     spark = tables["fact_transaction"].sparkSession
     for name, spec in DERIVED.items():
         spark.createDataFrame([], spec.schema).write.mode("overwrite").parquet(f"{base}/{name}")
+    for name in REPORTING:
+        if exists(spark, f"{base}/{name}"):
+            spark.createDataFrame([], read_table(spark, base, name).schema).write.mode("overwrite").parquet(f"{base}/{name}")
+    for name in EXTRACT:
+        if exists(spark, f"{base}/web/{name}"):
+            spark.createDataFrame([], "row bigint").write.mode("overwrite").json(f"{base}/web/{name}")
     return counts
 
 

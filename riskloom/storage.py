@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,8 +26,37 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_RUNS: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/riskloom/{name}-{uuid.uuid4().hex}"
+    """A new folder in the shared one, inside the current run's if there is one."""
+    home = _RUNS[-1] if _RUNS else f"{shared_dir(spark).rstrip('/')}/riskloom"
+    return f"{home}/{name}-{uuid.uuid4().hex}"
+
+
+def _file(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, where = _file(spark, path)
+    return system.exists(where)
+
+
+@contextmanager
+def scratch_run(spark: SparkSession) -> Iterator[str]:
+    """Intermediate tables made inside go to one folder, which goes at the end,
+    whether the run succeeds or not. Nothing lazy that reads them may leave."""
+    path = scratch_path(spark, "run")
+    _RUNS.append(path)
+    try:
+        yield path
+    finally:
+        _RUNS.remove(path)
+        system, where = _file(spark, path)
+        system.delete(where, True)
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

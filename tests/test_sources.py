@@ -1,5 +1,6 @@
 import pytest
 
+from riskloom.operators import integrity
 from riskloom.plans import pipeline
 from riskloom.sources import star, testdata
 from riskloom.sources.schemas import STAR
@@ -62,6 +63,50 @@ def test_pipeline(spark, tmp_path):
     assert counts["bi_model_performance"] == 4 and counts["bi_dim_date"] == 30
     scores = star.read_table(spark, str(tmp_path), "txn_risk_scores")
     assert scores.filter("anomaly_risk_score NOT BETWEEN 0 AND 100").count() == 0
+    report = spark.read.parquet(f"{tmp_path}/validation_report")
+    assert report.filter("violations > 0").count() == 0
+    assert {r.table_name for r in report.select("table_name").distinct().collect()} == {
+        "dim_customer", "dim_device", "fact_transaction", "txn_features", "txn_risk_scores", "bi_model_performance", "bi_scenario_recall"
+    }
+    model = spark.read.json(f"{tmp_path}/web/model").first()
+    assert model.flag_threshold == 60 and model.split.test_start == testdata.TEST_START and len(model.test_results) == 4
+    assert model.blend.asDict() == {"xgboost": 0.8, "isolation_forest": 0.2}
+    import os
+
+    assert not [d for d in os.listdir(f"{shared_dir(spark)}/riskloom") if d.startswith("run-")]
     header = spark.read.json(f"{tmp_path}/web/header").first()
     assert header.rows == scores.filter("dataset_split = 'test'").count()
     assert spark.table("bi_fact_transactions").count() == 1000
+    # a reload leaves nothing that an earlier run derived
+    star.load_star(testdata.star(spark, DATA), str(tmp_path))
+    for name in ("bi_fact_transactions", "txn_risk_scores", "bi_model_performance"):
+        assert star.read_table(spark, str(tmp_path), name).count() == 0
+    assert spark.read.schema("row bigint").json(f"{tmp_path}/web/alerts").count() == 0
+
+
+@pytest.mark.parametrize(
+    ("column", "value", "rule"),
+    [("transaction_id", "'TXN00000001'", "primary_key"), ("amount", "cast(0 as decimal(12,2))", "amount_positive"),
+     ("device_id", "'nobody'", "foreign_key"), ("city", "null", "city"), ("state", "'long'", "state")],
+)
+def test_a_bad_load_stops_the_run(spark, tmp_path, column, value, rule):
+    from pyspark.sql import functions as F
+
+    tables = testdata.star(spark, DATA)
+    bad = F.col("transaction_id").isin("TXN00000001", "TXN00000002")
+    tables["fact_transaction"] = tables["fact_transaction"].withColumn(column, F.when(bad, F.expr(value)).otherwise(F.col(column)))
+    with pytest.raises(integrity.BrokenRules, match=rule):
+        pipeline.run(spark, tables, str(tmp_path), pipeline.Settings(testdata.VALID_START, testdata.TEST_START))
+    assert spark.read.parquet(f"{tmp_path}/validation_report").filter("violations > 0").count() >= 1
+    assert not (tmp_path / "txn_risk_scores" / "dataset_split=test").exists()
+
+
+def test_csv_files_in_different_orders(spark, tmp_path):
+    (tmp_path / "devices.csv").mkdir()
+    for i, (header, row) in enumerate([
+        ("device_id,customer_id,device_type,first_seen_at,is_trusted", "D1,C1,web,2026-01-02 03:04:05,true"),
+        ("customer_id,device_id,is_trusted,first_seen_at,device_type", "C2,D2,false,2026-01-02 03:04:06,ios"),
+    ]):
+        (tmp_path / "devices.csv" / f"{i}.csv").write_text(f"{header}\n{row}\n")
+    got = star.read_star_csv(spark, str(tmp_path), ("dim_device",))["dim_device"]
+    assert sorted((r.device_id, r.customer_id, r.device_type) for r in got.collect()) == [("D1", "C1", "web"), ("D2", "C2", "ios")]
