@@ -28,9 +28,7 @@ from riskloom.storage import materialize, scratch_path  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-SETTINGS = pipeline.Settings(
-    valid_start=testdata.VALID_START, test_start=testdata.TEST_START, boost_trees=20, learning_rate=0.2
-)
+SETTINGS = pipeline.Settings(valid_start=testdata.VALID_START, test_start=testdata.TEST_START)
 
 
 def drain(df: DataFrame) -> None:
@@ -71,8 +69,8 @@ def main() -> None:
     isolation = timed("forest_fit_300x4096", lambda: forest.fit_forest(train, columns))
     timed("forest_score", lambda: drain(forest.score_forest(made, isolation)))
     boosted = timed(
-        "boost_fit_20",
-        lambda: boost.fit_boost(train, valid, columns, max_trees=SETTINGS.boost_trees, learning_rate=SETTINGS.learning_rate),
+        "boost_fit",
+        lambda: boost.fit_boost(train, valid, columns),
     )
     timed("boost_score", lambda: drain(boost.score_boost(made, boosted)))
 
@@ -81,7 +79,7 @@ def main() -> None:
     scores = read("txn_risk_scores")
 
     def metrics():
-        tested = materialize(pipeline.test_rows(scores, fact), "scored_test")
+        tested = materialize(pipeline.test_rows(scores, fact, SETTINGS.test_start), "scored_test")
         drain(evaluate.evaluate(evaluate.policies(tested)))
 
     timed("policy_metrics", metrics)
