@@ -2,7 +2,8 @@
 
 Each stage is (spark, docs, sf_dir) -> DataFrame and works on all that the one
 before it kept. ``run`` writes every stage as Parquet in the shared folder and
-reads it again, so a lost executor repeats no more than its stage.
+reads it again, so a lost executor repeats no more than its stage; what a stage
+needs on the way goes when it is written.
 """
 
 from __future__ import annotations
@@ -10,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from riskloom.llm import mixing, packing, rules, secrets, simhash
-from riskloom.llm.common import read, stored
+from riskloom.llm.common import read
+from riskloom.storage import scratch_path, scratch_run
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +55,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        path = scratch_path(spark, f"llm-stage-{name}")
+        with scratch_run(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

@@ -220,6 +220,7 @@ PAGES = [
     ("<p title='a > b'>quoted, fine.</p><p>cut in a tag <a href=", "quoted, fine.\ncut in a tag"),
     ("<p>Text here, with a <a href='#'>link</a> or two, and enough around them.</p><p><a href='#'>Only a link in this one, long as it may be.</a></p>",
      "Text here, with a link or two, and enough around them.\nOnly a link in this one, long as it may be."),
+    ("<div class='page sidebar-left'><nav>Menu</nav><p>All there is, on this page.</p></div>", "All there is, on this page."),
     ("<p>&lt;b&gt; &#233; &unknown; &#x41;</p>", "<b> é &unknown; A"),
 ]
 
