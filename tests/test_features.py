@@ -180,3 +180,22 @@ def test_generated_code_is_compiled(spark, make_fact, customers):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
     assert sizes and max(sizes) < 8000
+
+
+def test_zone_less_times_ignore_the_session_zone(spark, make_fact, customers):
+    """Over a change to summer time, under two session zones."""
+    rows = [("T1", "2026-03-08 01:30:00"), ("T2", "2026-03-08 02:30:00"), ("T3", "2026-03-08 03:30:00.5"), ("T4", "1969-12-31 23:59:59")]
+    fact = make_fact([{"transaction_id": i, "latitude": float(k)} for k, (i, _) in enumerate(rows)])
+    times = F.create_map(*[F.lit(x) for r in rows for x in r])
+    out = {}
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            timed = fact.withColumn("txn_timestamp", times[F.col("transaction_id")].cast("timestamp_ntz"))
+            out[zone] = sorted(features(timed, customers).collect())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert out["UTC"] == out["America/New_York"]
+    third = next(r for r in out["UTC"] if r.transaction_id == "T3")
+    assert (str(third.minutes_since_prev_txn), third.hour_of_day, third.day_of_week) == ("60.0", 3, 0)
+    assert str(third.txn_timestamp) == "2026-03-08 03:30:00.500000"

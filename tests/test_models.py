@@ -156,3 +156,10 @@ def test_workers_need_no_package(tmp_path):
     )
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
     assert done.returncode == 0, done.stderr[-2000:]
+
+
+def test_one_class_parts_are_an_error(spark, rows):
+    with pytest.raises(ValueError, match="validation part has 0 positive"):
+        boost.fit_boost(rows, rows.filter(~F.col("y")), COLUMNS, "y", max_trees=2)
+    with pytest.raises(ValueError, match="train part has 0 positive and 0 negative"):
+        boost.fit_boost(rows.limit(0), rows, COLUMNS, "y", max_trees=2)

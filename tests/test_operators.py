@@ -123,3 +123,18 @@ def test_number_too_wide_for_its_declaration(spark):
     df = spark.createDataFrame([("12345678901.00",), ("1.00",)], "amount string")
     broken = row_rules(STAR["fact_transaction"])["limit"]["amount_precision"]
     assert df.filter(broken).count() == 1
+
+
+def test_value_bins_are_monotone_and_fine(spark):
+    import numpy as np
+
+    from riskloom.operators.ordering import value_bin
+
+    rng = np.random.default_rng(4)
+    values = sorted({0.0, 1.0, 2.0, -1.0, 5e-324, 1.7e308, 0.5, np.nextafter(1, 0), np.nextafter(2, 3), *rng.normal(size=200) * 1e-6, *10.0 ** rng.uniform(-300, 300, 500)})
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    for finer in (1, 4096):
+        got = [r[0] for r in df.orderBy("x").select(value_bin(F.col("x"), finer)).collect()]
+        assert got == sorted(got)
+    small = spark.range(100_000).select((F.col("id") * 1e-8).alias("x")).groupBy(value_bin(F.col("x")).alias("b")).count()
+    assert small.agg(F.max("count")).first()[0] < 1_500

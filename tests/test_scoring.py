@@ -112,3 +112,17 @@ def test_policies_have_four_rows_per_transaction(spark, cut):
     )
     got = evaluate.policies(df, cut).collect()
     assert len(got) == 8 and sum(r.flagged for r in got) == 4
+
+
+@pytest.mark.parametrize(("weight", "want"), [(0.995, 0), (0.815, 18), (0.8, 20), (1.0, 0), (0.0, 100)])
+def test_blend_weights_keep_their_digits(spark, weight, want):
+    row = spark.sql("SELECT cast(0 AS decimal(6,5)) p, cast(100 AS decimal(5,2)) i")
+    assert row.select(scoring.blend_score(F.col("p"), F.col("i"), weight)).first()[0] == want
+
+
+def test_unknown_model_is_an_error(spark):
+    from riskloom.plans import evaluate
+
+    metrics = spark.sql("SELECT 'mystery' AS model, map('a', cast(1 AS decimal(6,4))) AS recall_by_scenario")
+    with pytest.raises(Exception, match="mystery"):
+        evaluate.scenario_table(metrics).collect()
