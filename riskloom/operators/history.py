@@ -7,9 +7,10 @@ many fall in the range. Values are integers, so the difference is exact.
 
 A key with more than ``hot_rows`` rows would still be one window partition. Such
 keys take another route: each row becomes an entry at ``t`` and, per range, an
-exit just after ``t + W``; a range exchange on (key, time) cuts these events into
-balanced slices; totals inside a slice plus the totals of earlier slices give
-the same numbers, with no task holding a key.
+exit just after ``t + W``; events are added up per instant; a range exchange on
+(key, time) cuts the instants into balanced slices; totals inside a slice plus
+the totals of earlier slices give the same numbers, with no task holding a key.
+Rows are numbered in slices of (key, time, row id), which cut an instant too.
 """
 
 from __future__ import annotations
@@ -108,68 +109,65 @@ def _by_key(rows: DataFrame, *, key, us, value, row_id, frames, previous, first_
     return out
 
 
-def _by_slice(rows: DataFrame, *, key, us, value, row_id, frames, previous, first_use, slices, n_keys) -> DataFrame:
-    names = list(frames)
+def _sliced(df: DataFrame, slices: int, order: Sequence[str], name: str) -> DataFrame:
+    """Stored, cut into balanced slices of the order."""
+    return materialize(df.repartitionByRange(slices, *order).withColumn("_slice", F.spark_partition_id()), name)
+
+
+def _carried_over(parts: DataFrame, key: str, sums: Mapping[str, Column], *more: Column) -> DataFrame:
+    """Per key and slice, the totals of earlier slices as ``_b_<name>``: at most one row per slice and key."""
+    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return parts.groupBy(key, "_slice").agg(*[F.sum(c).alias(n) for n, c in sums.items()], *more).select(
+        key, "_slice", *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_b_{n}") for n in sums],
+        *[F.last("_last", ignorenulls=True).over(earlier).alias("_last") for _ in more],
+    )
+
+
+def _totals_by_instant(rows: DataFrame, *, key, us, value, frames, slices, n_keys) -> DataFrame:
+    """(key, us, sum and count per frame): one row per instant that has rows. Rows and exits of an instant are added up
+    before the slicing, so an instant is one row however many rows it has."""
     exits = F.array(
         *[
             F.struct(F.lit(i + 1).alias("tag"), (F.col(us) + F.lit(s * _SECOND + 1)).alias("us"))
             for i, s in enumerate(frames.values())
         ]
     )
-    events = rows.withColumn("_tag", F.lit(0))
-    if names:
-        left = rows.select(key, value, F.explode(exits).alias("e")).select(
-            key, value, F.col("e.tag").alias("_tag"), F.col("e.us").alias(us)
-        )
-        events = events.unionByName(left, allowMissingColumns=True)
-    events = materialize(
-        events.repartitionByRange(slices, key, us).withColumn("_slice", F.spark_partition_id()), "slices"
-    )
-
-    is_row = F.col("_tag") == 0
-    change = {}
-    for i, name in enumerate(names):
+    left = rows.select(key, value, F.explode(exits).alias("e")).select(key, F.col("e.us").alias(us), value, F.col("e.tag").alias("_tag"))
+    events = rows.select(key, us, value, F.lit(0).alias("_tag")).unionByName(left)
+    is_row, change = F.col("_tag") == 0, {}
+    for i, name in enumerate(frames):
         gone = F.col("_tag") == i + 1
         change[f"sum_{name}"] = F.when(is_row, F.col(value)).when(gone, -F.col(value)).otherwise(0)
         change[f"cnt_{name}"] = F.when(is_row, 1).when(gone, -1).otherwise(0).cast("bigint")
-    change["seq"] = is_row.cast("bigint")
+    instants = events.groupBy(key, us).agg(*[F.sum(c).alias(n) for n, c in change.items()], F.bool_or(is_row).alias("_rows"))
+    instants = _sliced(instants, slices, (key, us), "instants")
+    handed = _carried_over(instants, key, {n: F.col(n) for n in change})
+    upto = Window.partitionBy(key, "_slice").orderBy(us).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = instants.select(key, us, "_slice", "_rows", *[F.sum(n).over(upto).alias(f"_l_{n}") for n in change])
+    joined = local.filter("_rows").join(sized(handed, slices + n_keys), [key, "_slice"])
+    return joined.select(key, us, *[(F.col(f"_b_{n}") + F.col(f"_l_{n}")).alias(n) for n in change])
 
-    # What earlier slices of the key hand over: at most one row per slice and key.
+
+def _by_slice(rows: DataFrame, *, key, us, value, row_id, frames, previous, first_use, slices, n_keys) -> DataFrame:
+    names = [f"{kind}_{name}" for name in frames for kind in ("sum", "cnt")]
+    cut = _sliced(rows, slices, (key, us, row_id), "slices")
     carried = F.struct(*[F.col(c) for c in previous]) if previous else F.struct(F.lit(0).alias("none"))
-    last = F.max_by(F.when(is_row, carried), F.when(is_row, F.struct(us, row_id)))
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    handed = (
-        events.groupBy(key, "_slice")
-        .agg(*[F.sum(c).alias(n) for n, c in change.items()], last.alias("_last"))
-        .select(
-            key,
-            "_slice",
-            *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"_b_{n}") for n in change],
-            F.last("_last", ignorenulls=True).over(earlier).alias("_last"),
-        )
-    )
-    in_slice = Window.partitionBy(key, "_slice")
-    by_row = in_slice.orderBy(us, "_tag", row_id)
-    so_far = by_row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    strictly = by_row.rowsBetween(Window.unboundedPreceding, -1)
-    by_time = in_slice.orderBy(us).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    local = events.select(
-        "*",
-        F.sum(change["seq"]).over(so_far).alias("_l_seq"),
-        F.last(F.when(is_row, carried), ignorenulls=True).over(strictly).alias("_near"),
-    ).select("*", *[F.sum(change[n]).over(by_time).alias(f"_l_{n}") for n in change if n != "seq"])
-    local = local.filter(is_row).join(sized(handed, slices + n_keys), [key, "_slice"])
+    one = F.lit(1).cast("bigint")
+    handed = _carried_over(cut, key, {"seq": one}, F.max_by(carried, F.struct(us, row_id)).alias("_last"))
+    by_row = Window.partitionBy(key, "_slice").orderBy(us, row_id)
+    local = cut.select("*", F.row_number().over(by_row).cast("bigint").alias("_l_seq"), F.lag(carried).over(by_row).alias("_near"))
+    local = local.join(sized(handed, slices + n_keys), [key, "_slice"])
     before = F.coalesce(F.col("_near"), F.col("_last"))
     out = local.select(
-        *rows.columns,
-        "_slice",
-        (F.col("_b_seq") + F.col("_l_seq")).alias("seq"),
-        *_previous(previous, lambda c: before[c]),
-        *[(F.col(f"_b_{n}") + F.col(f"_l_{n}")).alias(n) for n in change if n != "seq"],
+        *rows.columns, "_slice", (F.col("_b_seq") + F.col("_l_seq")).alias("seq"), *_previous(previous, lambda c: before[c])
     )
+    if frames:
+        totals = _totals_by_instant(rows, key=key, us=us, value=value, frames=frames, slices=slices, n_keys=n_keys)
+        # One row of totals for all rows of an instant: a join whose large side Spark may split.
+        out = out.join(totals, [key, us]).select(*out.columns, *names)
     if first_use:
         # Groups of the join are bounded by a slice, even when one (key, value) is most of the key.
-        use = events.filter(is_row).groupBy(key, first_use, "_slice").agg(F.min(us).alias("_first"))
+        use = cut.groupBy(key, first_use, "_slice").agg(F.min(us).alias("_first"))
         use = use.select(
             key, first_use, "_slice", F.min("_first").over(Window.partitionBy(key, first_use)).alias("first_use_us")
         )

@@ -138,3 +138,22 @@ def test_value_bins_are_monotone_and_fine(spark):
         assert got == sorted(got)
     small = spark.range(100_000).select((F.col("id") * 1e-8).alias("x")).groupBy(value_bin(F.col("x")).alias("b")).count()
     assert small.agg(F.max("count")).first()[0] < 1_500
+
+
+def test_one_instant_is_cut_into_slices(spark, monkeypatch):
+    from riskloom.operators import history
+
+    sizes = []
+    whole = history._sliced
+
+    def seen(*given):
+        cut = whole(*given)
+        sizes.append((given[3], cut.groupBy("_slice").count().agg(F.max("count")).first()[0]))
+        return cut
+
+    monkeypatch.setattr(history, "_sliced", seen)
+    rows = spark.range(20_000).select(F.lit("k").alias("k"), F.lit(7).cast("bigint").alias("us"), F.col("id").alias("r"), F.lit(2).cast("bigint").alias("v"), F.col("id").alias("c"))
+    out = history.with_history(rows, key="k", us="us", row_id="r", value="v", frames={"w": 1}, previous=("c",), hot_rows=10, slice_rows=2_000)
+    got = out.agg(F.min("sum_w"), F.max("sum_w"), F.min("cnt_w"), F.count_distinct("seq"), F.max("seq"), F.count_if(F.col("prev_c") != F.col("c") - 1), F.count_if(F.col("prev_c").isNull())).first()
+    assert tuple(got) == (40_000, 40_000, 20_000, 20_000, 20_000, 0, 1)
+    assert dict(sizes)["slices"] <= 4_000 and dict(sizes)["instants"] <= 2
