@@ -17,4 +17,4 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
-SQL: dict[str, str] = {"op4_quality_rules": rules.OP4_SQL}
+SQL: dict[str, str] = {"op3_exact_topk": topk.OP3_SQL, "op4_quality_rules": rules.OP4_SQL}

@@ -234,3 +234,19 @@ def top_k(
 
 def op3_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(integer_vectors(read(spark, sf_dir, "embeddings")), F.col("vec_id") % 100 == 0)
+
+
+#: The SQL multiplies every query with every vector.
+OP3_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, c.r AS cr, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 100 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, cr) AS rank FROM scored
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
