@@ -11,6 +11,7 @@ from riskloom.functions.labels import title
 from riskloom.operators.ordering import exact_quantiles, running_totals
 from riskloom.plans.validation import share
 from riskloom.sources.schemas import MODEL_PERFORMANCE, SCENARIO_RECALL
+from riskloom.storage import materialize
 
 # Published model names, labels and order; pass other labels to the tables below.
 MODEL_LABELS = {
@@ -50,13 +51,21 @@ def policies(test: DataFrame, cut: Column | None = None) -> DataFrame:
     )
 
 
-def ranking_quality(df: DataFrame, label: str, score: str, by: str) -> DataFrame:
+def _ones(rows: str | None) -> Column:
+    """How many rows a row stands for."""
+    return F.lit(1).cast("bigint") if rows is None else F.col(rows)
+
+
+def _rows_where(condition: Column, rows: str | None) -> Column:
+    return F.coalesce(F.sum(F.when(condition, _ones(rows))), F.lit(0))
+
+
+def ranking_quality(df: DataFrame, label: str, score: str, by: str, rows: str | None = None) -> DataFrame:
     """(by, roc_auc, pr_auc). Rows shrink to counts per distinct score; ROC-AUC
     counts tied pairs half, PR-AUC is the average precision over thresholds.
-    A single class gives NULL."""
-    positive = F.col(label).cast("bigint")
+    A single class gives NULL. ``rows`` names a count of equal rows."""
     hist = df.groupBy(by, F.col(score).alias("score")).agg(
-        F.sum(positive).alias("pos"), F.sum(1 - positive).alias("neg")
+        _rows_where(F.col(label), rows).alias("pos"), _rows_where(~F.col(label), rows).alias("neg")
     )
     runs = running_totals(hist, [by], "score", ["pos", "neg"], descending=True)
     wide = lambda c: F.col(c).cast("decimal(19,0)")
@@ -70,15 +79,16 @@ def ranking_quality(df: DataFrame, label: str, score: str, by: str) -> DataFrame
     )
 
 
-def alert_quality(df: DataFrame, label: str, flag: str, amount: str, by: str) -> DataFrame:
-    """Confusion counts, rates and dollars per policy, in one aggregate."""
+def alert_quality(df: DataFrame, label: str, flag: str, amount: str, by: str, rows: str | None = None) -> DataFrame:
+    """Confusion counts, rates and dollars per policy, in one aggregate. ``rows``
+    names a count of equal rows, ``amount`` is then their sum."""
     y, f = F.col(label), F.col(flag)
-    money = lambda cond: F.coalesce(F.sum(F.when(cond, F.col(amount))), F.lit(0).cast("decimal(12,2)"))
+    money = lambda cond: F.coalesce(F.sum(F.when(cond, F.col(amount))), F.lit(0)).cast("decimal(22,2)")
     counts = df.groupBy(by).agg(
-        F.count_if(f & y).alias("tp"),
-        F.count_if(f & ~y).alias("fp"),
-        F.count_if(y).alias("frauds"),
-        F.count_if(~y).alias("legit"),
+        _rows_where(f & y, rows).alias("tp"),
+        _rows_where(f & ~y, rows).alias("fp"),
+        _rows_where(y, rows).alias("frauds"),
+        _rows_where(~y, rows).alias("legit"),
         money(y).alias("fraud_dollars"),
         money(f & y).alias("fraud_dollars_caught"),
     )
@@ -98,12 +108,14 @@ def alert_quality(df: DataFrame, label: str, flag: str, amount: str, by: str) ->
     )
 
 
-def scenario_recall(df: DataFrame, label: str, flag: str, scenario: str, by: str) -> DataFrame:
+def scenario_recall(
+    df: DataFrame, label: str, flag: str, scenario: str, by: str, rows: str | None = None
+) -> DataFrame:
     """(by, scenario, recall) over the positive rows."""
     return (
         df.filter(F.col(label) & F.col(scenario).isNotNull())
         .groupBy(by, F.col(scenario).alias("scenario"))
-        .agg(share(F.count_if(flag), F.count(F.lit(1)), 3).cast("decimal(6,4)").alias("recall"))
+        .agg(share(_rows_where(F.col(flag), rows), F.sum(_ones(rows)), 3).cast("decimal(6,4)").alias("recall"))
     )
 
 
@@ -116,9 +128,14 @@ def evaluate(
     scenario: str = "fraud_scenario",
     by: str = "model",
 ) -> DataFrame:
-    """All metrics per policy, with a map of recall by scenario."""
+    """All metrics per policy, with a map of recall by scenario. The rows are read
+    once, into counts and amounts of equal outcomes, which carry every metric."""
+    counted = df.groupBy(by, score, flag, label, scenario).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(amount).alias("_amount")
+    )
+    df = materialize(counted, "outcomes")
     recalls = (
-        scenario_recall(df, label, flag, scenario, by)
+        scenario_recall(df, label, flag, scenario, by, "_rows")
         .groupBy(by)
         .agg(
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("scenario", "recall")))).alias(
@@ -127,8 +144,8 @@ def evaluate(
         )
     )
     return (
-        ranking_quality(df, label, score, by)
-        .join(alert_quality(df, label, flag, amount, by), by)
+        ranking_quality(df, label, score, by, "_rows")
+        .join(alert_quality(df, label, flag, "_amount", by, "_rows"), by)
         .join(recalls, by, "left")
     )
 
