@@ -752,3 +752,30 @@ _sql(
               CAST(round_even(CAST(device_age_hours AS DECIMAL(18,2)), 1) AS DOUBLE) AS device_age_hours, "row"
        FROM liverows WHERE anomaly_risk_score >= 30""",
 )
+
+# ---------------------------------------- long routes, row order, fitted models
+
+SQL["feature_validation_bracketed"] = SQL["feature_validation"]
+SQL["dictionary_codes_long"] = SQL["dictionary_codes"]
+for _name, _order in {
+    "alert_queue": "anomaly_risk_score DESC, transaction_id",
+    "exposure_by_attack": "fraud_exposure DESC, fraud_type, outcome",
+    "scorecard": "sort_order",
+    "feature_validation": "txns DESC, scenario",
+}.items():
+    SQL[f"{_name}_order"] = f"SELECT *, row_number() OVER (ORDER BY {_order}) AS position FROM ({SQL[_name]})"
+_sql(
+    "kpi_cards_by_week",
+    f"SELECT {_ms(*_KPI)} FROM live JOIN bidate ON date = txn_date WHERE day(week_start) > 15",
+)
+# Nothing here is computed: each property must hold, whatever the data.
+SQL["fitted_properties"] = " UNION ALL ".join(
+    f"SELECT '{p}' AS property, true AS holds"
+    for p in (
+        "anomaly scores lie in 0 to 100", "probabilities lie in 0 to 1", "up to the train median an anomaly score is 0",
+        "from the train maximum an anomaly score is 100", "the maximum is a train row''s",
+        "about half the train rows score 0", "average precision is above the base rate",
+        "scores do not depend on the partitions", "importances sum to 1", "the forest has all its trees",
+        "the number of boosted trees is allowed",
+    )
+)

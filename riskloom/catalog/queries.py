@@ -9,6 +9,7 @@ shows the same values.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -279,6 +280,13 @@ def feature_validation(spark, sf_dir):
     return validation.feature_validation(feats, testdata.transactions(spark, sf_dir))
 
 
+@query
+def feature_validation_bracketed(spark, sf_dir):
+    """The medians by bracket and exact count, the way of long tables."""
+    feats = _features(spark, sf_dir)
+    return validation.feature_validation(feats, testdata.transactions(spark, sf_dir), direct_rows=1)
+
+
 @query
 def city_distance_pairs(spark, sf_dir):
     return validation.city_distances(testdata.transactions(spark, sf_dir), testdata.customers(spark, sf_dir))
@@ -391,6 +399,40 @@ def top_features(spark, sf_dir):
     return gain_share(_fitted(spark, sf_dir)[2], spark).limit(10)
 
 
+@query
+def fitted_properties(spark, sf_dir):
+    """What must hold of the full-size fits on any data: (property, holds)."""
+    made, isolation, boosted = _fitted(spark, sf_dir)
+    scored = forest.score_forest(made.withColumn("_raw_depth", forest.anomaly(made, isolation)), isolation)
+    scored = materialize(boost.score_boost(scored, boosted), "fitted")
+    train, valid = (scored.filter(F.col("dataset_split") == part) for part in ("train", "valid"))
+    score, p = F.col("isolation_anomaly_score"), F.col("xgb_fraud_probability").cast("double")
+    low, high = isolation.params["median"], isolation.params["max"]
+    seen = scored.agg(
+        F.bool_and(score.between(0, 100)).alias("anomaly scores lie in 0 to 100"),
+        F.bool_and(p.between(0, 1)).alias("probabilities lie in 0 to 1"),
+        F.bool_and((F.col("_raw_depth") > low) | (score == 0)).alias("up to the train median an anomaly score is 0"),
+        F.bool_and((F.col("_raw_depth") < high) | (score == 100)).alias("from the train maximum an anomaly score is 100"),
+    )
+    of_train = train.agg(
+        (F.max("_raw_depth") == F.lit(high)).alias("the maximum is a train row's"),
+        (F.abs(F.count_if(score == 0) / F.count(F.lit(1)) - 0.5) < 0.1).alias("about half the train rows score 0"),
+    )
+    base = valid.agg(F.avg(F.col("is_fraud").cast("int"))).first()[0]
+    ranked = evaluate.ranking_quality(valid.withColumn("all", F.lit(1)), "is_fraud", "xgb_fraud_probability", "all")
+    of_valid = ranked.select((F.col("pr_auc") > F.lit(base)).alias("average precision is above the base rate"))
+    again = made.repartition(3)
+    both = forest.score_forest(again, isolation).join(scored.select("transaction_id", score.alias("was")), "transaction_id")
+    same = both.agg(F.bool_and(score == F.col("was")).alias("scores do not depend on the partitions"))
+    gains = gain_share(boosted, spark).agg((F.abs(F.sum("importance") - 1) < 0.01).alias("importances sum to 1"))
+    sizes = spark.range(1).select(
+        F.lit(isolation.trees == forest.TREES).alias("the forest has all its trees"),
+        F.lit(1 <= boosted.trees <= boost.MAX_TREES).alias("the number of boosted trees is allowed"),
+    )
+    long = lambda df: df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("property"), F.col(f"`{c}`").alias("holds")) for c in df.columns])))
+    return reduce(DataFrame.unionByName, map(long, (seen, of_train, of_valid, same, gains, sizes)))
+
+
 @query
 def fitted_performance(spark, sf_dir):
     """Test-period metrics of the fitted models, as published."""
@@ -536,6 +578,39 @@ def sliced_kpi_cards(spark, sf_dir):
     return tiles.tile("kpi_cards", _model(spark, sf_dir), slicers)
 
 
+@query
+def kpi_cards_by_week(spark, sf_dir):
+    """Overview cards over some of the weeks."""
+    return tiles.tile("kpi_cards", _model(spark, sf_dir), {"week_start": lambda c: F.dayofmonth(c) > 15})
+
+
+def _placed(df: DataFrame) -> DataFrame:
+    """A report's rows with their place in the order in which they come."""
+    come = df.withColumn("_come", F.monotonically_increasing_id())
+    return dense_key(come, ["_come"], "position").drop("_come")
+
+
+@query
+def alert_queue_order(spark, sf_dir):
+    return _placed(tiles.alert_queue(_model(spark, sf_dir)))
+
+
+@query
+def exposure_by_attack_order(spark, sf_dir):
+    return _placed(tiles.tile("exposure_by_attack", _model(spark, sf_dir)))
+
+
+@query
+def scorecard_order(spark, sf_dir):
+    return _placed(tiles.scorecard(evaluate.model_performance(_metrics(spark, sf_dir))))
+
+
+@query
+def feature_validation_order(spark, sf_dir):
+    feats = _features(spark, sf_dir)
+    return _placed(validation.feature_validation(feats, testdata.transactions(spark, sf_dir)))
+
+
 @query
 def calculate_override(spark, sf_dir):
     """A tier slicer does not reach the measure that fixes the tier itself, and
@@ -600,6 +675,12 @@ def dictionary_codes(spark, sf_dir):
     return export.web_columns(_live(spark, sf_dir))[1]
 
 
+@query
+def dictionary_codes_long(spark, sf_dir):
+    """The codes by range exchange, the way of long dictionaries."""
+    return export.web_columns(_live(spark, sf_dir), short=0)[1]
+
+
 @query
 def web_alerts(spark, sf_dir):
     return export.web_alerts(_live(spark, sf_dir))

@@ -12,7 +12,7 @@ from riskloom.operators.ordering import dense_key
 from riskloom.storage import BROADCAST_ROWS, materialize
 
 
-def dictionaries(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict[str, int]]:
+def dictionaries(df: DataFrame, columns: Sequence[str], short: int = BROADCAST_ROWS) -> tuple[DataFrame, dict[str, int]]:
     """Long table (dimension, value, code) over all columns, and each column's
     number of values. One pass: values are made distinct before and after the shuffle."""
     pairs = F.array(
@@ -22,7 +22,7 @@ def dictionaries(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict
         df.select(F.explode(pairs).alias("p")).select("p.dimension", "p.value").distinct(), "dictionary"
     )
     sizes = {r["dimension"]: r["count"] for r in values.groupBy("dimension").count().collect()}
-    if max(sizes.values(), default=0) <= BROADCAST_ROWS:
+    if max(sizes.values(), default=0) <= short:
         order = Window.partitionBy("dimension").orderBy("value")
         return values.withColumn("code", F.row_number().over(order).cast("bigint") - 1), sizes
     keyed = dense_key(values, ["dimension", "value"], "position")
@@ -31,9 +31,9 @@ def dictionaries(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, dict
     return materialize(coded.select("dimension", "value", "code"), "dictionary_codes"), sizes
 
 
-def dictionary_encode(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def dictionary_encode(df: DataFrame, columns: Sequence[str], short: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
     """``df`` with every listed column replaced by its code, and the dictionaries."""
-    table, sizes = dictionaries(df, columns)
+    table, sizes = dictionaries(df, columns, short)
     out = df
     for c in columns:
         codes = table.filter(F.col("dimension") == c).select(

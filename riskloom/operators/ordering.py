@@ -111,7 +111,7 @@ _FINE = 4_096  # bins of a bracketed histogram, per ordinary bin
 
 
 def exact_quantiles(
-    df: DataFrame, groups: Sequence[str], values: Sequence[str], q: float | Column = 0.5
+    df: DataFrame, groups: Sequence[str], values: Sequence[str], q: float | Column = 0.5, direct_rows: int = DIRECT_ROWS
 ) -> DataFrame:
     """Exact quantile of each value column per group, linearly interpolated,
     NULLs skipped; output columns keep the value names, as doubles.
@@ -128,7 +128,7 @@ def exact_quantiles(
     q = 0.5 if q is None else float(q)  # no rows: every quantile is NULL
     keys = [*groups, "_one"]
     named = df.select(*groups, F.lit(0).alias("_one"), *[F.col(v).cast("double").alias(f"_v_{v}") for v in values])
-    found = _ranked(named, keys, values, q, bracketed=True) if df.count() > DIRECT_ROWS else None
+    found = _ranked(named, keys, values, q, bracketed=True) if df.count() > direct_rows else None
     if found is None:
         found = _ranked(named, keys, values, q, bracketed=False)
     point = F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")

@@ -9,6 +9,7 @@ from riskloom.functions.exact import cents
 from riskloom.operators.dictionary import dictionary_encode
 from riskloom.operators.ordering import dense_key
 from riskloom.plans.tiles import LIVE
+from riskloom.storage import BROADCAST_ROWS
 
 DIMENSIONS = (
     "merchant_category", "channel", "state", "customer_segment", "fraud_type", "outcome", "risk_tier",
@@ -37,8 +38,9 @@ def live_rows(fact: DataFrame, customers: DataFrame, dates: DataFrame) -> DataFr
     return dense_key(rows, ["txn_timestamp", "transaction_id"], "row", start=0)
 
 
-def web_columns(live: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Coded columns, one row per live transaction, and the dictionaries."""
+def web_columns(live: DataFrame, short: int = BROADCAST_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Coded columns, one row per live transaction, and the dictionaries; those
+    above ``short`` values are numbered by a range exchange."""
     plain = live.select(
         "row",
         F.col("week_start").alias("week"),
@@ -49,7 +51,7 @@ def web_columns(live: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("is_flagged").cast("int").alias("flagged"),
         *DIMENSIONS,
     )
-    return dictionary_encode(plain, ["week", *DIMENSIONS])
+    return dictionary_encode(plain, ["week", *DIMENSIONS], short)
 
 
 def web_alerts(live: DataFrame, at_least: int = ALERT_FROM) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.geo import haversine_km
-from riskloom.operators.ordering import exact_quantiles
+from riskloom.operators.ordering import DIRECT_ROWS, exact_quantiles
 from riskloom.storage import materialize
 
 MEDIANS = {
@@ -25,7 +25,7 @@ def share(hits, total, digits: int):
     return F.round(hits.cast("decimal(19,0)") / F.nullif(total, F.lit(0)).cast("decimal(19,0)"), digits)
 
 
-def feature_validation(features: DataFrame, fact: DataFrame) -> DataFrame:
+def feature_validation(features: DataFrame, fact: DataFrame, direct_rows: int = DIRECT_ROWS) -> DataFrame:
     """Does each fraud scenario stand out on the feature meant to catch it:
     exact medians and the share of night rows per scenario, largest first."""
     scenario = fact.select("transaction_id", F.coalesce("fraud_scenario", F.lit("legit")).alias("scenario"))
@@ -35,7 +35,7 @@ def feature_validation(features: DataFrame, fact: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("txns"),
         share(F.count_if("is_night"), F.count(F.lit(1)), 3).cast("decimal(6,3)").alias("night_share"),
     )
-    medians = exact_quantiles(rows, ["scenario"], list(MEDIANS)).withColumnsRenamed(MEDIANS)
+    medians = exact_quantiles(rows, ["scenario"], list(MEDIANS), direct_rows=direct_rows).withColumnsRenamed(MEDIANS)
     return (
         sizes.join(medians, "scenario", "left")
         .select("scenario", "txns", *MEDIANS.values(), "night_share")
