@@ -3,8 +3,9 @@
 Bounded-space online best fit. A task keeps a fixed number of open bins in a bit
 set keyed by free space: the lowest set bit at or above a piece's length is the
 bin it fits best, one shift and one mask away. When a bin must open and no place
-is left, the fullest closes. What is still open at a task's end goes on, whole,
-to a second round of the same algorithm, so that tasks do not each leave a tail.
+is left, the fullest closes. The pieces of bins still open at a task's end go on
+to a second round of the same algorithm, longest first, so that tasks do not each
+leave a tail.
 
 Tokens come from a given tokenizer file, word by word: white space always ends a
 word there, so a worker keeps the ids of the words it has met and the tokenizer
@@ -22,15 +23,16 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from riskloom.llm.common import doc_columns, read, small, stored, text_blocks, texts, worker_memory
+from riskloom.llm.common import doc_columns, read, stored, text_blocks, texts, worker_memory
 
 CAPACITY = 2048
 OPEN_BINS = 1024
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-#: Leftover bins of the first round that share a task of the second.
-SECOND_ROUND = 20_000
+#: Leftover pieces of the first round that share a task of the second, and that task's open bins.
+SECOND_ROUND = 50_000
 #: A worker forgets its words beyond so many.
 MAX_WORDS = 600_000
 
@@ -171,19 +173,25 @@ def _place(make, capacity: int, open_bins: int, end_id: int, with_ids: bool):
     return place
 
 
-def _join_bins(capacity: int, open_bins: int):
-    schema = pa.schema([("bin", pa.int64()), ("sequence_id", pa.int64()), ("base", pa.int64())])
+def _place_again(schema: pa.Schema, capacity: int, open_bins: int):
+    """Pieces in new bins, numbered apart from those of the first round."""
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins, out = Bins(capacity, open_bins), []
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins, first = Bins(capacity, open_bins), (1 << 62) + (TaskContext.get().partitionId() << 33)
+
+        def batch(closed: list) -> pa.RecordBatch:
+            rows = [{**piece, "bin": first + number, "offset": offset} for number, _, items in closed for offset, piece in items]
+            return pa.RecordBatch.from_pylist(rows, schema)
+
+        closed: list = []
         for b in batches:
-            for name, fill in zip(b.column("bin").to_pylist(), b.column("fill").to_pylist(), strict=True):
-                out.extend(bins.give(fill, name))
-        rows = [(name, items[0][1], base) for _, _, items in [*out, *bins.rest()] for base, name in items]
-        columns = zip(*rows, strict=True) if rows else [[]] * 3
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+            for piece in b.to_pylist():
+                closed.extend(bins.give(piece["length"], piece))
+            yield batch(closed)
+            closed = []
+        yield batch([*bins.rest()])
 
-    return join
+    return place
 
 
 def pack(
@@ -204,21 +212,14 @@ def pack(
     place = _place(token_ids(spark, tokenizer), capacity, open_bins, end_id, with_ids)
     schema = _PIECES + ", ids binary" * with_ids
     pieces = stored(doc_columns(documents, "doc_id", "text").mapInArrow(place, schema), "pieces")
-    left = pieces.filter("open AND offset = 0").select("bin", "fill")
+    shown = ["doc_id", "piece", "start", "length", "ids_crc32", "bin", "offset", *["ids"] * with_ids]
+    left = pieces.filter("open").select(shown)
     tasks = 1 + left.count() // SECOND_ROUND
-    joined = stored(
-        left.repartition(tasks, "bin").sortWithinPartitions(F.desc("fill"), "bin").mapInArrow(
-            _join_bins(capacity, SECOND_ROUND), "bin long, sequence_id long, base long"
-        ),
-        "joined-bins",
-    )
-    out = pieces.join(small(joined), "bin", "left")
-    return out.select(
-        "doc_id", "piece", "start", "length", "ids_crc32",
-        F.coalesce("sequence_id", "bin").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"),
-        *["ids"] * with_ids,
-    )
+    dealt = left.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32"))
+    again = dealt.sortWithinPartitions(F.desc("length"), "doc_id", "piece", "ids_crc32")
+    again = again.mapInArrow(_place_again(to_arrow_schema(left.schema), capacity, SECOND_ROUND), left.schema)
+    out = pieces.filter("NOT open").select(shown).union(again)
+    return out.withColumnRenamed("bin", "sequence_id")
 
 
 def default_tokenizer() -> str:
