@@ -59,22 +59,24 @@ SELECT device_id, customer_id, min(txn_timestamp) AS first_seen_at,
        device_id NOT LIKE 'X%' AS is_trusted
 FROM fact GROUP BY device_id, customer_id"""
 
-PARTS["windowed"] = """
-SELECT f.*,
-       CAST(amount * 100 AS BIGINT) AS c,
-       CAST(sum(amount) OVER w1 * 100 AS BIGINT) AS s1, count(*) OVER w1 AS n1,
-       CAST(sum(amount) OVER w24 * 100 AS BIGINT) AS s24, count(*) OVER w24 AS n24,
-       CAST(sum(amount) OVER w7 * 100 AS BIGINT) AS s7, count(*) OVER w7 AS n7,
-       CAST(sum(amount) OVER w30 * 100 AS BIGINT) AS s30, count(*) OVER w30 AS n30,
-       row_number() OVER q AS seq,
-       lag(txn_timestamp) OVER q AS p_ts, lag(latitude) OVER q AS p_lat, lag(longitude) OVER q AS p_lon,
-       min(txn_timestamp) OVER (PARTITION BY customer_id, device_id) AS first_ts
-FROM fact f
-WINDOW q AS (PARTITION BY customer_id ORDER BY txn_timestamp, transaction_id),
-       w1 AS (PARTITION BY customer_id ORDER BY txn_timestamp RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW),
-       w24 AS (PARTITION BY customer_id ORDER BY txn_timestamp RANGE BETWEEN INTERVAL 24 HOURS PRECEDING AND CURRENT ROW),
-       w7 AS (PARTITION BY customer_id ORDER BY txn_timestamp RANGE BETWEEN INTERVAL 7 DAYS PRECEDING AND CURRENT ROW),
-       w30 AS (PARTITION BY customer_id ORDER BY txn_timestamp RANGE BETWEEN INTERVAL 30 DAYS PRECEDING AND CURRENT ROW)"""
+# Each transaction against all of its customer's, by a join: no window, no running total. Sums leave the row itself out.
+def _others(days: str) -> str:
+    return f"WHERE b.transaction_id <> a.transaction_id AND b.txn_timestamp BETWEEN a.txn_timestamp - INTERVAL {days} AND a.txn_timestamp"
+
+
+_BEFORE = "(b.txn_timestamp, b.transaction_id) < (a.txn_timestamp, a.transaction_id)"
+PARTS["around"] = f"""
+SELECT a.transaction_id,
+       {", ".join(
+           f"coalesce(CAST(100 * sum(b.amount) FILTER ({_others(span)}) AS BIGINT), 0) AS cents_{tag}, "
+           f"count(*) FILTER ({_others(span)}) AS others_{tag}"
+           for tag, span in (("1h", "1 HOUR"), ("24h", "24 HOUR"), ("7d", "7 DAY"), ("30d", "30 DAY"))
+       )},
+       1 + count(*) FILTER (WHERE {_BEFORE}) AS place,
+       max(CASE WHEN {_BEFORE} THEN struct_pack(at := b.txn_timestamp, id := b.transaction_id, lat := b.latitude,
+                                                lon := b.longitude) END) AS last,
+       min(b.txn_timestamp) FILTER (WHERE b.device_id = a.device_id) AS device_since
+FROM fact a JOIN fact b ON b.customer_id = a.customer_id GROUP BY a.transaction_id"""
 
 
 def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
@@ -85,30 +87,32 @@ def _km(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"2 * CAST(6371.0 AS DOUBLE) * asin(CASE WHEN {root} > 1 THEN CAST(1.0 AS DOUBLE) ELSE {root} END)"
 
 
-PARTS["deltas"] = f"""
-SELECT w.*, s7 - c AS a7, n7 - 1 AS m7, s30 - c AS a30, n30 - 1 AS m30,
-       epoch_us(txn_timestamp) - epoch_us(p_ts) AS gap, epoch_us(txn_timestamp) - epoch_us(first_ts) AS dev_us,
-       {_km('p_lat', 'p_lon', 'latitude', 'longitude')} AS km_prev,
-       {_km('home_latitude', 'home_longitude', 'latitude', 'longitude')} AS km_home
-FROM windowed w JOIN people USING (customer_id)"""
-
-PARTS["feats"] = """
-SELECT transaction_id, customer_id, txn_timestamp, amount, merchant_category, channel, seq AS customer_txn_seq,
-       ((2 * a7 + m7) // nullif(2 * m7, 0)) / CAST(100 AS DOUBLE) AS avg_amount_7d,
-       ((2 * a30 + m30) // nullif(2 * m30, 0)) / CAST(100 AS DOUBLE) AS avg_amount_30d,
-       ((2000 * c * m7 + a7) // nullif(2 * a7, 0)) / CAST(1000 AS DOUBLE) AS amount_to_avg_7d_ratio,
-       ((2000 * c * m30 + a30) // nullif(2 * a30, 0)) / CAST(1000 AS DOUBLE) AS amount_to_avg_30d_ratio,
-       n1 AS txn_count_1h, n24 AS txn_count_24h,
-       s1 / CAST(100 AS DOUBLE) AS amount_sum_1h, s24 / CAST(100 AS DOUBLE) AS amount_sum_24h,
-       ((gap + 3000000) // 6000000) / CAST(10 AS DOUBLE) AS minutes_since_prev_txn,
-       round(km_prev, 1) AS km_from_prev_txn,
-       CASE WHEN gap IS NOT NULL THEN
-            round(km_prev / greatest(gap / CAST(3.6e9 AS DOUBLE), CAST(1 AS DOUBLE) / 60), 1) END AS geo_velocity_kmh,
-       round(km_home, 1) AS km_from_home,
-       ((dev_us + 18000000) // 36000000) / CAST(100 AS DOUBLE) AS device_age_hours,
+def _mean(tag: str) -> str:
+    return f"CASE WHEN others_{tag} > 0 THEN ((2 * cents_{tag} + others_{tag}) // (2 * others_{tag})) / CAST(100 AS DOUBLE) END"
+
+
+def _against_mean(tag: str) -> str:
+    half_up = f"(2000 * own * others_{tag} + cents_{tag}) // (2 * cents_{tag})"
+    return f"CASE WHEN cents_{tag} > 0 THEN ({half_up}) / CAST(1000 AS DOUBLE) END"
+
+
+PARTS["feats"] = f"""
+SELECT transaction_id, customer_id, txn_timestamp, amount, merchant_category, channel, place AS customer_txn_seq,
+       {_mean("7d")} AS avg_amount_7d, {_mean("30d")} AS avg_amount_30d,
+       {_against_mean("7d")} AS amount_to_avg_7d_ratio, {_against_mean("30d")} AS amount_to_avg_30d_ratio,
+       others_1h + 1 AS txn_count_1h, others_24h + 1 AS txn_count_24h,
+       (cents_1h + own) / CAST(100 AS DOUBLE) AS amount_sum_1h, (cents_24h + own) / CAST(100 AS DOUBLE) AS amount_sum_24h,
+       ((idle + 3000000) // 6000000) / CAST(10 AS DOUBLE) AS minutes_since_prev_txn,
+       round(moved, 1) AS km_from_prev_txn,
+       round(moved / greatest(idle / CAST(3.6e9 AS DOUBLE), CAST(1 AS DOUBLE) / 60), 1) AS geo_velocity_kmh,
+       round(away, 1) AS km_from_home, ((owned + 18000000) // 36000000) / CAST(100 AS DOUBLE) AS device_age_hours,
        CAST(hour(txn_timestamp) AS BIGINT) AS hour_of_day, CAST(dayofweek(txn_timestamp) AS BIGINT) AS day_of_week,
        hour(txn_timestamp) < 5 AS is_night, channel = 'online' AS is_online, is_fraud
-FROM deltas"""
+FROM (SELECT f.*, r.* EXCLUDE (transaction_id), CAST(100 * amount AS BIGINT) AS own,
+             epoch_us(txn_timestamp) - epoch_us(r.last.at) AS idle, epoch_us(txn_timestamp) - epoch_us(device_since) AS owned,
+             {_km('r.last.lat', 'r.last.lon', 'latitude', 'longitude')} AS moved,
+             {_km('home_latitude', 'home_longitude', 'latitude', 'longitude')} AS away
+      FROM fact f JOIN around r USING (transaction_id) JOIN people USING (customer_id))"""
 
 _SPLIT = (
     "CASE WHEN txn_timestamp < TIMESTAMP '2024-01-16' THEN 'train' "
