@@ -34,9 +34,9 @@ from riskloom.storage import scratch_path
 
 ORDER = 2
 #: Bytes of text per bucket: the unit of a reducer's memory.
-BUCKET_BYTES = 32 << 20
+BUCKET_BYTES = 16 << 20
 #: Tokens that a task combines before it sends them on, and that are scored together.
-FLUSH, CHUNK = 3_000_000, 500_000
+FLUSH, CHUNK = 2_000_000, 500_000
 MAX_WORDS = 600_000
 #: Base model: additive smoothing.
 ADDED = 0.1
