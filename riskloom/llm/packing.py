@@ -14,6 +14,7 @@ sees each distinct word once.
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from collections.abc import Callable, Iterator
@@ -35,6 +36,9 @@ TOKENIZER = "word_bpe_49k.json"
 SECOND_ROUND = 50_000
 #: A worker forgets its words beyond so many.
 MAX_WORDS = 600_000
+#: New words of letters that are encoded in one line; bytes of text whose words are looked up together, and from which
+#: a text is taken block by block.
+TOGETHER, GROUP, LONG = 2_000, 1 << 19, 4 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long, open boolean"
 _ASCII_END = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
@@ -84,15 +88,20 @@ class Bins:
                 yield number, self.capacity - free, items
 
 
-def word_ids(spec: str) -> Callable[[list[bytes]], bytes]:
-    """Ids of a document's words, as little-endian unsigned 32-bit numbers."""
+def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
+    """Ids of documents' words, as little-endian unsigned 32-bit numbers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     memory = worker_memory(f"packing-{zlib.crc32(spec.encode())}")
     if "tokenizer" not in memory:
-        memory.update(tokenizer=Tokenizer.from_str(spec), words={}, stems={})
-    tokenizer, known, stems = memory["tokenizer"], memory["words"], memory["stems"]
+        made = Tokenizer.from_str(spec)
+        mark, ends = json.loads(spec)["model"].get("end_of_word_suffix"), None
+        if mark:  # ids that end a word: words of letters can be encoded in one line and told apart again
+            ends = np.zeros(made.get_vocab_size(), bool)
+            ends[[i for piece, i in made.get_vocab().items() if piece.endswith(mark)]] = True
+        memory.update(tokenizer=made, words={}, stems={}, ends=ends)
+    tokenizer, known, stems, word_ends = (memory[k] for k in ("tokenizer", "words", "stems", "ends"))
 
     def parts(word: bytes) -> tuple[bytes, bytes]:
         """A word as the tokenizer sees it: lower case, and full stops apart where they are a piece of their own."""
@@ -104,38 +113,63 @@ def word_ids(spec: str) -> Callable[[list[bytes]], bytes]:
 
     def learn(words: set[bytes]) -> None:
         cut = {w: parts(w) for w in words}
-        new = list({p for pair in cut.values() for p in pair if p and p not in stems})
-        for i in range(0, len(new), 20_000):
-            some = new[i : i + 20_000]
-            coded = tokenizer.encode_batch_fast([s.decode("utf-8") for s in some], add_special_tokens=False)
-            stems.update((s, np.array(e.ids, dtype="<u4").tobytes()) for s, e in zip(some, coded, strict=True))
+        new = {p: p.decode("utf-8") for pair in cut.values() for p in pair if p and p not in stems}
+        letters = [s for s, t in new.items() if word_ends is not None and t.isalpha()]
+        for i in range(0, len(letters), TOGETHER):
+            some = letters[i : i + TOGETHER]
+            line = tokenizer.encode_batch_fast([" ".join(new[s] for s in some)], add_special_tokens=False)[0].ids
+            line = np.array(line, dtype="<u4")
+            ends = 4 * (np.flatnonzero(word_ends[line]) + 1)
+            if len(ends) == len(some):  # else some word is more than one to the tokenizer
+                raw = line.tobytes()
+                stems.update((s, raw[a:b]) for s, a, b in zip(some, [0, *ends.tolist()], ends.tolist(), strict=False))
+        rest = [(s, t) for s, t in new.items() if s not in stems]
+        coded = tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False) if rest else []
+        stems.update((s, np.array(e.ids, dtype="<u4").tobytes()) for (s, _), e in zip(rest, coded, strict=True))
         known.update((w, stems[a] + stems[b] if b else stems[a]) for w, (a, b) in cut.items())
 
-    def ids(words: list[bytes]) -> bytes:
-        try:
-            return b"".join(map(known.__getitem__, words))
-        except KeyError:
-            if max(len(known), len(stems)) > MAX_WORDS:
-                known.clear()
-                stems.clear()
-            learn(set(words).difference(known))
-            return b"".join(map(known.__getitem__, words))
+    def ids(lists: list[list[bytes]]) -> list[bytes]:
+        if max(len(known), len(stems)) > MAX_WORDS:
+            known.clear()
+            stems.clear()
+        if new := set().union(*lists).difference(known):
+            learn(new)
+        return [b"".join(map(known.__getitem__, words)) for words in lists]
 
     return ids
 
 
-def token_ids(spark: SparkSession, tokenizer: str) -> Callable[[], Callable[[bytes], bytes]]:
-    """What workers call to get text -> ids; the tokenizer file travels to them once."""
+def token_ids(spark: SparkSession, tokenizer: str) -> Callable[[], Callable[[list[bytes]], list[bytes]]]:
+    """What workers call to get texts -> ids; the tokenizer file travels to them once."""
     with open(tokenizer, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
-    def make() -> Callable[[bytes], bytes]:
+    def make() -> Callable[[list[bytes]], list[bytes]]:
         ids = word_ids(shared.value)
-        return lambda text: b"".join(ids(block.split()) for block in text_blocks(text))
+
+        def coded(texts: list[bytes]) -> list[bytes]:
+            if sum(map(len, texts)) > LONG:
+                return [b"".join(ids([block.split()])[0] for block in text_blocks(t)) for t in texts]
+            return ids([t.split() for t in texts])
+
+        return coded
 
     return make
 
 
+def _grouped(rows: Iterator[tuple[int | None, bytes]], size: int) -> Iterator[list[tuple[int | None, bytes]]]:
+    """Documents in groups of about ``size`` bytes, a longer one alone."""
+    held, weight = [], 0
+    for row in rows:
+        if held and weight + len(row[1]) > size:
+            yield held
+            held, weight = [], 0
+        held.append(row)
+        weight += len(row[1])
+    if held:
+        yield held
+
+
 def _place(make, capacity: int, open_bins: int, end_id: int, with_ids: bool):
     names = [f.split()[0] for f in _PIECES.split(", ")] + ["ids"] * with_ids
     kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 6, pa.bool_()] + [pa.binary()] * with_ids
@@ -156,13 +190,14 @@ def _place(make, capacity: int, open_bins: int, end_id: int, with_ids: bool):
         end, width = np.array([end_id], dtype="<u4").tobytes(), 4 * capacity
         out: list[tuple] = []
         for b in batches:
-            for doc, text in zip(b.column("doc_id").to_pylist(), texts(b), strict=True):
-                coded = ids(text) + end
-                for k, at in enumerate(range(0, len(coded), width)):
-                    part = coded[at : at + width]
-                    piece = (doc, k, at // 4, len(part) // 4, zlib.crc32(part), *[part] * with_ids)
-                    for done in bins.give(len(part) // 4, piece):
-                        out.extend(closed(first, done, False))
+            for group in _grouped(zip(b.column("doc_id").to_pylist(), texts(b), strict=True), GROUP):
+                for (doc, _), coded in zip(group, ids([t for _, t in group]), strict=True):
+                    coded += end
+                    for k, at in enumerate(range(0, len(coded), width)):
+                        part = coded[at : at + width]
+                        piece = (doc, k, at // 4, len(part) // 4, zlib.crc32(part), *[part] * with_ids)
+                        for done in bins.give(len(part) // 4, piece):
+                            out.extend(closed(first, done, False))
                 if len(out) >= 10_000:
                     yield batch(out)
                     out = []
