@@ -1,11 +1,13 @@
 """Mixing sources to target weights by a low-discrepancy schedule, in DataFrame functions only.
 
-The mix is a row of slots, each one block of ``block`` words. Slot k lies at the
-van der Corput point of k, its binary digits mirrored; the points are mapped
-through the sources' cumulative targets, so any stretch of the schedule holds
-each source close to its share. A source's slots are ranked, and its rank r
-takes block r of the source's documents, shuffled by a seeded hash and cut every
-``block`` words; past its last block a source starts over.
+A source is cut into equal blocks of its own, of ``block`` words at most and
+shorter ones where its target would not fill LEAST_BLOCKS of them, and takes as
+many blocks as its target holds. The mix is a row of slots, each one block: the
+slots of a source lie at van der Corput points, binary digits mirrored, shifted
+by the source's own point, so any stretch of the schedule holds each source close
+to its share. A source's slots are ranked, and its rank r takes block r of the
+source's documents, shuffled by a seeded hash and laid end to end; past its last
+block a source starts over.
 
 No source is one group anywhere: slots are ranked and words are counted in
 chunks first, then over chunk totals.
@@ -15,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import SPACE, numbered, read, small, stored, whole_rows
@@ -24,6 +26,9 @@ from riskloom.operators.ordering import dense_key
 WEIGHTS, MOST_EPOCHS, SEED = (5, 2, 1), 3, 42
 #: Words of a block, fewer where the corpus would not fill LEAST_SLOTS slots of that size.
 BLOCK, LEAST_SLOTS = 4096, 1 << 17
+#: Blocks that a source's target holds at least, down to blocks of one word: whole blocks miss a target by half of one.
+LEAST_BLOCKS = 64
+_DIGITS = 40  # binary digits of a van der Corput point
 _CHUNK = 1 << 14  # slots ranked together
 _ROWS = 1 << 12  # documents laid end to end together
 
@@ -67,23 +72,42 @@ def block_words(targets: DataFrame, block: int = BLOCK, least_slots: int = LEAST
     return max(1, min(block, -(-total // least_slots))), total
 
 
-def schedule(targets: DataFrame, block: int, total: int, most: int = MOST_EPOCHS) -> DataFrame:
-    """(slot, _sid, rank, block, epoch), stored: which block of which source each slot of the mix takes."""
-    slots = -(-total // block)
-    digits = max(1, (slots - 1).bit_length())
-    points = 1 << digits
-    order = Window.orderBy("_sid").rowsBetween(Window.unboundedPreceding, 0)  # one row per source
-    upto = F.sum("target").over(order) / F.lit(float(total or 1))
-    ends = targets.select("_sid", "source_size", upto.alias("_to"), (F.col("target") / F.lit(float(total or 1))).alias("_share"))
-    edge = lambda x: F.least(F.ceil(F.greatest(F.lit(0.0), x) * F.lit(float(points))), F.lit(points))
-    ends = ends.select("_sid", "source_size", edge(F.col("_to") - F.col("_share")).alias("_a"), edge(F.col("_to")).alias("_b"))
-    ends = ends.filter("_b > _a AND source_size > 0")
-    starts = ends.select("_sid", "source_size", "_b", F.explode(F.sequence("_a", F.col("_b") - 1, F.lit(_CHUNK))).alias("_s"))
-    place = F.explode(F.sequence("_s", F.least(F.col("_s") + F.lit(_CHUNK), F.col("_b")) - 1))
-    placed = starts.repartition("_sid", "_s").select("_sid", "source_size", place.alias("_y"))
-    mirrored = F.conv(F.reverse(F.lpad(F.bin("_y"), digits, "0")), 2, 10).cast("long")
-    placed = placed.select("_sid", "source_size", mirrored.alias("slot")).filter(F.col("slot") < slots)
-    placed = stored(placed.withColumn("_chunk", F.floor(F.col("slot") / _CHUNK)), "slots")
+def cut(targets: DataFrame, block: int, most: int = MOST_EPOCHS) -> DataFrame:
+    """``targets`` with ``_blocks``, the equal blocks a source is cut into, and ``_slots``, how many of them it takes."""
+    size, target = F.col("source_size").cast("double"), F.col("target")
+    finer = F.when(target > 0, F.ceil(F.least(size, F.lit(float(LEAST_BLOCKS)) * size / target))).otherwise(0)
+    blocks = F.greatest(F.lit(1), F.ceil(size / F.lit(block)), finer).cast("long")
+    taken = F.greatest(F.lit(1), F.round(target * F.col("_blocks") / size).cast("long"))
+    slots = F.when((size > 0) & (target > 0), F.least(taken, F.col("_blocks") * most)).otherwise(0)
+    return targets.withColumn("_blocks", blocks).withColumn("_slots", slots.cast("long"))
+
+
+def _begin(block: Column) -> Column:
+    """First word of a block: the first ``source_size % _blocks`` blocks are one word longer than the others."""
+    return block * F.floor(F.col("source_size") / F.col("_blocks")) + F.least(block, F.col("source_size") % F.col("_blocks"))
+
+
+def _holding(word: Column) -> Column:
+    """The block that holds a word; past the last word the last block."""
+    least, longer = F.floor(F.col("source_size") / F.col("_blocks")), F.col("source_size") % F.col("_blocks")
+    after = longer + F.floor((word - longer * (least + 1)) / F.greatest(least, F.lit(1)))
+    block = F.when(word < longer * (least + 1), F.floor(word / (least + 1))).otherwise(after)
+    return F.least(block, F.col("_blocks") - 1)
+
+
+def _mirrored(number: Column) -> Column:
+    return F.conv(F.reverse(F.lpad(F.bin(number), _DIGITS, "0")), 2, 10).cast("long")
+
+
+def schedule(sources: DataFrame) -> DataFrame:
+    """(slot, _sid, rank, block, epoch), stored: which block of which source, from ``cut``, each slot of the mix takes."""
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slots") - 1, F.lit(_CHUNK).cast("long")))
+    starts = sources.filter("_slots > 0").select("_sid", "_blocks", "_slots", each.alias("_s"))
+    own = F.explode(F.sequence("_s", F.least(F.col("_s") + F.lit(_CHUNK), F.col("_slots")) - 1))
+    placed = starts.repartition("_sid", "_s").select("_sid", "_blocks", own.alias("_y"))
+    point = (_mirrored(F.col("_y")) + _mirrored(F.col("_sid"))) % F.lit(1 << _DIGITS)
+    placed = dense_key(placed.select("_sid", "_blocks", point.alias("_at")), ["_at", "_sid"], "slot", start=0)
+    placed = stored(placed.drop("_at").withColumn("_chunk", F.floor(F.col("slot") / _CHUNK)), "slots")
 
     before = Window.partitionBy("_sid").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = placed.groupBy("_sid", "_chunk").agg(F.count(F.lit(1)).alias("_n"))
@@ -91,8 +115,7 @@ def schedule(targets: DataFrame, block: int, total: int, most: int = MOST_EPOCHS
     inside = Window.partitionBy("_sid", "_chunk").orderBy("slot")
     ranked = placed.withColumn("_in", F.row_number().over(inside) - 1).join(chunks, ["_sid", "_chunk"])
     rank = F.col("_before") + F.col("_in")
-    blocks = F.ceil(F.col("source_size") / F.lit(block))
-    ranked = ranked.select("slot", "_sid", rank.alias("rank"), blocks.alias("_blocks")).filter(F.col("rank") < F.col("_blocks") * most)
+    ranked = ranked.select("slot", "_sid", rank.alias("rank"), "_blocks")
     return stored(
         ranked.select(
             "slot", "_sid", "rank", (F.col("rank") % F.col("_blocks")).alias("block"),
@@ -102,12 +125,12 @@ def schedule(targets: DataFrame, block: int, total: int, most: int = MOST_EPOCHS
     )
 
 
-def laid_out(rows: DataFrame, targets: DataFrame) -> DataFrame:
+def laid_out(rows: DataFrame, sources: DataFrame) -> DataFrame:
     """``rows`` with their source's columns and ``_start``, the words of the same source before them in the shuffle."""
     bits = max(0, (rows.count() // _ROWS).bit_length())
     chunk = F.shiftrightunsigned("_h", 64 - bits) if bits else F.lit(0).cast("long")
-    named = rows.alias("l").join(small(targets).alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
-    named = stored(named.select("l.*", "r._sid", "r.source_size", "r.target", chunk.alias("_chunk")), "named")
+    named = rows.alias("l").join(small(sources).alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
+    named = stored(named.select("l.*", "r._sid", "r.source_size", "r.target", "r._blocks", chunk.alias("_chunk")), "named")
     before = Window.partitionBy("_sid").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     chunks = named.groupBy("_sid", "_chunk").agg(F.sum("size").alias("_n"))
     chunks = chunks.select("_sid", "_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -127,14 +150,15 @@ def mix(documents: DataFrame, weights: Sequence[float] = WEIGHTS, seed: int = SE
     """
     rows = sized(documents, seed, *key)
     targets = stored(source_targets(rows, weights), "targets")
-    block, total = block_words(targets)
-    slots = schedule(targets, block, total)
+    block, _ = block_words(targets)
+    sources = stored(cut(targets, block), "cut")
+    slots = schedule(sources)
     times = slots.groupBy("_sid", "block").agg(F.count(F.lit(1)).alias("_times"))
-    laid = stored(laid_out(rows, targets), "laid-out")
-    first, last = F.floor(F.col("_start") / block), F.floor((F.col("_start") + F.greatest("size", F.lit(1)) - 1) / block)
-    each = laid.select("_row", "_sid", "_start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    begin = F.greatest("_start", F.col("block") * block)
-    end = F.least(F.col("_start") + F.col("size"), (F.col("block") + 1) * block)
+    laid = stored(laid_out(rows, sources), "laid-out")
+    first, last = _holding(F.col("_start")), _holding(F.col("_start") + F.greatest("size", F.lit(1)) - 1)
+    each = laid.select("_row", "_sid", "_start", "size", "source_size", "_blocks", F.explode(F.sequence(first, last)).alias("block"))
+    begin = F.greatest("_start", _begin(F.col("block")))
+    end = F.least(F.col("_start") + F.col("size"), _begin(F.col("block") + 1))
     parts = each.select("_row", "_sid", "block", (end - begin).alias("_words"), (begin == F.col("_start")).alias("_first"))
     held = parts.join(times, ["_sid", "block"]).groupBy("_row").agg(
         F.sum(F.col("_words") * F.col("_times")).alias("taken"),

@@ -264,6 +264,24 @@ def test_mix_ranks_and_capped_targets(spark):
     assert all(v == list(range(len(v))) for v in ranks.values())
 
 
+def test_small_sources_meet_their_targets(spark, monkeypatch):
+    sizes = {f"s{k:02d}": n for k, n in enumerate((300_000, 50, 1_000, 90_000, 4_915, 120, 10_000, 700, 4_097, 60_000, 80, 333))}
+    monkeypatch.setattr(mixing, "block_words", lambda *_: (mixing.BLOCK, sum(sizes.values())))  # as in a large corpus
+    rows = [(k, "w " * min(40, n - at), s) for s, n in sizes.items() for k, at in enumerate(range(0, n, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = targets(sizes)
+    slots, mixed = mixing.mix(docs)
+    got = {r.source_size: r for r in mixed.groupBy("source_size").agg(F.sum("taken").alias("taken"), F.sum(F.col("copies") * F.col("size")).alias("whole"), F.max("taken").alias("most")).collect()}
+    for s, n in sizes.items():
+        assert abs(got[n].taken - want[s]) <= 0.02 * want[s] + 1
+        assert abs(got[n].whole - want[s]) <= 0.02 * want[s] + 3 * 40  # one document more or less an epoch
+        assert got[n].most <= 3 * 40
+    order = [r._sid for r in slots.orderBy("slot").collect()]
+    assert len(order) == slots.agg(F.max("slot")).first()[0] + 1
+    shares, part = Counter(order), Counter(order[: len(order) // 3])
+    assert all(abs(part[s] - n / 3) <= 25 for s, n in shares.items())
+
+
 def test_mixed_documents(corpus, clashing, nothing):
     copies = Counter()
     for r in mixing.mix(corpus)[1].collect():
