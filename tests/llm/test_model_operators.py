@@ -225,6 +225,25 @@ PAGES = [
 ]
 
 
+_LONG = "A long paragraph, with commas, of the body itself; it goes on, and on, until it is far longer than all that stands beside it. " * 3
+WRAPPED = [
+    ("<article><h1>Title</h1><p class=lead>Short lead</p><div class=byline>By A. Writer</div><div class=body><p>{0}</p><p>{0}</p></div></article>",
+     "Title\nShort lead\nBy A. Writer\n{0}\n{0}"),
+    ("<div class=x>Unmarked, elsewhere.</div><main><h1><a href=/t>Linked title</a></h1><section class=one><p>{0}</p></section>"
+     "<section class=two><h2>More</h2><p>Small.</p></section><ul><li><a href=/a>Only links</a></li></ul></main>",
+     "Linked title\n{0}\nMore\nSmall."),
+    ("<article><div class=body><p>{0}</p><p>{0}</p><table><thead><tr><th>k</th></tr></thead><tbody><tr><td>1</td><td>2</td></tr></tbody></table>"
+     "<ul><li>a<ul><li>b<ul><li>c</li></ul></li></ul></li></ul></div></article>", "{0}\n{0}\nk\n1\n2\na\nb\nc"),
+    ("<body><div id=page><h1>Title</h1><p>Short lead</p><div class=body><p>{0}</p><p>{0}</p></div></div></body>", "Title\nShort lead\n{0}\n{0}"),
+    ("<body><div class=text><p>{0}</p><p>{0}</p></div><div class=low>Unmarked, short.</div></body>", "{0}\n{0}"),
+]
+
+
+def test_all_of_an_article_around_its_body():
+    for page, want in WRAPPED:
+        assert pages.main_text(page.format(_LONG)) == want.format(_LONG.strip())
+
+
 def test_pages(spark):
     rows = [(i, f"u{i}", page, "mine") for i, (page, _) in enumerate(PAGES)]
     rows += [(None, None, PAGES[3][0], "x"), (0, "u0", None, "x")]
