@@ -1,7 +1,8 @@
 """Secret scans: a wide pattern proposes findings, a random forest removes the false ones.
 
-Candidates are long runs of token characters and values assigned to telling
-names. Features: length, character transitions under a letter-pair model,
+Candidates are long runs of token characters, cut at assignment signs so that
+the value stands alone, values assigned to telling names or told after them, and
+keys of known prefixes. Features: length, character transitions under a letter-pair model,
 coverage by dictionary words, the path around the candidate, and neighbouring
 words. MLlib fits the forest on labelled findings; node tables, whose size
 depends on the number and depth of trees, go to the workers, and one pass over
@@ -39,15 +40,23 @@ VOCABULARY = "word_bpe_49k.json"
 
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
 _ASSIGNED = re.compile(
-    r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|access_?key|private_?key|credential)s?[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']?([^\s\"',;<>]{8,})"
+    r"(?i)(?:token|secret|passw(?:or)?d|pwd|api_?key|access_?key|private_?key|credential)s?[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']?((?:(?!&\w+=)[^\s\"',;<>]){8,})"
 )
+#: A value told in prose: "the password is ...", "Bearer ...".
+_TOLD = re.compile(
+    r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|key|bearer|credential)s?\s{1,3}(?:is\s{1,3})?[\"']?([^\s\"',;<>=]{8,}?)(?=[.:)\]]*(?:[\s\"',;<>]|$))"
+)
+#: Keys that say by their first letters what they are.
+_PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z2-7]{16}(?![A-Za-z0-9])|(?:gh[opsu]_|sk_live_|glpat-|xox[abp]-|sk-)[A-Za-z0-9_-]{16,})")
+_PART = re.compile(r"[^=]+=*")
+_LEAST_VALUE = 8  # characters of an assigned value
 #: Words that speak for and against a secret nearby.
 _FOR = frozenset("token secret password passwd pwd key apikey api_key access credential credentials auth authorization bearer private login".split())
 _AGAINST = frozenset("commit sha sha1 sha256 md5 checksum digest hash uuid guid id build version example placeholder sample test dummy revision etag integrity".split())
 _NEAR = 60  # characters looked at on either side
 FEATURES = (
     "length", "entropy", "pair_score", "class_changes", "digits", "upper", "hex", "distinct", "dictionary", "longest_word",
-    "separators", "in_path", "assigned", "quoted", "words_for", "words_against", "dashes",
+    "separators", "in_path", "assigned", "quoted", "words_for", "words_against", "dashes", "prefixed",
 )
 _WORD = re.compile(r"[A-Za-z_0-9]+")
 
@@ -72,15 +81,25 @@ def _pairs(words: frozenset[str]) -> np.ndarray:
     return np.log2(seen / seen.sum() * 26 * 26)
 
 
+def _mixed(s: str) -> bool:
+    """A digit, or letters that change case at least three times, as those of words and rules of dashes do not."""
+    return any(c.isdigit() for c in s) or sum(a.islower() != b.islower() for a, b in zip(s, s[1:], strict=False) if a.isalpha() and b.isalpha()) >= 3
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
-    """(start, end) of proposed findings, in order, none inside another. A run without a digit counts only if its
-    letters change case at least three times, as words and rules of dashes do not."""
+    """(start, end) of proposed findings, in order, none inside another. A run is cut at every "=" that more follows,
+    so NAME=value proposes the value and padding stays; parts count only if they are mixed."""
     found = []
     for m in _RUN.finditer(text):
-        s = m.group()
-        if any(c.isdigit() for c in s) or sum(a.islower() != b.islower() for a, b in zip(s, s[1:], strict=False) if a.isalpha() and b.isalpha()) >= 3:
-            found.append(m.span())
+        parts = list(_PART.finditer(m.group()))
+        for k, part in enumerate(parts):
+            value = part.group() if k == len(parts) - 1 else part.group().rstrip("=")
+            assigned = k > 0 or m.group().startswith("=")
+            if len(value) >= (_LEAST_VALUE if assigned else 16) and _mixed(value):
+                found.append((m.start() + part.start(), m.start() + part.start() + len(value)))
     found += [m.span(1) for m in _ASSIGNED.finditer(text)]
+    found += [m.span(1) for m in _TOLD.finditer(text) if _mixed(m[1]) or any(c in "!@$%^&*" for c in m[1])]
+    found += [m.span() for m in _PREFIXED.finditer(text)]
     out: list[tuple[int, int]] = []
     for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
         if out and a < out[-1][1]:
@@ -135,13 +154,15 @@ def features(text: str, start: int, end: int, words: frozenset[str], pairs: np.n
         float(len(parts(near) & _FOR)),
         float(len(parts(nearby) & _AGAINST)),
         s.count("-") / n,
+        float(bool(_PREFIXED.match(s))),
     ]
 
 
 def labelled_findings(rows: int = LABELLED, seed: int = SEED, vocabulary: str | None = None) -> pd.DataFrame:
     """(text, start, end, secret): findings with known labels, ``rows`` of them, half of them secrets, drawn from a seed.
-    Secrets are random keys of the usual lengths and alphabets in assignments or beside telling words; the others are
-    hashes, ids, numbers, paths, long words, identifiers and placeholders. Pass real labelled findings in the same
+    Secrets are random keys of the usual lengths and alphabets in assignments, as unquoted NAME=value, beside telling
+    words, or bare where their prefix tells; the others are hashes, ids, numbers, paths, long words, identifiers and
+    placeholders, hashes and ids as NAME=value too. Pass real labelled findings in the same
     columns to ``fit`` where there are any."""
     rnd = random.Random(seed)
     words = sorted(_dictionary(vocabulary or default_vocabulary()))
@@ -166,6 +187,11 @@ def labelled_findings(rows: int = LABELLED, seed: int = SEED, vocabulary: str |
         return chars(base + "!@$%^&*", rnd.randint(10, 20))
 
     def told(value: str) -> tuple[str, str]:
+        if _PREFIXED.match(value) and rnd.random() < 0.4:
+            return rnd.choice(("", "", "(", "use ", "see ", "then ")), ""
+        if rnd.random() < 0.25:
+            name = rnd.choice(("TOKEN", "SECRET", "PASSWORD", "API_KEY", "ACCESS_KEY", "PRIVATE_KEY", "token", "api_key"))
+            return rnd.choice(("", "", "export ", "?", "config.")) + rnd.choice(("", rnd.choice(words).upper() + "_")) + name + "=", ""
         name = rnd.choice(("token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "private_key", "TOKEN", "PASSWORD"))
         q = rnd.choice(('"', '"', "'", ""))
         sign = rnd.choice((" = ", "=", ": ", ":", " => "))
@@ -176,11 +202,11 @@ def labelled_findings(rows: int = LABELLED, seed: int = SEED, vocabulary: str |
     def other() -> tuple[str, str, str]:
         kind = rnd.randrange(9)
         if kind == 0:
-            return rnd.choice(("commit ", "sha1 ", "revision ", "build ", "at commit ")), chars(hexa, 40), ""
+            return rnd.choice(("commit ", "sha1 ", "revision ", "build ", "at commit ", "GIT_COMMIT=", "BUILD_SHA=")), chars(hexa, 40), ""
         if kind == 1:
-            return rnd.choice(("sha256:", "md5 ", "checksum ", 'integrity="sha256-', "etag: ")), chars(hexa, rnd.choice((32, 64))), ""
+            return rnd.choice(("sha256:", "md5 ", "checksum ", 'integrity="sha256-', "etag: ", "IMAGE_DIGEST=", "checksum=")), chars(hexa, rnd.choice((32, 64))), ""
         if kind == 2:
-            return rnd.choice(("id=", "uuid ", "guid: ", '"id": "', "request ")), str(uuid.UUID(int=rnd.getrandbits(128))), ""
+            return rnd.choice(("id=", "REQUEST_ID=", "uuid ", "guid: ", '"id": "', "request ")), str(uuid.UUID(int=rnd.getrandbits(128))), ""
         if kind == 3:
             return rnd.choice(("", "card ", "order ", "number ")), chars("0123456789", rnd.randint(16, 22)), ""
         if kind == 4:
@@ -236,12 +262,14 @@ def fit(
     spark: SparkSession, labelled: pd.DataFrame, vocabulary: str | None = None, trees: int = TREES, depth: int = DEPTH,
     threshold: float = THRESHOLD, seed: int = SEED,
 ) -> Scanner:
-    """Fit the forest on labelled findings (text, start, end, secret), a bounded sample."""
+    """Fit the forest on labelled findings (text, start, end, secret), a bounded sample. It learns the spans that a scan
+    proposes for them, or the labelled span where it proposes none."""
     words = _dictionary(vocabulary or default_vocabulary())
     pairs = _pairs(words)
     rows = [
-        ([float(v) for v in features(t, a, b, words, pairs)], float(y))
+        ([float(v) for v in features(t, i, j, words, pairs)], float(y))
         for t, a, b, y in labelled[["text", "start", "end", "secret"]].itertuples(index=False)
+        for i, j in [c for c in candidates(t) if c[0] < b and a < c[1]] or [(a, b)]
     ]
     made = spark.createDataFrame(rows, "x array<double>, label double").coalesce(1).withColumn("features", array_to_vector("x"))
     model = RandomForestClassifier(numTrees=trees, maxDepth=depth, minInstancesPerNode=2, seed=seed).fit(made)
