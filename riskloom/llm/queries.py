@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk, unigram
+from riskloom.llm import kneser_ney, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk, unigram, whitening
 
 QUERIES = {
     "op7_token_counts": unigram.op7_token_counts,
@@ -14,6 +14,7 @@ QUERIES = {
     "op4_quality_rules": rules.op4_quality_rules,
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
+    "op11_embedding_whitening": whitening.op11_embedding_whitening,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
 
