@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import kneser_ney, minhash, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk, unigram, whitening
+from riskloom.llm import alignment, kneser_ney, minhash, mixing, packing, pages, rules, secrets, simhash, suffix_dedup, topk, unigram, whitening
 
 QUERIES = {
     "op7_token_counts": unigram.op7_token_counts,
@@ -15,6 +15,7 @@ QUERIES = {
     "op5_source_mixing": mixing.op5_source_mixing,
     "op6_simhash_near_dedup": simhash.op6_simhash_near_dedup,
     "op11_embedding_whitening": whitening.op11_embedding_whitening,
+    "op12_cross_tokenizer_alignment": alignment.op12_cross_tokenizer_alignment,
     "op13_minhash_near_dedup": minhash.op13_minhash_near_dedup,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
 }
