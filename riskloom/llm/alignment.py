@@ -36,10 +36,11 @@ from riskloom.llm.common import doc_columns, read, small, stored, worker_memory
 BYTE_BPE, PIECE_BPE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: A worker forgets its stretches beyond so many bytes of them and their alignments; longer stretches are never kept.
 MEMORY, LONGEST = 96 << 20, 256
-#: Texts aligned together, in characters; a block's postings and documents, whose places take 16 bits.
-TOGETHER, BLOCK_ENTRIES, BLOCK_DOCS = 1 << 20, 2_000_000, 1 << 16
+#: Stretches encoded in one line; texts aligned together, in characters; a block's postings and documents, whose places take 16 bits.
+LINE, TOGETHER, BLOCK_ENTRIES, BLOCK_DOCS = 2_000, 1 << 20, 2_000_000, 1 << 16
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _MARK = "▁"
+_B_WRITTEN = 1 << 18  # place of B's ids in the list of written ids
 
 
 def default_files() -> tuple[str, str]:
@@ -48,17 +49,6 @@ def default_files() -> tuple[str, str]:
     return public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
 
 
-@dataclass(frozen=True)
-class Stretch:
-    """Alignment of one stretch: ids of A and B, links as a·2^32 + b, groups as text."""
-
-    n_a: int
-    n_b: int
-    n_groups: int
-    links: np.ndarray
-    groups: bytes
-
-
 def _byte_letters() -> dict[str, int]:
     """The letters that byte-level vocabularies write bytes with: printable Latin-1 as itself, the rest from 256 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -66,26 +56,39 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
-def align(a: list[int], b: list[int], a_ends: np.ndarray, b_ends: np.ndarray) -> Stretch:
-    """Groups and links of two token sequences over the same bytes, given where each token ends. No token is empty."""
-    common = np.intersect1d(a_ends, b_ends, assume_unique=True)
-    if len(a) == len(b) == len(common):  # token by token
-        pairs = list(zip(a, b, strict=True))
-        links, groups = [(x << 32) + y for x, y in pairs], ";".join([f"{x}|{y}" for x, y in pairs])
-    else:
-        links, parts, i, j = [], [], 0, 0
-        last_a, last_b = np.searchsorted(a_ends, common) + 1, np.searchsorted(b_ends, common) + 1
-        for p, q in zip(last_a.tolist(), last_b.tolist(), strict=True):
-            parts.append(f"{','.join(map(str, a[i:p]))}|{','.join(map(str, b[j:q]))}")
-            x, y = i, j
-            while x < p and y < q:  # walk the overlaps, the token that ends first moves on
-                links.append((a[x] << 32) + b[y])
-                end_a, end_b = a_ends[x], b_ends[y]
-                x += end_a <= end_b
-                y += end_b <= end_a
-            i, j = p, q
-        groups = ";".join(parts)
-    return Stretch(len(a), len(b), len(common), np.array(links, np.int64), groups.encode())
+@dataclass(frozen=True)
+class Aligned:
+    """Pieces of text one after the other: where the tokens, groups and links of each end."""
+
+    a_ends: np.ndarray
+    b_ends: np.ndarray
+    group_ends: np.ndarray
+    link_ends: np.ndarray
+    links: np.ndarray  # a·2^32 + b
+    written: np.ndarray  # places in the list of Aligner.written, tokens in the order of the groups' text
+
+
+def align(a: np.ndarray, b: np.ndarray, a_bytes: np.ndarray, b_bytes: np.ndarray, a_ends: np.ndarray, b_ends: np.ndarray) -> Aligned:
+    """Groups and links of pieces' tokens, given the bytes of each. Pieces end where tokens of both end; no token is
+    empty."""
+    a_end, b_end = np.cumsum(a_bytes), np.cumsum(b_bytes)
+    last = np.searchsorted(b_end, a_end)  # the B token that holds the last byte of each A token
+    closes = b_end[last] == a_end
+    first = np.concatenate([[0], last[:-1] + closes[:-1]])
+    number = last - first + 1
+    link_ends = np.cumsum(number)
+    b_of = np.arange(link_ends[-1]) + np.repeat(first - link_ends + number, number)
+    links = (np.repeat(a, number) << 32) + b[b_of]
+    # A group's A tokens stand before its B tokens.
+    b_closes = np.zeros(len(b), bool)
+    b_closes[last[closes]] = True
+    a_last, b_last = np.flatnonzero(closes) + 1, np.flatnonzero(b_closes) + 1
+    a_group, b_group = np.cumsum(closes) - closes, np.cumsum(b_closes) - b_closes
+    written = np.empty(len(a) + len(b), np.int64)
+    written[np.arange(len(a)) + np.concatenate([[0], b_last])[a_group]] = 2 * a + closes
+    written[np.arange(len(b)) + a_last[b_group]] = 2 * b + b_closes + _B_WRITTEN
+    groups = np.concatenate([[0], np.cumsum(closes)])
+    return Aligned(a_ends, b_ends, groups[a_ends], np.concatenate([[0], link_ends])[a_ends], links, written)
 
 
 class Aligner:
@@ -107,48 +110,96 @@ class Aligner:
         self.b_bytes = [
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_MARK, " ").encode() for i, p in enumerate(pieces)
         ]
+        ids = range(max(self.a_bytes) + 1)
+        self.a_sizes = np.array([len(self.a_bytes.get(i, b"")) for i in ids])
+        self.b_sizes = np.array([len(x) for x in self.b_bytes])
+        # Ids as the groups' text writes them, inside a group and at the end of its A and B part.
+        self.written = [b"%d%s" % (i, end) for i in ids for end in (b",", b"|")]
+        self.written += [b""] * (_B_WRITTEN - len(self.written))
+        self.written += [b"%d%s" % (i, end) for i in range(len(pieces)) for end in (b",", b";")]
         # A space can be cut at only if no piece goes on across one.
         self.cuts = not any(re.search(f"[^{_MARK}]{_MARK}", p) for p in pieces)
-        self.known: dict[str, Stretch | None] = {}
+        self.a_known: dict[str, bytes] = {}
+        self.b_known: dict[str, bytes] = {}
+        self.wrong: set[str] = set()
+        self.passing: list[str] = []
         self.held = 0
 
     def stretches(self, text: str) -> list[str]:
         """A text in stretches; each stands after a space that is not in it."""
         return _CUT.split(text) if self.cuts else [text]
 
-    def _aligned(self, words: list[str]) -> Iterator[Stretch | None]:
-        """None where a tokenizer does not give the bytes back."""
-        coded = self.a.encode_batch_fast([" " + w for w in words], add_special_tokens=False)
-        for word, found, b in zip(words, coded, self.b.encode(words, num_threads=1), strict=True):
-            a, want = found.ids, b" " + word.encode()
-            try:
-                a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-            except KeyError:
-                yield None
-                continue
-            if b"".join(a_bytes) != want or b"".join(b_bytes) != want:
-                yield None
+    def _right(self, a: list[int], b: list[int], want: bytes) -> bool:
+        """Whether both give the bytes back."""
+        try:
+            return b"".join(map(self.a_bytes.__getitem__, a)) == want == b"".join(map(self.b_bytes.__getitem__, b))
+        except KeyError:
+            return False
+
+    def _line(self, words: list[str]) -> bool:
+        """Learn stretches from one line of them, told apart again by their bytes; False if that cannot be done."""
+        line = " ".join(words)
+        want = b" " + line.encode()
+        a, b = self.a.encode_batch_fast([" " + line], add_special_tokens=False)[0].ids, self.b.encode(line)
+        if not self._right(a, b, want):
+            return False
+        ends = np.cumsum([len(w.encode()) + 1 for w in words])
+        cut = []
+        for ids, sizes in ((a, self.a_sizes), (b, self.b_sizes)):
+            ids = np.array(ids, "<u4")
+            at = np.cumsum(sizes[ids])
+            last = np.searchsorted(at, ends)
+            if not np.array_equal(at[last], ends):
+                return False
+            raw, to = ids.tobytes(), (4 * (last + 1)).tolist()
+            cut.append([raw[x:y] for x, y in zip([0, *to], to, strict=False)])
+        for known, parts in zip((self.a_known, self.b_known), cut, strict=True):
+            known.update(zip(words, parts, strict=True))
+        self.held += 300 * len(words) + 4 * (len(a) + len(b)) + 2 * len(line)
+        return True
+
+    def _learn(self, new: list[str]) -> None:
+        plain = [w for w in new if self.cuts and len(w) <= LONGEST and w and w.strip() == w]
+        other = [w for w in new if not (self.cuts and len(w) <= LONGEST and w and w.strip() == w)]
+        for at in range(0, len(plain), LINE):
+            if not self._line(plain[at : at + LINE]):
+                other += plain[at : at + LINE]
+        if not other:
+            return
+        coded = self.a.encode_batch_fast([" " + w for w in other], add_special_tokens=False)
+        for word, found, b in zip(other, coded, self.b.encode(other, num_threads=1), strict=True):
+            a = found.ids
+            if self._right(a, b, b" " + word.encode()):
+                self.a_known[word], self.b_known[word] = np.array(a, "<u4").tobytes(), np.array(b, "<u4").tobytes()
             else:
-                yield align(a, b, np.cumsum([len(x) for x in a_bytes]), np.cumsum([len(x) for x in b_bytes]))
+                self.wrong.add(word)
+            if len(word) > LONGEST:
+                self.passing.append(word)
+            self.held += 300 + 2 * len(word) + 4 * (len(a) + len(b))
 
-    def documents(self, texts: list[str]) -> Iterator[list[Stretch]]:
-        """The stretches of each text; none if it has no tokens."""
+    def ids(self, pieces: list[list[str]]) -> list[tuple[bytes, bytes] | None]:
+        """Little-endian 32-bit ids of whole pieces, given by their stretches; None for a piece without tokens, that is
+        if a tokenizer does not give its bytes back."""
         if self.held > MEMORY:
-            self.known.clear()
+            for known in (self.a_known, self.b_known, self.wrong):
+                known.clear()
             self.held = 0
-        cut = [self.stretches(t) if t else [] for t in texts]
-        new = list(set().union(*cut).difference(self.known))
-        once: dict[str, Stretch | None] = {}
-        for word, found in zip(new, self._aligned(new), strict=True):
-            if len(word) > LONGEST:
-                once[word] = found
-            else:
-                self.known[word] = found
-                self.held += 400 + 3 * len(word) + (len(found.groups) + found.links.nbytes if found else 0)
-        look = {**self.known, **once}.__getitem__ if once else self.known.__getitem__
-        for words in cut:
-            found = list(map(look, words))
-            yield [] if None in found else found
+        words = set().union(*pieces)
+        words.difference_update(self.a_known)
+        self._learn(list(words.difference(self.wrong)))
+        a, b, wrong = self.a_known.__getitem__, self.b_known.__getitem__, self.wrong
+        out = [None if wrong and not wrong.isdisjoint(p) else (b"".join(map(a, p)), b"".join(map(b, p))) for p in pieces]
+        for word in self.passing:
+            for known in (self.a_known, self.b_known):
+                known.pop(word, None)
+            wrong.discard(word)
+        self.passing.clear()
+        return out
+
+    def aligned(self, pieces: list[tuple[bytes, bytes]]) -> Aligned:
+        a, b = (np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in zip(*pieces, strict=True))
+        ends = [np.cumsum([len(x) // 4 for x in side]) for side in zip(*pieces, strict=True)]
+        return align(a, b, self.a_sizes[a], self.b_sizes[b], *ends)
 
 
 def _aligner(files: tuple[str, str]) -> Aligner:
@@ -251,6 +302,61 @@ class _Block:
             plane += 1
 
 
+class _Text:
+    """A document while its pieces are aligned."""
+
+    def __init__(self, doc_id: int | None, text: str | None, aligner: Aligner):
+        self.doc_id, self.n_a, self.n_b, self.n_groups = doc_id, 0, 0, 0
+        self.links: list[np.ndarray] = []
+        self.digest, self.right = hashlib.sha256(), bool(text)
+        words, self.pieces = aligner.stretches(text) if text else [], []
+        if text and len(text) <= TOGETHER:
+            self.pieces.append(words)
+            return
+        size = low = 0
+        for k, word in enumerate(words):
+            size += len(word) + 1
+            if size >= TOGETHER or k + 1 == len(words):
+                self.pieces.append(words[low : k + 1])
+                size, low = 0, k + 1
+
+    def add(self, n_a: int, n_b: int, n_groups: int, links: np.ndarray, written: bytes) -> None:
+        self.digest.update(b";" + written[:-1] if self.n_a else written[:-1])
+        self.n_a, self.n_b, self.n_groups = self.n_a + n_a, self.n_b + n_b, self.n_groups + n_groups
+        self.links.append(links)
+
+    def row(self, block: _Block) -> tuple:
+        if not self.right:
+            return None, None, self.doc_id, 0, 0, 0, 0, ""
+        links = np.concatenate(self.links)
+        place = block.add(links)
+        return block.number, place, self.doc_id, self.n_a, self.n_b, self.n_groups, len(links), self.digest.hexdigest()
+
+
+def _align_texts(aligner: Aligner, texts: list[_Text]) -> None:
+    """All pieces of the texts, about ``TOGETHER`` characters of them at once."""
+    some, size = [], 0
+    work = [(t, piece) for t in texts for piece in t.pieces]
+    for k, (text, piece) in enumerate(work):
+        some.append((text, piece))
+        size += sum(map(len, piece)) + len(piece)
+        if size < TOGETHER and k + 1 < len(work):
+            continue
+        ids = aligner.ids([p for _, p in some])
+        for (t, _), found in zip(some, ids, strict=True):
+            t.right &= found is not None
+        whole = [(t, found) for (t, _), found in zip(some, ids, strict=True) if found is not None]
+        some, size = [], 0
+        if not whole:
+            continue
+        made = aligner.aligned([found for _, found in whole])
+        a0 = b0 = g0 = l0 = 0
+        for (t, _), a1, b1, g1, l1 in zip(whole, *(x.tolist() for x in (made.a_ends, made.b_ends, made.group_ends, made.link_ends)), strict=True):
+            written = b"".join(map(aligner.written.__getitem__, made.written[a0 + b0 : a1 + b1].tolist()))
+            t.add(a1 - a0, b1 - b0, g1 - g0, made.links[l0:l1], written)
+            a0, b0, g0, l0 = a1, b1, g1, l1
+
+
 def _found(files: tuple[str, str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = _aligner(files)
@@ -259,18 +365,11 @@ def _found(files: tuple[str, str]):
         for b in batches:
             ids, texts = b.column("doc_id").to_pylist(), b.column("text")
             for low, high in _together(texts):
+                held = [_Text(i, t, aligner) for i, t in zip(ids[low:high], texts[low:high].to_pylist(), strict=True)]
+                _align_texts(aligner, held)
                 out = []
-                for doc_id, parts in zip(ids[low:high], aligner.documents(texts[low:high].to_pylist()), strict=True):
-                    if not parts:
-                        out.append((None, None, doc_id, 0, 0, 0, 0, ""))
-                        continue
-                    links = np.concatenate([p.links for p in parts])
-                    at = block.number
-                    place = block.add(links)
-                    digest = hashlib.sha256(b";".join([p.groups for p in parts])).hexdigest()
-                    out.append(
-                        (at, place, doc_id, sum(p.n_a for p in parts), sum(p.n_b for p in parts), sum(p.n_groups for p in parts), len(links), digest)
-                    )
+                for text in held:
+                    out.append(text.row(block))
                     if block.full():
                         yield from block.postings()
                         number += 1
@@ -284,7 +383,7 @@ def _found(files: tuple[str, str]):
 
 
 def _together(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about ``TOGETHER`` characters."""
+    """Ranges of rows of about ``TOGETHER`` bytes."""
     import pyarrow.compute as pc
 
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
