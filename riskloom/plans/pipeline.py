@@ -40,7 +40,6 @@ class Settings:
     boost_trees: int = boost.MAX_TREES
     boost_patience: int = boost.PATIENCE
     learning_rate: float = boost.LEARNING_RATE
-    first_trees: int = boost.FIRST_TREES
     max_categories: int = matrix.MAX_CATEGORIES
     stop_on_violation: bool = True
 
@@ -63,7 +62,7 @@ def fit(made: DataFrame, columns: list[str], settings: Settings) -> tuple[Ensemb
     )
     boosted = boost.fit_boost(
         train, valid, columns, max_trees=settings.boost_trees, patience=settings.boost_patience,
-        learning_rate=settings.learning_rate, first_trees=settings.first_trees,
+        learning_rate=settings.learning_rate,
     )
     return isolation, boosted
 

@@ -74,23 +74,89 @@ def test_mean_path():
     assert float(forest.mean_path(256)) == pytest.approx(10.244, abs=1e-2)
 
 
-def test_boost_probability_equals_mllib(spark, rows):
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.functions import vector_to_array
-
-    data = VectorAssembler(inputCols=COLUMNS, outputCol="features").transform(rows.withColumn("label", F.col("y").cast("double")))
-    fitted = GBTClassifier(maxIter=6, maxDepth=4, stepSize=0.3, seed=1).fit(data)
-    model = Ensemble("boosted_trees", tuple(COLUMNS), boost._nodes(fitted, spark))
-    want = fitted.transform(data).select("id", vector_to_array("probability")[1].alias("p"))
-    got = boost.score_boost(rows, model, "q").join(want, "id")
-    assert got.agg(F.max(F.abs(F.col("q").cast("double") - F.col("p")))).first()[0] <= 5.1e-6
+def keys(spark, ids):
+    df = spark.createDataFrame([(i,) for i in ids], "id string")
+    return np.array([r[0] for r in df.select(F.xxhash64("id")).collect()])
+
+
+def brute_boost(x, y, keys, rounds, rate, depth=5, bins=256, seed=42):
+    """Margins of the training rows after each round: every cut between two values tried at every node."""
+    weight = float((~y).sum() / y.sum())
+    w = np.where(y, weight, 1.0)
+    bounds = []
+    for column in x.T:
+        values = np.unique(column)
+        if len(values) > bins:
+            order = np.argsort(column, kind="stable")
+            upto = np.cumsum(w[order])
+            values = np.unique(column[order][[np.flatnonzero(upto >= upto[-1] * k / bins - 1e-9)[0] for k in range(1, bins)]])
+            values = np.append(values[values < column.max()], np.inf)
+        bounds.append(values[:-1])
+    scale = boost.whole_scale(len(x), weight)
+    margin, out = np.zeros(len(x)), []
+    for r in range(rounds):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = np.rint((p - y) * w * scale) / scale, np.rint(p * (1 - p) * w * scale) / scale
+        used = boost.drawn_rows(keys, seed, r)
+        columns = boost.drawn_columns(x.shape[1], seed, r)
+
+        def grow(rows, level):
+            sampled = rows & used
+            total_g, total_h = g[sampled].sum(), h[sampled].sum()
+            best = (1e-6, None)
+            for f in columns if level < depth else ():
+                for cut in bounds[f]:
+                    left = sampled & (x[:, f] <= cut)
+                    lg, lh = g[left].sum(), h[left].sum()
+                    if min(lh, total_h - lh) < 3:
+                        continue
+                    gain = lg**2 / (lh + 1) + (total_g - lg) ** 2 / (total_h - lh + 1) - total_g**2 / (total_h + 1)
+                    if gain > best[0] * (1 + 1e-12):
+                        best = (gain, (f, cut))
+            if best[1] is None:
+                margin[rows] += -rate * total_g / (total_h + 1)
+                return
+            f, cut = best[1]
+            for side in (rows & (x[:, f] <= cut), rows & ~(x[:, f] <= cut)):
+                grow(side, level + 1)
+
+        grow(np.ones(len(x), bool), 0)
+        out.append(margin.copy())
+    return out
+
+
+@pytest.mark.parametrize("bins", [256, 24])
+def test_boost_equals_brute_force(spark, rows, bins):
+    some = rows.filter("xxhash64(id) % 5 = 0").select("id", F.round("a", 1).alias("a"), F.round("b", 1).alias("b"), "c", "y").cache()
+    pdf = some.toPandas()
+    want = brute_boost(pdf[COLUMNS].to_numpy(), pdf["y"].to_numpy(), keys(spark, pdf["id"]), 5, 0.3, bins=bins)[-1]
+    models = [
+        boost.fit_boost(part, part, COLUMNS, "y", "id", max_trees=5, learning_rate=0.3, patience=99, max_bins=bins)
+        for part in (some, some.repartition(7))
+    ]
+    assert models[0].nodes.equals(models[1].nodes)  # however the rows are partitioned
+    trees = models[0].params["trees"]
+    model = models[0]
+    if trees < 5:
+        want = brute_boost(pdf[COLUMNS].to_numpy(), pdf["y"].to_numpy(), keys(spark, pdf["id"]), trees, 0.3, bins=bins)[-1]
+    got = leaf_values(model.arrays(), pdf[COLUMNS].to_numpy()).sum(axis=0)
+    assert np.abs(got - want).max() <= 1e-9
+
+
+def test_boost_sums_on_executors_and_constant_columns(spark, rows, monkeypatch):
+    part = rows.withColumn("c", F.lit(1.0))
+    fit = lambda: boost.fit_boost(part, part, COLUMNS, "y", "id", max_trees=3, learning_rate=0.3)
+    want = fit()
+    monkeypatch.setattr(boost, "_DIRECT", 0)
+    got = fit()
+    assert got.nodes.equals(want.nodes) and not (got.nodes["feature"] == 2).any()
+    with pytest.raises(ValueError):
+        boost.fit_boost(part, part, COLUMNS, "y", "id", max_bins=300)
 
 
 def test_boost(spark, rows):
-    hash_bit = F.pmod(F.xxhash64("id"), F.lit(3))
-    train, valid = rows.filter(hash_bit > 0), rows.filter(hash_bit == 0)
-    model = boost.fit_boost(train, valid, COLUMNS, "y", max_trees=12, patience=4, learning_rate=0.3, first_trees=6)
+    train, valid = rows.filter("id < 'r2'"), rows.filter("id >= 'r2'")
+    model = boost.fit_boost(train, valid, COLUMNS, "y", "id", max_trees=12, patience=4, learning_rate=0.3)
     assert 1 <= model.trees <= 12
     out = boost.score_boost(valid, model, "p").toPandas()
     p = out["p"].astype(float)
@@ -100,14 +166,67 @@ def test_boost(spark, rows):
     assert shares[0].feature == "a" and sum(r.importance for r in shares) == pytest.approx(1, abs=1e-3)
 
 
-def test_precision_by_size_is_average_precision(spark, rows):
+def test_early_stop_equals_cutting_after_all_rounds(spark, rows):
     from tests.test_scoring import brute_ranking
 
-    part = rows.limit(300).cache()
-    model = boost.fit_boost(part, part, COLUMNS, "y", max_trees=3, patience=9, learning_rate=0.3)
-    for r in boost.precision_by_size(part, model, "y").filter(f"trees <= {model.trees}").collect():
-        data = boost.score_boost(part, model.first(r.trees), "p").select("p", "y").collect()
-        assert round(r.ap, 4) == pytest.approx(brute_ranking([(float(d.p), d.y) for d in data])[1], abs=1e-4)
+    train, valid = rows.filter("id < 'r2'"), rows.filter("id >= 'r2'")
+    fit = lambda **more: boost.fit_boost(train, valid, COLUMNS, "y", "id", learning_rate=0.5, **more)
+    stopped, longest = fit(max_trees=40, patience=3), fit(max_trees=12, patience=99)
+    assert stopped.params["tried"] < 40
+    whole = fit(max_trees=stopped.params["tried"], patience=99)
+    assert whole.first(stopped.trees).nodes.equals(stopped.nodes.iloc[: len(whole.first(stopped.trees).nodes)])
+    # The precision of every size, from scores alone.
+    found = []
+    for k in range(1, longest.trees + 1):
+        data = boost.score_boost(valid, longest.first(k), "p").select("p", "y").collect()
+        found.append(brute_ranking([(float(d.p), d.y) for d in data])[1])
+    assert longest.params["valid_ap"] == pytest.approx(max(found), abs=1e-4) == pytest.approx(found[-1], abs=1e-4)
+
+
+def test_boost_goes_on_from_its_last_stored_round(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(boost, "STORE_EVERY", 2)
+    fit = lambda **more: boost.fit_boost(rows, rows, COLUMNS, "y", "id", max_trees=7, learning_rate=0.3, **more)
+    want = fit()
+    real, rounds = boost.drawn_columns, []
+
+    def lost(count, seed, tree, share):
+        rounds.append(tree)
+        if tree == 5 and rounds.count(5) == 1:
+            raise RuntimeError("the driver is lost")
+        return real(count, seed, tree, share)
+
+    monkeypatch.setattr(boost, "drawn_columns", lost)
+    with pytest.raises(RuntimeError):
+        fit(state=str(tmp_path / "state"))
+    rounds.clear()
+    rounds.append(5)
+    got = fit(state=str(tmp_path / "state"))
+    assert rounds[1] == 4 and got.nodes.equals(want.nodes) and got.params == want.params
+
+
+@pytest.mark.parametrize("parts", [1, 9])
+def test_quantile_summaries(spark, parts):
+    from riskloom.models import quantiles
+
+    rng = np.random.default_rng(4)
+    x, w = rng.lognormal(size=(40_000, 2)), rng.integers(1, 5, 40_000).astype(float)
+    x[::3, 1] = 2.0  # a third of the rows in one value
+    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "w": w})).repartition(parts)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 700)
+    try:
+        found = quantiles.summaries(df, ["a", "b"], F.col("w"), quantiles.ENTRIES_PER_BIN * 16)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for k, summary in enumerate(found):
+        assert len(summary[0]) <= 2 * quantiles.ENTRIES_PER_BIN * 16 and summary[1].sum() == pytest.approx(w.sum())
+        at = rng.choice(x[:, k], 300)
+        upto = np.concatenate([[0.0], np.cumsum(summary[1])])
+        guess = upto[np.searchsorted(summary[0], at, side="right")]
+        exact = np.array([w[x[:, k] <= v].sum() for v in at])
+        assert np.abs(guess - exact).max() <= w.sum() / (4 * 16)
+        assert len(quantiles.cuts(summary, 16)) <= 15
+    few = quantiles.summaries(df.selectExpr("floor(a) as a", "w"), ["a"], F.col("w"), 64)[0]
+    assert dict(zip(*few, strict=True)) == {v: w[np.floor(x[:, 0]) == v].sum() for v in np.unique(np.floor(x[:, 0]))}
 
 
 def test_patience_rule():
@@ -151,7 +270,7 @@ def test_workers_need_no_package(tmp_path):
         "model = forest.fit_forest(rows, ['a', 'b'], 'id', trees=4, sample=32)\n"
         "assert forest.score_forest(rows, model).count() == 200\n"
         "print(forest.score_forest(rows, model).agg({'isolation_anomaly_score': 'max'}).first())\n"
-        "model = boost.fit_boost(rows, rows, ['a', 'b'], 'y', max_trees=2)\n"
+        "model = boost.fit_boost(rows, rows, ['a', 'b'], 'y', 'id', max_trees=2)\n"
         "print(boost.score_boost(rows, model).agg({'xgb_fraud_probability': 'max'}).first())\n"
     )
     done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, capture_output=True, text=True, timeout=300)
