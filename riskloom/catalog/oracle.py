@@ -191,11 +191,19 @@ def _rate(a: str, b: str, digits: int) -> str:
     return f"((2 * {scale} * {a} + {b}) // (2 * {b})) / CAST({scale} AS DOUBLE)"
 
 
+def _even(a: str, b: str, digits: int) -> str:
+    """Ties to even, on integers."""
+    units, scale = f"(CAST({10**digits} AS HUGEINT) * ({a}))", 10**digits
+    quotient, rest = f"({units} // ({b}))", f"({units} % ({b}))"
+    up = f"CASE WHEN 2 * {rest} > ({b}) OR (2 * {rest} = ({b}) AND {quotient} % 2 = 1) THEN 1 ELSE 0 END"
+    return f"CAST({quotient} + {up} AS DOUBLE) / CAST({scale} AS DOUBLE)"
+
+
 PARTS["quality"] = f"""
-SELECT model, flagged_txns, {_rate('tp', 'greatest(tp + fp, 1)', 3)} AS "precision",
-       {_rate('tp', 'greatest(y, 1)', 3)} AS recall, {_rate('fp', 'greatest(ny, 1)', 4)} AS false_positive_rate,
+SELECT model, flagged_txns, {_even('tp', 'greatest(tp + fp, 1)', 3)} AS "precision",
+       {_even('tp', 'greatest(y, 1)', 3)} AS recall, {_even('fp', 'greatest(ny, 1)', 4)} AS false_positive_rate,
        CAST(fraud_dollars AS DOUBLE) AS fraud_dollars, CAST(caught AS DOUBLE) AS fraud_dollars_caught,
-       round(CAST(caught AS DOUBLE) / greatest(CAST(fraud_dollars AS DOUBLE), CAST(1e-9 AS DOUBLE)), 3) AS dollar_recall
+       {_even('CAST(caught * 100 AS BIGINT)', 'greatest(CAST(fraud_dollars * 100 AS BIGINT), 1)', 3)} AS dollar_recall
 FROM counted"""
 
 _LABELS = " UNION ALL ".join(
@@ -219,7 +227,7 @@ def _title(c: str) -> str:
 
 PARTS["recalls"] = f"""
 SELECT label AS model, CAST(sort_order AS BIGINT) AS sort_order, {_title('fraud_scenario')} AS fraud_type,
-       {_rate('count(*) FILTER (flagged)', 'count(*)', 3)} AS recall_rate
+       {_even('count(*) FILTER (flagged)', 'count(*)', 3)} AS recall_rate
 FROM policies JOIN labels_of_models ON id = model WHERE is_fraud GROUP BY label, sort_order, fraud_scenario"""
 
 PARTS["bifact"] = f"""
@@ -453,6 +461,33 @@ _sql(
                     FROM fact LEFT JOIN people q ON q.home_city = city GROUP BY city) c ON c.home_city = f.city)
         WHERE km >= 800 GROUP BY ALL""",
 )
+PARTS["homepoints"] = """
+SELECT home_city, min(home_latitude) AS lat, min(home_longitude) AS lon FROM people GROUP BY home_city"""
+PARTS["places"] = "SELECT latitude AS lat, longitude AS lon, count(*) AS n FROM fact GROUP BY ALL"
+_sql(
+    "far_city_pairs",
+    f"""SELECT a.home_city, b.home_city AS city, round({_km('a.lat', 'a.lon', 'b.lat', 'b.lon')}, 1) AS km
+        FROM homepoints a JOIN homepoints b ON {_km('a.lat', 'a.lon', 'b.lat', 'b.lon')} >= 800""",
+)
+_sql(
+    "close_purchase_points",
+    f"""SELECT a.lat AS lat1, a.lon AS lon1, b.lat AS lat2, b.lon AS lon2,
+               CAST(round({_km('a.lat', 'a.lon', 'b.lat', 'b.lon')} * 1000) AS BIGINT) AS metres
+        FROM places a JOIN places b ON (a.lat <> b.lat OR a.lon <> b.lon) AND {_km('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= 2""",
+)
+_sql(
+    "customers_by_distance",
+    f"""SELECT lat AS lat1, lon AS lon1, count(*) FILTER (far) AS beyond, count(*) FILTER (NOT far) AS within
+        FROM (SELECT a.lat, a.lon, {_km('a.lat', 'a.lon', 'home_latitude', 'home_longitude')} >= 800 AS far
+              FROM places a CROSS JOIN people) GROUP BY lat, lon""",
+)
+_sql(
+    "purchases_by_distance",
+    f"""SELECT lat AS lat1, lon AS lon1, CAST(coalesce(sum(n) FILTER (far), 0) AS BIGINT) AS beyond,
+               CAST(coalesce(sum(n) FILTER (NOT far), 0) AS BIGINT) AS within
+        FROM (SELECT a.lat, a.lon, b.n, {_km('a.lat', 'a.lon', 'b.lat', 'b.lon')} >= 400 AS far
+              FROM places a CROSS JOIN places b) GROUP BY lat, lon""",
+)
 _sql(
     "dense_txn_key",
     f"""SELECT transaction_id, strftime(date_trunc('second', txn_timestamp), '%Y-%m-%d %H:%M:%S.%f') AS txn_timestamp,

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.functions.exact import round_half_even
+from riskloom.functions.geo import haversine_km
 from riskloom.models import boost, forest, matrix
 from riskloom.models.trees import Ensemble
 from riskloom.models.trees import feature_importance as gain_share
 from riskloom.operators import calendar as cal
-from riskloom.operators import integrity
+from riskloom.operators import distance, integrity
 from riskloom.operators.history import rolling
 from riskloom.operators.ordering import dense_key, exact_quantiles
 from riskloom.plans import bi, evaluate, export, pipeline, scoring, tiles, validation
@@ -292,6 +293,46 @@ def city_distance_pairs(spark, sf_dir):
     return validation.city_distances(testdata.transactions(spark, sf_dir), testdata.customers(spark, sf_dir))
 
 
+def _home_points(spark, sf_dir, number):
+    """A row per city that is somebody's home, with its point."""
+    homes = testdata.customers(spark, sf_dir).groupBy(F.col("home_city").alias(f"city{number}"))
+    return homes.agg(F.min("home_latitude").alias(f"lat{number}"), F.min("home_longitude").alias(f"lon{number}"))
+
+
+def _purchase_points(spark, sf_dir, number):
+    rows = testdata.transactions(spark, sf_dir)
+    return rows.select(F.col("latitude").alias(f"lat{number}"), F.col("longitude").alias(f"lon{number}"))
+
+
+@query
+def far_city_pairs(spark, sf_dir):
+    """Every two home cities at least 800 km apart, whether anyone bought there or not."""
+    pairs = distance.pairs_beyond(_home_points(spark, sf_dir, 1), _home_points(spark, sf_dir, 2), 800.0)
+    km = haversine_km(F.col("lat1"), F.col("lon1"), F.col("lat2"), F.col("lon2"))
+    return pairs.select(F.col("city1").alias("home_city"), F.col("city2").alias("city"), km.cast("decimal(9,1)").alias("km"))
+
+
+@query
+def close_purchase_points(spark, sf_dir):
+    """Every two places of purchase at most 2 km apart, a place with itself not."""
+    here, there = (_purchase_points(spark, sf_dir, k).distinct() for k in (1, 2))
+    pairs = distance.pairs_within(here, there, 2.0)
+    return pairs.filter("lat1 <> lat2 or lon1 <> lon2").select("lat1", "lon1", "lat2", "lon2", F.round(F.col("km") * 1000).cast("bigint").alias("metres"))
+
+
+@query
+def customers_by_distance(spark, sf_dir):
+    """For every place of purchase, the customers who live at least 800 km away and those who live nearer."""
+    homes = testdata.customers(spark, sf_dir).select(F.col("home_latitude").alias("lat2"), F.col("home_longitude").alias("lon2"))
+    return distance.counts_beyond(_purchase_points(spark, sf_dir, 1), homes, 800.0)
+
+
+@query
+def purchases_by_distance(spark, sf_dir):
+    """For every place of purchase, the purchases made at least 400 km away and those made nearer."""
+    return distance.counts_beyond(_purchase_points(spark, sf_dir, 1), _purchase_points(spark, sf_dir, 2), 400.0)
+
+
 @query
 def dense_txn_key(spark, sf_dir):
     """Renumber the transactions over the global (time, customer) order, times cut to the second."""

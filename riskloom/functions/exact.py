@@ -42,6 +42,15 @@ def ratio_milli(value: Column, total: Column, count: Column) -> Column:
     return F.when(total > 0, _div(wide(value) * wide(F.lit(2000) * count) + wide(total), wide(F.lit(2) * total)))
 
 
+def rate_half_even(hits: Column, total: Column, digits: int) -> Column:
+    """hits / total for whole numbers, ties to even, from exact integers; NULL without a total."""
+    wide = lambda c: c.cast("decimal(28,0)")
+    units, base = (wide(hits) * F.lit(10**digits)).cast("decimal(37,0)"), wide(F.nullif(total, F.lit(0)))
+    quotient, rest = _div(units, base), (units % base).cast("decimal(28,0)") * 2
+    up = (rest > base) | ((rest == base) & (quotient % 2 == 1))
+    return scaled(quotient + F.when(up, F.lit(1)).otherwise(F.lit(0)), digits)
+
+
 def elapsed_units(micros: Column, unit_micros: int) -> Column:
     """Non-negative microseconds in whole units, half up."""
     return _div(micros + F.lit(unit_micros // 2), F.lit(unit_micros).cast("bigint"))

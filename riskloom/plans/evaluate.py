@@ -7,9 +7,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.exact import rate_half_even
 from riskloom.functions.labels import title
 from riskloom.operators.ordering import exact_quantiles, running_totals
-from riskloom.plans.validation import share
 from riskloom.sources.schemas import MODEL_PERFORMANCE, SCENARIO_RECALL
 from riskloom.storage import materialize
 
@@ -94,8 +94,8 @@ def alert_quality(df: DataFrame, label: str, flag: str, amount: str, by: str, ro
     )
     at_least_one = lambda c: F.greatest(c, F.lit(1))
     tp, fp = F.col("tp"), F.col("fp")
-    rate = lambda hits, base, digits: share(hits, at_least_one(base), digits).cast("decimal(6,4)")
-    dollars = F.greatest(F.col("fraud_dollars").cast("double"), F.lit(1e-9))
+    rate = lambda hits, base, digits: rate_half_even(hits, at_least_one(base), digits).cast("decimal(6,4)")
+    whole_cents = lambda c: (F.col(c) * 100).cast("decimal(24,0)")
     return counts.select(
         by,
         (tp + fp).alias("flagged_txns"),
@@ -104,7 +104,7 @@ def alert_quality(df: DataFrame, label: str, flag: str, amount: str, by: str, ro
         rate(fp, F.col("legit"), 4).alias("false_positive_rate"),
         "fraud_dollars",
         "fraud_dollars_caught",
-        F.round(F.col("fraud_dollars_caught").cast("double") / dollars, 3).cast("decimal(6,4)").alias("dollar_recall"),
+        rate(whole_cents("fraud_dollars_caught"), whole_cents("fraud_dollars"), 3).alias("dollar_recall"),
     )
 
 
@@ -115,7 +115,7 @@ def scenario_recall(
     return (
         df.filter(F.col(label) & F.col(scenario).isNotNull())
         .groupBy(by, F.col(scenario).alias("scenario"))
-        .agg(share(_rows_where(F.col(flag), rows), F.sum(_ones(rows)), 3).cast("decimal(6,4)").alias("recall"))
+        .agg(rate_half_even(_rows_where(F.col(flag), rows), F.sum(_ones(rows)), 3).cast("decimal(6,4)").alias("recall"))
     )
 
 

@@ -126,3 +126,23 @@ def test_unknown_model_is_an_error(spark):
     metrics = spark.sql("SELECT 'mystery' AS model, map('a', cast(1 AS decimal(6,4))) AS recall_by_scenario")
     with pytest.raises(Exception, match="mystery"):
         evaluate.scenario_table(metrics).collect()
+
+
+@pytest.mark.parametrize("hits, total", [(1, 16), (5, 16), (1, 80), (1, 32), (3, 32), (7, 16), (0, 9), (9, 9), (2, 3)])
+def test_rates_round_ties_to_even(spark, hits, total):
+    from decimal import ROUND_HALF_EVEN, Decimal
+
+    rows = [("m", k < hits, True, "10.00", "s") for k in range(total)]
+    df = spark.createDataFrame(rows, "model string, is_fraud boolean, flagged boolean, amount string, fraud_scenario string")
+    df = df.withColumn("amount", F.col("amount").cast("decimal(12,2)"))
+    exact = lambda a, b, digits: (Decimal(a) / Decimal(b)).quantize(Decimal(10) ** -digits, ROUND_HALF_EVEN)
+    got = evaluate.alert_quality(df, "is_fraud", "flagged", "amount", "model").first()
+    assert got["precision"] == exact(hits, total, 3)
+    assert got.false_positive_rate == (1 if hits < total else 0)
+    caught = df.withColumns({"flagged": F.col("is_fraud"), "is_fraud": F.lit(True)})
+    found = evaluate.alert_quality(caught, "is_fraud", "flagged", "amount", "model").first()
+    assert found.recall == found.dollar_recall == exact(hits, total, 3)
+    wrong = df.withColumns({"flagged": F.col("is_fraud"), "is_fraud": F.lit(False)})
+    assert evaluate.alert_quality(wrong, "is_fraud", "flagged", "amount", "model").first().false_positive_rate == exact(hits, total, 4)
+    recall = evaluate.scenario_recall(caught, "is_fraud", "flagged", "fraud_scenario", "model").first()
+    assert recall.recall == exact(hits, total, 3)
