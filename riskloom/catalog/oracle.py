@@ -438,6 +438,7 @@ _sql(
                                 RANGE BETWEEN INTERVAL 90 DAYS PRECEDING AND CURRENT ROW)""",
 )
 SQL["txn_features_sliced"], SQL["order_spend_90d_sliced"] = SQL["txn_features"], SQL["order_spend_90d"]
+SQL["txn_features_daily"] = SQL["txn_features_late"] = SQL["txn_features"]
 _sql(
     "feature_validation",
     f"""SELECT coalesce(f.fraud_scenario, 'legit') AS scenario, count(*) AS txns,

@@ -24,7 +24,7 @@ from riskloom.operators import calendar as cal
 from riskloom.operators import distance, integrity
 from riskloom.operators.history import rolling
 from riskloom.operators.ordering import dense_key, exact_quantiles
-from riskloom.plans import bi, evaluate, export, pipeline, scoring, tiles, validation
+from riskloom.plans import bi, daily, evaluate, export, pipeline, scoring, tiles, validation
 from riskloom.plans.features import features
 from riskloom.plans.measures import MEASURES, between, summarize
 from riskloom.sources import star, testdata
@@ -250,6 +250,30 @@ def txn_features(spark, sf_dir):
     return _features(spark, sf_dir)
 
 
+def _by_days(spark, sf_dir, held_back):
+    """The feature table of three runs of ten days; rows that ``held_back`` picks come a run late."""
+    fact, people, base = testdata.transactions(spark, sf_dir), testdata.customers(spark, sf_dir), scratch_path(spark, "daily")
+    us = F.unix_micros(F.col("txn_timestamp").cast("timestamp"))
+    first, last = fact.agg(F.min(us), F.max(us)).first()
+    ends = [first + 10 * 86_400_000_000, first + 20 * 86_400_000_000, last + 1]
+    for low, end in zip([first, *ends], ends, strict=False):
+        due, early = (us >= low) & (us < end), (us < low) & (us >= low - 10 * 86_400_000_000)
+        daily.add_day(base, fact.filter((due & ~held_back) | (early & held_back) if end < ends[-1] else due | (early & held_back)), people, end, fact)
+    return daily.read_features(spark, base)
+
+
+@query
+def txn_features_daily(spark, sf_dir):
+    """The same features built by runs of ten days, each from its own rows and the state before it."""
+    return _by_days(spark, sf_dir, F.lit(False))
+
+
+@query
+def txn_features_late(spark, sf_dir):
+    """The same features although some rows come a run late."""
+    return _by_days(spark, sf_dir, F.pmod(F.xxhash64("transaction_id"), F.lit(50)) == 0)
+
+
 @query
 def order_spend_90d(spark, sf_dir):
     """Rolling spend per customer over seven years of orders, many per day."""

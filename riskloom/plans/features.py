@@ -22,18 +22,22 @@ def _clock(us: str) -> Column:
     return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
 
 
-def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """All feature columns; transactions of unknown customers drop out.
+def is_zoneless(fact: DataFrame) -> bool:
+    return isinstance(fact.schema["txn_timestamp"].dataType, T.TimestampNTZType)
 
-    Zone-less times are taken by their own clock, so neither the session's zone
-    nor its changes to summer time matter; zoned times by the session's clock."""
-    zoneless = isinstance(fact.schema["txn_timestamp"].dataType, T.TimestampNTZType)
-    # Time and amount travel through the shuffle once, as integers.
-    history = with_history(
-        fact.select(
-            "transaction_id", "customer_id", "device_id", (wall_micros if zoneless else micros)("txn_timestamp").alias("ts_us"),
-            cents("amount").alias("cents"), "merchant_category", "channel", "latitude", "longitude", "is_fraud",
-        ),
+
+def history_rows(fact: DataFrame) -> DataFrame:
+    """What features need of the transactions; time and amount travel through the shuffle once, as integers."""
+    return fact.select(
+        "transaction_id", "customer_id", "device_id", (wall_micros if is_zoneless(fact) else micros)("txn_timestamp").alias("ts_us"),
+        cents("amount").alias("cents"), "merchant_category", "channel", "latitude", "longitude", "is_fraud",
+    )
+
+
+def behaviour(rows: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Totals, sequence, previous row and first use of :func:`history_rows`."""
+    return with_history(
+        rows,
         key="customer_id",
         us="ts_us",
         row_id="transaction_id",
@@ -44,6 +48,18 @@ def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) ->
         attributes=customers.select("customer_id", "home_latitude", "home_longitude"),
         hot_rows=hot_rows,
     )
+
+
+def features(fact: DataFrame, customers: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """All feature columns; transactions of unknown customers drop out.
+
+    Zone-less times are taken by their own clock, so neither the session's zone
+    nor its changes to summer time matter; zoned times by the session's clock."""
+    return feature_columns(behaviour(history_rows(fact), customers, hot_rows), is_zoneless(fact))
+
+
+def feature_columns(history: DataFrame, zoneless: bool) -> DataFrame:
+    """The published columns of :func:`behaviour`."""
     own, one = F.col("cents"), F.lit(1)
     point = (F.col("latitude"), F.col("longitude"))
     # Named once, since several features use each of these.
