@@ -28,6 +28,7 @@ BUCKET, QUERY_BLOCK = 4096, 1024
 #: Local cosine from which coordinates are tested before products, and how many.
 COORDINATE_FROM, FOCUS = 0.5, 3
 _SLACK = 1 - 1e-9  # bounds are doubles, products are exact
+_MOST, _LONG = 2.0**62, 2**63 - 1
 
 _VECTORS = "vec_id long, norm double, v binary"
 
@@ -41,10 +42,8 @@ def _integers(dimensions: int, scale: float):
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             size = column.value_lengths().to_numpy(zero_copy_only=False)
             x = np.zeros((len(size), dimensions))
-            x[np.arange(dimensions) < size[:, None]] = np.floor(scale * flat)
-            if x.size and np.abs(x).max() >= 2.0**31:
-                raise OverflowError("components do not fit 32 bits after scaling")
-            rows = [r.tobytes() for r in x.astype("<i4")]
+            x[np.arange(dimensions) < size[:, None]] = np.clip(np.floor(scale * flat), -_MOST, _MOST)
+            rows = [r.tobytes() for r in x.astype("<i8")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("vec_id"), pa.array(np.sqrt((x * x).sum(axis=1))), pa.array(rows, pa.binary())], schema=schema
             )
@@ -54,7 +53,7 @@ def _integers(dimensions: int, scale: float):
 
 def integer_vectors(embeddings: DataFrame, scale: float = SCALE) -> DataFrame:
     """(_row, vec_id, norm, v) stored: floor(scale * x) of all vectors without null or non-finite components, as
-    little-endian 32-bit integers; shorter vectors are padded with zeros."""
+    little-endian 64-bit integers; shorter vectors are padded with zeros, components beyond ±2^62 are held there."""
     x = embeddings.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
     x = x.filter(F.col("embedding").isNotNull() & ~F.coalesce(bad, F.lit(False)))
@@ -108,14 +107,21 @@ class _Block:
     def __init__(self, row: dict, name: str):
         get = lambda f, t: np.frombuffer(row[f"{name}_{f}"], t)
         self.ids, self.known, self.rows, self.norms = get("ids", np.int64), get("known", bool), get("rows", np.int64), get("norms", float)
-        self.v = get("v", "<i4").reshape(len(self.ids), -1).astype(float)
+        self.whole = get("v", "<i8").reshape(len(self.ids), -1)
+        self.v = self.whole.astype(float)
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer products of the rows; doubles hold them up to 2 ** 53."""
-    if a.size and b.size and np.abs(a).max() * np.abs(b).max() * a.shape[1] >= 2.0**53:
-        return a.astype(np.int64) @ b.astype(np.int64).T
-    return a @ b.T
+def _products(q: _Block, of: np.ndarray, c: _Block, at: np.ndarray | slice) -> np.ndarray:
+    """Exact integer products of some rows of both blocks: in doubles up to 2 ** 53, in 64 bits as far as they hold them,
+    beyond in Python integers. A product that does not fit a long is held at the long's end."""
+    a, b = q.v[of], c.v[at]
+    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
+    if most < 2.0**53:
+        return a @ b.T
+    if most < 2.0**62:
+        return q.whole[of] @ c.whole[at].T
+    exact = q.whole[of].astype(object) @ c.whole[at].astype(object).T
+    return np.clip(exact, -_LONG, _LONG).astype(np.int64)
 
 
 def _best(scores: np.ndarray, at: np.ndarray, block: _Block, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,7 +145,7 @@ def _search(q: _Block, bound: np.ndarray, c: _Block, k: int, coordinate_from: fl
     by_length = np.flatnonzero((local <= 1) & (local < coordinate_from))
     if len(by_length):
         most = int(prefix[by_length].max())
-        for i, row in zip(by_length.tolist(), _products(q.v[by_length], c.v[:most]), strict=True):
+        for i, row in zip(by_length.tolist(), _products(q, by_length, c, slice(most)), strict=True):
             row = row[: prefix[i]]
             at = np.flatnonzero((row >= bound[i]) & (c.rows[: prefix[i]] != q.rows[i]))
             if len(at):
@@ -156,7 +162,7 @@ def _search(q: _Block, bound: np.ndarray, c: _Block, k: int, coordinate_from: fl
                 fits &= unit[:m, f] <= t * u[f] + reach
         at = np.flatnonzero(fits)
         if len(at):
-            row = _products(q.v[i : i + 1], c.v[at])[0]
+            row = _products(q, np.array([i]), c, at)[0]
             keep = row >= bound[i]
             if keep.any():
                 yield i, *_best(row[keep], at[keep], c, k)
@@ -172,7 +178,8 @@ def _bounds(k: int):
                 bound = np.full(len(q.ids), -np.inf)
                 for i, scores, _ in _search(q, bound, c, k, np.inf):
                     if len(scores) == k:
-                        bound[i] = scores[-1]
+                        # The nearest double of a score beyond 2 ** 53 may lie above it.
+                        bound[i] = np.nextafter(float(scores[-1]), -np.inf) if abs(int(scores[-1])) >= 2**53 else scores[-1]
                 with np.errstate(divide="ignore", invalid="ignore"):
                     reach = np.where((q.norms > 0) & (bound > 0), bound / q.norms, -np.inf).min()
                 yield pa.RecordBatch.from_arrays(
@@ -211,7 +218,7 @@ def top_k(
     """(query_id, rank, vec_id, score): the k highest products of each vector that satisfies ``queries`` with all others.
 
     ``vectors`` is a table as ``integer_vectors`` stores it. Ties go to the smaller vec_id, null last, then to the earlier
-    row. A repeated vec_id is a vector of its own; a query meets its copies, not itself. Fewer than k others give fewer
+    row. A score beyond 64 bits is held at their end, and such scores tie. A repeated vec_id is a vector of its own; a query meets its copies, not itself. Fewer than k others give fewer
     rows, no vectors or no queries none.
     """
     named = lambda df, p: df.select(*[F.col(c).alias(f"{p}_{c}") for c in df.columns])
