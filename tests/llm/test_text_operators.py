@@ -303,6 +303,54 @@ def test_small_sources_meet_their_targets(spark, monkeypatch):
     assert all(abs(part[s] - n / 3) <= 25 for s, n in shares.items())
 
 
+def test_schedule_goes_through_cumulative_weights(spark, monkeypatch):
+    taken = {0: (7, 20), 1: (500, 1_300), 2: (1, 1), 3: (40, 3), 4: (3, 0), 5: (90, 270), 6: (1_000, 1_111)}
+    sources = spark.createDataFrame([(s, b, n) for s, (b, n) in taken.items()], "_sid long, _blocks long, _slots long")
+    got = [(r._sid, r.rank, r.block, r.epoch) for r in mixing.schedule(sources).orderBy("slot").collect()]
+    edges, total = [], 0
+    for s, (_, n) in taken.items():
+        edges.append((total, total + n, s))
+        total += n
+    digits = (total - 1).bit_length()
+    want, ranks, at = [], Counter(), []
+    for k in range(1 << digits):
+        point = sum(1 << (digits - 1 - d) for d in range(digits) if k >> d & 1)
+        for low, high, s in edges:
+            if low <= point < high:
+                want.append((s, ranks[s], ranks[s] % taken[s][0], ranks[s] // taken[s][0]))
+                at.append(k)
+                ranks[s] += 1
+    assert got == want and ranks == Counter({s: n for s, (_, n) in taken.items() if n})
+    # every first part holds each source close to its share, by points and by slots
+    held = Counter()
+    for n, (k, (s, *_)) in enumerate(zip(at, got, strict=True), 1):
+        held[s] += 1
+        for other, (_, slots) in taken.items():
+            assert abs(held[other] - (k + 1) * slots / (1 << digits)) <= digits + 1
+            assert abs(held[other] - n * slots / total) <= digits + 1
+    # points in plain order give another schedule
+    monkeypatch.setattr(mixing, "_mirrored", lambda number, digits: number)
+    plain = [(r._sid, r.rank) for r in mixing.schedule(sources).orderBy("slot").collect()]
+    assert plain != [g[:2] for g in got] and sorted(plain) == sorted(g[:2] for g in got)
+
+
+def test_mix_in_slot_order(spark, tmp_path):
+    rows = [(k, "w " * (k % 37 + 1), f"s{k % 5}") for k in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    slots, mixed = mixing.mix(docs)
+    first = {(r._sid, r.block, r.epoch): r.slot for r in slots.collect()}
+    want = []
+    for r in mixed.collect():
+        assert r.copies == len(r.in_slots) and sorted(r.in_slots) == r.in_slots and set(r.in_slots) <= set(first.values())
+        want += [(slot, r.place, r.doc_id) for slot in r.in_slots]
+    path = str(tmp_path / "mix")
+    mixing.mixed_documents(docs).write.parquet(path)
+    got = []
+    for name in sorted(p.name for p in (tmp_path / "mix").glob("part-*")):
+        got += [r.doc_id for r in spark.read.parquet(f"{path}/{name}").coalesce(1).collect()]
+    assert got == [i for *_, i in sorted(want)]
+
+
 def test_mixed_documents(corpus, clashing, nothing):
     copies = Counter()
     for r in mixing.mix(corpus)[1].collect():
