@@ -44,12 +44,12 @@ _ASSIGNED = re.compile(
 )
 #: A value told in prose: "the password is ...", "Bearer ...".
 _TOLD = re.compile(
-    r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|key|bearer|credential)s?\s{1,3}(?:is\s{1,3})?[\"']?([^\s\"',;<>=]{8,}?)(?=[.:)\]]*(?:[\s\"',;<>]|$))"
+    r"(?i)\b(?:token|secret|passw(?:or)?d|pwd|key|bearer|credential)s?\s{1,3}(?:is\s{1,3})?[\"']?([^\s\"',;<>=]{8,}+)(?!=)"
 )
 #: Keys that say by their first letters what they are.
 _PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:(?:AKIA|ASIA)[A-Z2-7]{16}(?![A-Za-z0-9])|(?:gh[opsu]_|sk_live_|glpat-|xox[abp]-|sk-)[A-Za-z0-9_-]{16,})")
 _PART = re.compile(r"[^=]+=*")
-_LEAST_VALUE = 8  # characters of an assigned value
+_LEAST_VALUE = 8  # characters of an assigned or told value
 #: Words that speak for and against a secret nearby.
 _FOR = frozenset("token secret password passwd pwd key apikey api_key access credential credentials auth authorization bearer private login".split())
 _AGAINST = frozenset("commit sha sha1 sha256 md5 checksum digest hash uuid guid id build version example placeholder sample test dummy revision etag integrity".split())
@@ -88,17 +88,22 @@ def _mixed(s: str) -> bool:
 
 def candidates(text: str) -> list[tuple[int, int]]:
     """(start, end) of proposed findings, in order, none inside another. A run is cut at every "=" that more follows,
-    so NAME=value proposes the value and padding stays; parts count only if they are mixed."""
+    so NAME=value proposes the value and padding stays; parts count only if they are mixed. A told value ends before
+    the stops and brackets that close its sentence. Linear in the text, whatever it is made of."""
     found = []
     for m in _RUN.finditer(text):
-        parts = list(_PART.finditer(m.group()))
+        run = m.group()
+        parts = list(_PART.finditer(run))
         for k, part in enumerate(parts):
             value = part.group() if k == len(parts) - 1 else part.group().rstrip("=")
-            assigned = k > 0 or m.group().startswith("=")
+            assigned = k > 0 or run.startswith("=")
             if len(value) >= (_LEAST_VALUE if assigned else 16) and _mixed(value):
                 found.append((m.start() + part.start(), m.start() + part.start() + len(value)))
     found += [m.span(1) for m in _ASSIGNED.finditer(text)]
-    found += [m.span(1) for m in _TOLD.finditer(text) if _mixed(m[1]) or any(c in "!@$%^&*" for c in m[1])]
+    for m in _TOLD.finditer(text):
+        value = m[1][: max(_LEAST_VALUE, len(m[1].rstrip(".:)]")))]
+        if _mixed(value) or any(c in "!@$%^&*" for c in value):
+            found.append((m.start(1), m.start(1) + len(value)))
     found += [m.span() for m in _PREFIXED.finditer(text)]
     out: list[tuple[int, int]] = []
     for a, b in sorted(found, key=lambda s: (s[0], -s[1])):
