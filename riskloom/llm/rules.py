@@ -1,17 +1,21 @@
 """Quality rules as a bitmask ledger, in DataFrame functions only.
 
 Every rule is evaluated once per document. The ledger holds the measurements and
-one bit per failed rule. A policy is a version number and a mask of rules; it is
-applied to the stored bits, without reading a text again. Ablations need no more
-than the number of documents per bit pattern, at most 2 ** rules rows.
+one bit per failed rule, and is written before a policy sees it. A policy is a
+version number and a mask of rules; it is applied to the stored bits, without
+reading a text again. Ablations need no more than the number of documents per
+bit pattern, at most 2 ** rules rows.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import SPACE, doc_columns, read
+from riskloom.storage import scratch_path
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
@@ -115,6 +119,17 @@ def ablations(ledger_rows: DataFrame, version: int = LATEST) -> DataFrame:
     )
 
 
+def write_ledger(documents: DataFrame, folder: str) -> DataFrame:
+    """The ledger, written to ``folder``/ledger and reread, with the ablations of every policy, by version and rule, in
+    ``folder``/ablations. Texts are read once; both tables are replaced. Without documents both are empty."""
+    spark = documents.sparkSession
+    ledger(documents).write.mode("overwrite").parquet(f"{folder}/ledger")
+    rows = spark.read.parquet(f"{folder}/ledger")
+    found = [ablations(rows, v).select(F.lit(v).alias("version"), "*") for v in POLICIES]
+    reduce(DataFrame.unionByName, found).coalesce(1).write.mode("overwrite").parquet(f"{folder}/ablations")
+    return rows
+
+
 def accept(documents: DataFrame, version: int = LATEST) -> DataFrame:
     """The documents that a policy keeps, with their own columns."""
     rows = measured(documents.select(F.struct("*").alias("_doc"), "text"))
@@ -122,7 +137,8 @@ def accept(documents: DataFrame, version: int = LATEST) -> DataFrame:
 
 
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ledger(read(spark, sf_dir, "documents"))
+    """Both policies over the stored ledger of all ``documents``."""
+    rows = write_ledger(read(spark, sf_dir, "documents"), scratch_path(spark, "llm-rules"))
     base_failed = ~kept(F.col("fail_bits"), 1)
     return rows.select(
         "doc_id", *MEASURES[:5], base_failed.alias("base_failed"), kept(F.col("fail_bits")).alias("kept"), "n_lines", "fail_bits"
