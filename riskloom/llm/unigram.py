@@ -28,7 +28,9 @@ MARK = "▁"
 VOCABULARY = "piece_bpe_32k.model"
 #: How far an unknown character scores below the lowest piece; fixed by the tokenizer.
 UNKNOWN_PENALTY = 10.0
-MAX_WORDS = 600_000
+#: Words a worker remembers, and the bytes of the longest: together a bound of its memory. Others are counted each time.
+MAX_WORDS, LONGEST_KEPT = 600_000, 256
+_STEP = 1 << 16  # characters between two cuts of the path's state
 
 
 def vocabulary(path: str) -> list[tuple[str, float]]:
@@ -58,10 +60,39 @@ def counter(pieces: list[tuple[str, float]], mark: str = MARK) -> Callable[[str]
     known = {p for p, _ in pieces}
     by_bytes = all(f"<0x{b:02X}>" in known for b in range(256))
     unknown = min(v for _, v in pieces) - UNKNOWN_PENALTY
+    longest = max(len(p) for p in known)
+
+    def long(text: str) -> tuple[int, float]:
+        """As ``count``, with the state of the last ``longest`` places only, however long the text is."""
+        best, pieces_upto, open_run, base = [0.0], [0], False, 0  # of the places from ``base`` on
+        matches = automaton.iter(text)
+        end, (size, value) = next(matches, (-1, (0, 0.0)))
+        for at, char in enumerate(text):
+            if len(best) > longest + _STEP:
+                base += len(best) - longest
+                del best[:-longest], pieces_upto[:-longest]
+            top, number, run = None, 0, False
+            while end == at:
+                start = at + 1 - size - base
+                score = best[start] + value
+                if top is None or score > top:
+                    top, number = score, pieces_upto[start] + 1
+                end, (size, value) = next(matches, (-1, (0, 0.0)))
+            if char not in alone:
+                score = best[at - base] + unknown
+                if top is None or score > top:
+                    more = len(char.encode("utf-8", "replace")) if by_bytes else int(not open_run)
+                    top, number, run = score, pieces_upto[at - base] + more, True
+            best.append(top)
+            pieces_upto.append(number)
+            open_run = run
+        return pieces_upto[-1], best[-1]
 
     def count(word: str) -> tuple[int, float]:
         text = mark + word
         n = len(text)
+        if n > _STEP:
+            return long(text)
         best, pieces_upto, open_run = [0.0] * (n + 1), [0] * (n + 1), [False] * (n + 1)
         matches = automaton.iter(text)
         end, (size, value) = next(matches, (n, (0, 0.0)))
@@ -99,11 +130,13 @@ def token_counts(documents: DataFrame, path: str, mark: str = MARK) -> DataFrame
             memory.update(count=counter(pieces, mark), words={})
         count, words = memory["count"], memory["words"]
 
-        def learn(found: list[bytes]) -> None:
+        def learn(found: list[bytes]) -> dict[bytes, tuple[int, float]]:
+            """Counts of words that are not remembered; short ones are from now on."""
             if len(words) > MAX_WORDS:
                 words.clear()
-            for w in set(found).difference(words):
-                words[w] = count(w.decode("utf-8"))
+            new = {w: count(w.decode("utf-8")) for w in set(found).difference(words)}
+            words.update((w, c) for w, c in new.items() if len(w) <= LONGEST_KEPT)
+            return new
 
         for b in batches:
             rows = []
@@ -115,8 +148,8 @@ def token_counts(documents: DataFrame, path: str, mark: str = MARK) -> DataFrame
                     try:
                         counted = [words[w] for w in found]
                     except KeyError:
-                        learn(found)
-                        counted = [words[w] for w in found]
+                        new = learn(found)
+                        counted = [words.get(w) or new[w] for w in found]
                     n += len(found)
                     tokens += sum(c for c, _ in counted)
                     score += sum(s for _, s in counted)

@@ -66,6 +66,21 @@ def test_policies_and_ablations(corpus, clashing, nothing):
     assert rules.ledger(nothing).count() == rules.accept(nothing).count() == rules.ablations(rules.ledger(nothing)).count() == 0
 
 
+def test_the_ledger_is_written_once(spark, corpus, nothing, tmp_path):
+    rows = rules.write_ledger(corpus, str(tmp_path))
+    assert rows.columns == ["doc_id", *rules.MEASURES, "fail_bits"]
+    assert sorted(map(str, rows.collect())) == sorted(map(str, rules.ledger(corpus).collect()))
+    assert "ledger" in rows.inputFiles()[0] and "documents" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    bits = [failed(measures(r.text)) for r in corpus.collect()]
+    got = {(r.version, r.rule): (r.failed, r.failed_alone, r.kept_without) for r in spark.read.parquet(f"{tmp_path}/ablations").collect()}
+    assert len(got) == sum(len(p) for p in rules.POLICIES.values())
+    for (version, rule), found in got.items():
+        mask, bit = rules.rule_mask(rules.POLICIES[version]), rules.rule_mask((rule,))
+        masked = [b & mask for b in bits]
+        assert found == (sum(b & bit != 0 for b in masked), sum(b == bit for b in masked), sum(b & ~bit == 0 for b in masked))
+    assert rules.write_ledger(nothing, str(tmp_path)).count() == spark.read.parquet(f"{tmp_path}/ablations").count() == 0
+
+
 def test_a_filter_does_not_repeat_the_measurements(corpus):
     plan = rules.accept(corpus)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("xxhash64(") == 1
@@ -397,6 +412,30 @@ def test_ties_and_unknowns():
             assert count(word)[0] == len(made.encode(word, add_special_tokens=False).ids)
 
 
+def test_long_words_hold_no_more_than_the_last_places(monkeypatch):
+    import random
+
+    rnd = random.Random(4)
+    for by_bytes in (False, True) * 20:
+        vocabulary = {"".join(rnd.choice("ab▁é") for _ in range(rnd.randint(1, 5))): float(-rnd.randint(0, 3)) for _ in range(10)}
+        pieces = [("<unk>", 0.0), *vocabulary.items(), *([(f"<0x{b:02X}>", 0.0) for b in range(256)] if by_bytes else [])]
+        words = ["".join(rnd.choice("abéxy") for _ in range(rnd.randint(1, 400))) for _ in range(10)]
+        want = [unigram.counter(pieces)(w) for w in words]
+        with monkeypatch.context() as m:
+            m.setattr(unigram, "_STEP", 3)
+            assert [unigram.counter(pieces)(w) for w in words] == want
+
+
+def test_words_beyond_the_memory(spark, monkeypatch):
+    path = unigram.default_vocabulary()
+    clause = "".join(chr(0x4E00 + k % 900) for k in range(120))
+    texts = [f"{clause[k:]} {clause} kept words" for k in range(40)] + ["x" * 70_000 + " " + clause]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    count = unigram.counter(unigram.vocabulary(path))
+    want = {i: sum(count(w)[0] for w in t.split()) for i, t in enumerate(texts)}
+    assert {r.doc_id: r.n_tokens for r in unigram.token_counts(docs, path).collect()} == want
+
+
 # Packing
 
 
