@@ -9,7 +9,7 @@ show.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -109,7 +109,7 @@ def between(low, high) -> Callable[[Column], Column]:
     return lambda c: c.between(low, high)
 
 
-def _all(conditions: Sequence[Column]) -> Column:
+def all_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions, F.lit(True))
 
 
@@ -129,7 +129,7 @@ class StarModel:
         known = own.union(*[table.columns for table, _, _ in self.dimensions.values()])
         if unknown := {*columns, *filters} - known:
             raise ValueError(f"no such columns: {sorted(unknown)}")
-        out = out.filter(_all([matches(F.col(c), w) for c, w in filters.items() if c in own]))
+        out = out.filter(all_of([matches(F.col(c), w) for c, w in filters.items() if c in own]))
         for table, fact_column, key in self.dimensions.values():
             held = [c for c in table.columns if c not in own]
             shown = [c for c in held if c in columns]
@@ -137,12 +137,18 @@ class StarModel:
             if not shown and not kept:
                 continue
             link = "_key"
-            side = table.filter(_all(kept)).select(F.col(key).alias(link), *shown)
+            side = table.filter(all_of(kept)).select(F.col(key).alias(link), *shown)
             # A filter drops blank members, so with one the join is inner.
             how = ("inner" if kept else "left") if shown else "left_semi"
             out = out.join(side, F.col(fact_column) == F.col(link), how).drop(link)
         return out
 
+    def source(
+        self, columns: Sequence[str], filters: Mapping[str, Filter], bases: Collection[Base] = ()
+    ) -> tuple[DataFrame, Callable[[Base, Column], Column]]:
+        """Filtered rows to aggregate for ``bases`` and how to aggregate one of them under a condition."""
+        return self.rows(columns, filters), Base.over
+
 
 def _closure(names: Sequence[str], registry: Mapping[str, Base | Derived]) -> list[str]:
     seen: list[str] = []
@@ -168,14 +174,14 @@ def summarize(
     fixed = {c for b in bases.values() for c in b.where}
     contested = {c: w for c, w in filters.items() if c in fixed}
     plain = {c: w for c, w in filters.items() if c not in fixed}
-    rows = model.rows([*axes, *contested], plain)
+    rows, over = model.source([*axes, *contested], plain, bases.values())
 
     def condition(b: Base) -> Column:
         own = [matches(F.col(c), v) for c, v in b.where.items()]
         outer = [matches(F.col(c), w) for c, w in contested.items() if c not in b.where]
-        return F.coalesce(_all(own + outer), F.lit(False))
+        return F.coalesce(all_of(own + outer), F.lit(False))
 
-    out = rows.groupBy(*axes).agg(*[b.over(condition(b)).alias(n) for n, b in bases.items()])
+    out = rows.groupBy(*axes).agg(*[over(b, condition(b)).alias(n) for n, b in bases.items()])
     for n, b in bases.items():
         if not set(axes) & set(b.where):
             continue
@@ -185,7 +191,7 @@ def summarize(
         rest = [a for a in axes if a not in b.where]
         whole = F.sum(n).over(Window.partitionBy(*rest)) if rest else out.agg(F.sum(n)).scalar()
         out = out.withColumn(n, whole)
-    out = out.filter(_all([matches(F.col(a), contested[a]) for a in axes if a in contested]))
+    out = out.filter(all_of([matches(F.col(a), contested[a]) for a in axes if a in contested]))
     for n in needed:
         m = registry[n]
         if isinstance(m, Derived):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.labels import LIVE_PERIOD
-from riskloom.plans.measures import MEASURES, StarModel, matches, summarize
+from riskloom.plans.measures import MEASURES, Base, StarModel, matches, summarize
 
 LIVE = {"model_period": LIVE_PERIOD}
 REVIEW = {**LIVE, "risk_tier": ("Medium", "High", "Critical")}
@@ -107,7 +107,7 @@ def alert_queue(model: StarModel, filters: Mapping[str, object] | None = None) -
 
 def slicer_options(model: StarModel, columns: Sequence[str], filters: Mapping[str, object] | None = None) -> DataFrame:
     """(slicer, option): the distinct values of each slicer column that occur."""
-    rows = model.rows(columns, filters or {})
+    rows, _ = model.source(columns, filters or {})
     pairs = F.array(*[F.struct(F.lit(c).alias("slicer"), F.col(c).cast("string").alias("option")) for c in columns])
     return rows.select(F.explode(pairs).alias("p")).select("p.*").distinct()
 
@@ -130,11 +130,11 @@ def scenario_matrix(recall: DataFrame, models: Sequence[str]) -> DataFrame:
 
 def confusion_matrix(model: StarModel, filters: Mapping[str, object] | None = None) -> DataFrame:
     """Actual fraud by alert, transaction counts in the cells."""
-    rows = model.rows((), both(LIVE, filters or {}))
+    rows, over = model.source(("is_fraud", "is_flagged"), both(LIVE, filters or {}))
     return (
         rows.groupBy("is_fraud")
         .pivot("is_flagged", [False, True])
-        .agg(F.count(F.lit(1)))
+        .agg(over(Base("count"), F.lit(True)))
         .withColumnsRenamed({"false": "not_flagged", "true": "flagged"})
         .orderBy("is_fraud")
     )
