@@ -45,6 +45,23 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(where)
 
 
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if there is no such folder."""
+    system, where = _file(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(where)) if system.exists(where) else []
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """An empty file that is there from one moment on, in any store; an error if it already was."""
+    system, where = _file(spark, path)
+    system.create(where, False).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    system, where = _file(spark, path)
+    system.delete(where, True)
+
+
 @contextmanager
 def scratch_run(spark: SparkSession) -> Iterator[str]:
     """Intermediate tables made inside go to one folder, which goes at the end,
@@ -55,8 +72,7 @@ def scratch_run(spark: SparkSession) -> Iterator[str]:
         yield path
     finally:
         _RUNS.remove(path)
-        system, where = _file(spark, path)
-        system.delete(where, True)
+        remove(spark, path)
 
 
 def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:

@@ -110,3 +110,57 @@ def test_csv_files_in_different_orders(spark, tmp_path):
         (tmp_path / "devices.csv" / f"{i}.csv").write_text(f"{header}\n{row}\n")
     got = star.read_star_csv(spark, str(tmp_path), ("dim_device",))["dim_device"]
     assert sorted((r.device_id, r.customer_id, r.device_type) for r in got.collect()) == [("D1", "C1", "web"), ("D2", "C2", "ios")]
+
+
+def test_headers_in_one_job(spark, tmp_path):
+    folder = tmp_path / "many files+.csv"
+    folder.mkdir()
+    names = ["device_id", "customer_id", "device_type", "first_seen_at", "is_trusted"]
+    want = []
+    for i in range(60):
+        order = names if i % 3 else names[::-1]
+        row = {"device_id": f"D{i}", "customer_id": f"C{i}", "device_type": "web, \"x\"" if i == 7 else "ios", "first_seen_at": "2026-01-02 03:04:05", "is_trusted": "true"}
+        lines = [",".join(order)] + [",".join('"' + row[c].replace('"', '\\"') + '"' for c in order)] * (1 + i % 2)
+        (folder / f"part {i}.csv").write_text(("\n" if i % 5 == 0 else "") + "\n".join(lines) + "\n")
+        want += [(f"D{i}", f"C{i}", row["device_type"])] * (1 + i % 2)
+    (folder / "empty.csv").write_text("")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    held = star.file_headers(spark, str(folder))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(tracker.getJobIdsForGroup("headers")) == 1
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert held.count() == 60 and held.select("header").distinct().count() == 2
+    got = star.read_csv(spark, str(folder), STAR["dim_device"])
+    assert sorted((r.device_id, r.customer_id, r.device_type) for r in got.collect()) == sorted(want)
+    nothing = tmp_path / "nothing.csv"
+    nothing.write_text("")
+    with pytest.raises(ValueError, match="no files"):
+        star.read_csv(spark, str(nothing), STAR["dim_device"])
+
+
+def test_a_load_that_fails_leaves_the_star_before_it(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    base, tables = str(tmp_path), testdata.star(spark, DATA)
+    few = {**tables, "fact_transaction": tables["fact_transaction"].limit(10), "dim_customer": tables["dim_customer"].limit(5)}
+    star.load_star(few, base)
+    star.publish(few["fact_transaction"].select("transaction_id"), base, "txn_features")
+    reader = star.read_star(spark, base)
+    broken = tables["fact_transaction"].withColumn("city", F.raise_error(F.lit("lost")).cast("string"))
+    for at in STAR:
+        bad = {**tables, at: broken if at == "fact_transaction" else tables[at].withColumn("customer_id", F.raise_error(F.lit("lost")).cast("string"))}
+        with pytest.raises(Exception, match="lost"):
+            star.load_star(bad, base)
+        now = star.read_star(spark, base)
+        assert (now["dim_customer"].count(), now["fact_transaction"].count()) == (5, 10)
+        assert star.read_table(spark, base, "txn_features").count() == 10
+    assert star.load_star(tables, base)["fact_transaction"] == 1000
+    assert star.read_table(spark, base, "txn_features").count() == 0
+    assert reader["fact_transaction"].count() == 10  # what began before goes on
+    star.load_star(star.read_star(spark, base), base)  # from itself
+    assert star.read_star(spark, base)["fact_transaction"].count() == 1000
+    assert len(os.listdir(f"{base}/versions")) == len([f for f in os.listdir(f"{base}/complete") if not f.startswith(".")]) == 2
