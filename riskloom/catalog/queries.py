@@ -24,7 +24,7 @@ from riskloom.operators import calendar as cal
 from riskloom.operators import distance, integrity
 from riskloom.operators.history import rolling
 from riskloom.operators.ordering import dense_key, exact_quantiles
-from riskloom.plans import bi, daily, evaluate, export, pipeline, scoring, tiles, validation
+from riskloom.plans import bi, cubes, daily, evaluate, export, pipeline, scoring, tiles, validation
 from riskloom.plans.features import features
 from riskloom.plans.measures import MEASURES, between, summarize
 from riskloom.sources import star, testdata
@@ -711,6 +711,41 @@ def confusion_matrix(spark, sf_dir):
     return tiles.confusion_matrix(_model(spark, sf_dir))
 
 
+def _cube_model(spark: SparkSession, sf_dir: str, *names: str) -> cubes.CubeModel:
+    """The reporting star with stored cubes: one period's parts are written first, the other's appended."""
+    star_model, base = _model(spark, sf_dir), scratch_path(spark, "cubes")
+    sets = {n: c for n, c in cubes.tile_cubes().items() if n in names}
+    live = F.col("model_period") == tiles.LIVE_PERIOD
+    for rows, mode in ((~live, "overwrite"), (live, "append")):
+        cubes.write_cubes(tiles.StarModel(star_model.fact.filter(rows), star_model.dimensions), base, sets, mode)
+    return cubes.CubeModel(star_model.fact, star_model.dimensions, cubes.read_cubes(spark, base, sets))
+
+
+@query
+def weekly_trend_cube(spark, sf_dir):
+    return tiles.tile("weekly_trend", _cube_model(spark, sf_dir, "weekly_trend"))
+
+
+@query
+def exposure_by_attack_cube(spark, sf_dir):
+    return tiles.tile("exposure_by_attack", _cube_model(spark, sf_dir, "exposure_by_attack"))
+
+
+@query
+def confusion_matrix_cube(spark, sf_dir):
+    return tiles.confusion_matrix(_cube_model(spark, sf_dir, "weekly_trend"))
+
+
+@query
+def sketched_medians(spark, sf_dir):
+    """Medians from stored sketches of days: (scenario, metric, holds), whether the rank of each is within its bound."""
+    feats, fact = materialize(_features(spark, sf_dir), "features"), testdata.transactions(spark, sf_dir)
+    sketches = materialize(validation.median_sketches(feats, fact), "sketches")
+    ranks = validation.median_ranks(feats, fact, materialize(validation.sketched_validation(sketches), "sketched"))
+    off = validation.SKETCH_ERROR
+    return ranks.select("scenario", "metric", ((F.col("below") <= 0.5 + off) & (F.col("upto") >= 0.5 - off)).alias("holds"))
+
+
 @query
 def overview_slicers(spark, sf_dir):
     return tiles.slicer_options(_model(spark, sf_dir), tiles.SLICERS["overview"], tiles.LIVE)

@@ -43,6 +43,54 @@ def feature_validation(features: DataFrame, fact: DataFrame, direct_rows: int =
     )
 
 
+#: Size of a median sketch and the share of the rows by which its rank may be off, twice the sketch's own bound.
+SKETCH_K, SKETCH_ERROR = 1_000, 0.01
+
+
+def median_sketches(features: DataFrame, fact: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Per day and scenario: transactions, night rows and a mergeable sketch of every feature with a median. Kept as a
+    table, a new day adds its own rows and reads no others."""
+    days = fact.select(
+        "transaction_id", F.to_date("txn_timestamp").alias("day"), F.coalesce("fraud_scenario", F.lit("legit")).alias("scenario")
+    )
+    rows = features.select("transaction_id", "is_night", *MEDIANS).join(days, "transaction_id")
+    return rows.groupBy("day", "scenario").agg(
+        F.count(F.lit(1)).alias("txns"), F.count_if("is_night").alias("nights"),
+        *[F.kll_sketch_agg_double(F.col(c).cast("double"), k).alias(name) for c, name in MEDIANS.items()],
+    )
+
+
+def sketched_validation(sketches: DataFrame) -> DataFrame:
+    """:func:`feature_validation` with approximate medians, values that occur, from stored sketches of any days."""
+    merged = sketches.groupBy("scenario").agg(
+        F.sum("txns").alias("txns"), share(F.sum("nights"), F.sum("txns"), 3).cast("decimal(6,3)").alias("night_share"),
+        *[F.kll_merge_agg_double(name).alias(name) for name in MEDIANS.values()],
+    )
+    middle = lambda c: F.when(F.kll_sketch_get_n_double(c) > 0, F.kll_sketch_get_quantile_double(c, F.lit(0.5)))
+    return merged.select(
+        "scenario", "txns", *[middle(c).alias(c) for c in MEDIANS.values()], "night_share"
+    ).orderBy(F.desc("txns"), "scenario")
+
+
+def median_ranks(features: DataFrame, fact: DataFrame, medians: DataFrame) -> DataFrame:
+    """(scenario, metric, below, upto): shares of the values under, and not over, each median of ``medians``."""
+    scenario = fact.select("transaction_id", F.coalesce("fraud_scenario", F.lit("legit")).alias("scenario"))
+    rows = features.select("transaction_id", *MEDIANS).join(scenario, "transaction_id")
+    rows = rows.join(medians.select("scenario", *MEDIANS.values()), "scenario")
+    value = lambda c: F.col(c).cast("double")
+    counts = rows.groupBy("scenario").agg(
+        *[
+            F.struct(
+                F.lit(name).alias("metric"), (F.count_if(value(c) < F.col(name)) / F.nullif(F.count(c), F.lit(0))).alias("below"),
+                (F.count_if(value(c) <= F.col(name)) / F.nullif(F.count(c), F.lit(0))).alias("upto"),
+            ).alias(f"_{name}")
+            for c, name in MEDIANS.items()
+        ]
+    )
+    ranks = F.array(*[f"_{name}" for name in MEDIANS.values()])
+    return counts.select("scenario", F.explode(ranks).alias("r")).select("scenario", "r.*").filter("upto IS NOT NULL")
+
+
 def fraud_summary(fact: DataFrame) -> DataFrame:
     """Rows, mean and total amount of each fraud scenario."""
     total = F.sum("amount")

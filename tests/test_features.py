@@ -10,6 +10,7 @@ from riskloom.functions.geo import haversine_km
 from riskloom.operators import history
 from riskloom.plans.features import FRAMES, features
 from riskloom.sources.schemas import FEATURES
+from riskloom.storage import materialize
 from tests.conftest import START
 
 HOUR, DAY = 3600, 86400
@@ -199,3 +200,33 @@ def test_zone_less_times_ignore_the_session_zone(spark, make_fact, customers):
     third = next(r for r in out["UTC"] if r.transaction_id == "T3")
     assert (str(third.minutes_since_prev_txn), third.hour_of_day, third.day_of_week) == ("60.0", 3, 0)
     assert str(third.txn_timestamp) == "2026-03-08 03:30:00.500000"
+
+
+def test_median_sketches_day_by_day(spark):
+    """Sketches of days, each from its own rows, against exact ranks; enough rows that a sketch must compact."""
+    from riskloom.plans import validation
+
+    n = 60_000
+    rows = spark.range(n).selectExpr(
+        "cast(id as string) AS transaction_id", "id % 7 = 0 AS is_night", "cast((id * 7919) % 100003 / 7 as decimal(12,2)) AS amount",
+        "IF(id % 10 = 0, NULL, pow((id * 31) % 1009, 3)) AS amount_to_avg_30d_ratio", "cast(id % 3 as int) AS txn_count_1h",
+        "cast(5 as int) AS txn_count_24h", "cast(NULL as double) AS geo_velocity_kmh", "sqrt(id) AS km_from_home", "-id * 0.5 AS device_age_hours",
+    )
+    fact = spark.range(n).selectExpr(
+        "cast(id as string) AS transaction_id", "timestamp '2026-01-01' + make_dt_interval(cast(id % 5 as int)) AS txn_timestamp",
+        "IF(id % 4 = 0, 'ring', NULL) AS fraud_scenario",
+    )
+    whole = validation.median_sketches(rows, fact)
+    days = [validation.median_sketches(rows, fact.filter(F.to_date("txn_timestamp") == f"2026-01-0{d}")) for d in range(1, 6)]
+    union = days[0]
+    for d in days[1:]:
+        union = union.unionByName(d)
+    for sketches in (whole, union):
+        got = materialize(validation.sketched_validation(sketches), "sketched")
+        exact = validation.feature_validation(rows, fact)
+        assert [(r.scenario, r.txns, r.night_share, r.med_geo_kmh) for r in got.collect()] == [
+            (r.scenario, r.txns, r.night_share, r.med_geo_kmh) for r in exact.collect()
+        ]
+        ranks = validation.median_ranks(rows, fact, got).collect()
+        assert len(ranks) == 2 * 6
+        assert all(r.below <= 0.5 + validation.SKETCH_ERROR and r.upto >= 0.5 - validation.SKETCH_ERROR for r in ranks)
