@@ -29,7 +29,7 @@ from riskloom.plans.features import features
 from riskloom.plans.measures import MEASURES, between, summarize
 from riskloom.sources import star, testdata
 from riskloom.sources.schemas import FEATURES, MODEL_PERFORMANCE, SCENARIO_RECALL, SCORES, STAR
-from riskloom.storage import materialize, scratch_path
+from riskloom.storage import exists, materialize, scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -85,13 +85,19 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.evaluate(evaluate.policies(_scored_test(spark, sf_dir)))
 
 
-_REPORTS: dict[tuple[str, str], str] = {}
+_REPORTS: dict[tuple, str] = {}
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Session, folder and state of its files: what was made from them is kept under it."""
+    return spark.sparkContext.applicationId, sf_dir, *testdata.version(spark, sf_dir)
 
 
 def _bi_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The reporting fact of a data folder, published once per session, by period."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _REPORTS:
+    """The reporting fact of a data folder, by period. It is published again if
+    the folder's files have changed or the published tables are gone."""
+    key = _key(spark, sf_dir)
+    if key not in _REPORTS or not exists(spark, _REPORTS[key]):
         tables = testdata.star(spark, sf_dir)
         base = scratch_path(spark, "reports")
         star.publish(features(tables["fact_transaction"], tables["dim_customer"]), base, "txn_features")
@@ -429,13 +435,14 @@ def model_matrix(spark, sf_dir):
 # ---------------------------------------------------- fitted models (no SQL form)
 
 SETTINGS = pipeline.Settings(valid_start=testdata.VALID_START, test_start=testdata.TEST_START)
-_FITTED: dict[tuple[str, str], tuple[DataFrame, Ensemble, Ensemble]] = {}
+_FITTED: dict[tuple, tuple[DataFrame, Ensemble, Ensemble]] = {}
 
 
 def _fitted(spark, sf_dir):
-    """Matrix and both models of a data folder at their full sizes, fitted once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
+    """Matrix and both models of a data folder at their full sizes, fitted again
+    if the folder's files have changed or the stored matrix is gone."""
+    key = _key(spark, sf_dir)
+    if key not in _FITTED or not all(exists(spark, f) for f in _FITTED[key][0].inputFiles()[:1]):
         made, columns = pipeline.training_matrix(_features(spark, sf_dir), SETTINGS)
         _FITTED.clear()
         _FITTED[key] = (made, *pipeline.fit(made, columns, SETTINGS))

@@ -27,21 +27,28 @@ FILL = {
 }
 CATEGORIES = tuple(sorted(MERCHANT_CATEGORIES))
 MAX_CATEGORIES = 500
+# The category that stands for all values a model has no column for.
+RARE = "__rare__"
 
 
 def frozen_categories(train: DataFrame, column: str = "merchant_category", most: int = MAX_CATEGORIES) -> tuple[str, ...]:
     """The category list to keep with a model, sorted: a column of the matrix
-    each. They are counted before any is fetched; more than ``most`` is an error
-    rather than a cut, and ``most`` a setting of the run."""
-    values = train.select(column).filter(F.col(column).isNotNull()).distinct()
-    count = values.count()
-    if count > most:
-        raise ValueError(f"{column} has {count} values, the setting allows {most}")
-    return tuple(sorted(r[0] for r in values.collect()))
+    each, ``most`` at the most. If there are more values, the ``most - 1`` with
+    the most rows (ties: the smaller name) keep columns of their own and all
+    others, those first seen later included, share the column of ``RARE``, which
+    ends the list. NULL is no category. The driver gets ``most + 1`` names."""
+    if most < 1:
+        raise ValueError("a matrix needs room for one category at least")
+    counts = train.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_rows"))
+    names = [r[0] for r in counts.orderBy(F.desc("_rows"), column).limit(most + 1).collect()]
+    if len(names) <= most:
+        return tuple(sorted(names))
+    return (*sorted(n for n in names[: most - 1] if n != RARE), RARE)
 
 
 def matrix_columns(categories: Sequence[str] = CATEGORIES) -> list[str]:
-    return [*NUMERIC, "has_history", *[f"cat_{c}" for c in categories]]
+    """Names of the matrix in order; the column of ``RARE`` is the last."""
+    return [*NUMERIC, "has_history", *[f"cat_{c}" for c in sorted(categories, key=lambda c: c == RARE)]]
 
 
 def model_matrix(
@@ -54,9 +61,12 @@ def model_matrix(
         number[c] = F.coalesce(number[c], number["amount"])
     for c, value in FILL.items():
         number[c] = F.coalesce(number[c], F.lit(value))
-    one_hot = [
-        F.when(F.col("merchant_category") == c, 1.0).otherwise(0.0).alias(f"cat_{c}") for c in categories
-    ]
+    category = F.col("merchant_category")
+    listed = [c for c in categories if c != RARE]
+    one_hot = [F.when(category == c, 1.0).otherwise(0.0).alias(f"cat_{c}") for c in listed]
+    if RARE in categories:
+        other = category.isNotNull() & ~category.isin(listed) if listed else category.isNotNull()
+        one_hot.append(F.when(other, 1.0).otherwise(0.0).alias(f"cat_{RARE}"))
     return features.select(
         *[F.col(c).alias(f"_k_{c}") for c in keep],
         *[n.alias(c) for c, n in number.items()],

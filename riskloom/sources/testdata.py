@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom import storage
 from riskloom.functions.labels import padded_key
 from riskloom.sources.schemas import MERCHANT_CATEGORIES, STAR
 
@@ -37,6 +38,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return source.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Tells the present files of the star's tables from any others."""
+    return storage.version(spark, [f"{sf_dir}/{table}.parquet" for table in _SCHEMAS])
+
+
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     n = read(spark, sf_dir, "nation").select("n_nationkey", "n_name")

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # A side is broadcast by hint only when its row count is known to be at most this.
 BROADCAST_ROWS = 500_000
@@ -51,6 +52,14 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(f.getPath().getName() for f in system.listStatus(where)) if system.exists(where) else []
 
 
+def version(spark: SparkSession, paths: list[str]) -> tuple:
+    """Tells the present content of files and folders from any other by the
+    names, sizes and times of their files. One job, which opens none of them."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    found = found.select(F.xxhash64("path", "length", "modificationTime").alias("file"), "length")
+    return tuple(found.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor("file")).first())
+
+
 def mark(spark: SparkSession, path: str) -> None:
     """An empty file that is there from one moment on, in any store; an error if it already was."""
     system, where = _file(spark, path)

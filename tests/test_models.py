@@ -247,11 +247,37 @@ def test_matrix_fills_missing_history(spark, make_fact, customers):
     assert (r.cat_gas, r.cat_retail, r.is_online) == (1.0, 0.0, 1.0)
 
 
-def test_category_list_is_never_cut(spark):
-    df = spark.createDataFrame([("b",), ("a",), ("b",)], "merchant_category string")
-    assert matrix.frozen_categories(df) == ("a", "b")
-    with pytest.raises(ValueError, match="2 values"):
-        matrix.frozen_categories(df, most=1)
+def test_rare_categories_share_a_column(spark, make_fact, customers):
+    from riskloom.plans.features import features
+
+    rows = [("b",), ("a",), ("b",), ("d",), ("c",), (None,), ("c",), ("c",)]
+    df = spark.createDataFrame(rows, "merchant_category string")
+    assert matrix.frozen_categories(df) == ("a", "b", "c", "d")
+    assert matrix.frozen_categories(df, most=4) == ("a", "b", "c", "d")
+    assert matrix.frozen_categories(df, most=3) == ("b", "c", matrix.RARE)
+    assert matrix.frozen_categories(df, most=1) == (matrix.RARE,)
+    assert matrix.frozen_categories(df.limit(0)) == ()
+
+    feats = features(make_fact([{}] * 3), customers).drop("merchant_category")
+    kinds = spark.createDataFrame([("gas",), ("new",), (None,), (matrix.RARE,)], "merchant_category string")
+    made = matrix.model_matrix(feats.limit(1).crossJoin(kinds), ("merchant_category",), ("gas", matrix.RARE))
+    assert made.columns[1:] == matrix.matrix_columns(("gas", matrix.RARE))
+    got = {r.merchant_category: (r.cat_gas, r[f"cat_{matrix.RARE}"]) for r in made.collect()}
+    assert got == {"gas": (1.0, 0.0), "new": (0.0, 1.0), None: (0.0, 0.0), matrix.RARE: (0.0, 1.0)}
+
+
+def test_thousands_of_categories_get_a_model(spark, make_fact, customers):
+    """Every row has exactly one category column set, however many values there are."""
+    from riskloom.plans.features import features
+
+    feats = features(make_fact([{}]), customers).drop("merchant_category")
+    kinds = spark.range(3000).select(F.concat(F.lit("k"), F.col("id") % 1500).alias("merchant_category"))
+    rows = feats.crossJoin(kinds)
+    listed = matrix.frozen_categories(rows, most=40)
+    assert len(listed) == 40 and listed[-1] == matrix.RARE
+    made = matrix.model_matrix(rows, categories=listed)
+    total = sum(F.col(c) for c in made.columns if c.startswith("cat_"))
+    assert [r[0] for r in made.select(total).distinct().collect()] == [1.0]
 
 
 def test_workers_need_no_package(tmp_path):

@@ -55,3 +55,23 @@ def test_every_sql_has_a_query():
 
 def test_entry(spark):
     assert entry.entry(spark).count() == 1000
+
+
+def test_reports_follow_the_files(spark, tmp_path):
+    """Changed files and deleted stored tables lead to a new publication, unchanged ones do not."""
+    from riskloom import storage
+    from riskloom.catalog import queries
+
+    for table in ("events", "customer", "nation"):
+        spark.read.parquet(f"{DATA}/{table}.parquet").write.parquet(f"{tmp_path}/{table}.parquet")
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    assert queries._bi_fact(spark, str(tmp_path)).count() == events.count()
+    kept = dict(queries._REPORTS)
+    queries._bi_fact(spark, str(tmp_path))
+    assert queries._REPORTS == kept
+
+    some = events.filter("event_id % 10 = 0")
+    some.write.mode("overwrite").parquet(f"{tmp_path}/events.parquet")
+    with storage.scratch_run(spark):
+        assert queries._bi_fact(spark, str(tmp_path)).count() == some.count()
+    assert queries._bi_fact(spark, str(tmp_path)).count() == some.count()
