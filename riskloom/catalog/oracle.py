@@ -324,6 +324,19 @@ _sql(
     "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows FROM lineitem "
     "GROUP BY ALL HAVING count(*) > 1",
 )
+_sql(
+    "pk_violations_packed",
+    "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, count(*) AS rows FROM lineitem "
+    "GROUP BY ALL HAVING count(*) > 1",
+)
+_sql(
+    "event_key_report",
+    " UNION ALL ".join(
+        f"SELECT '{rule}' AS rule, count(*) AS repeated_keys, CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS surplus_rows "
+        f"FROM (SELECT count(*) AS n FROM events GROUP BY {rule} HAVING count(*) > 1)"
+        for rule in ("event_id", "user_id,ts")
+    ),
+)
 _sql(
     "fk_violations",
     "SELECT c_custkey, count(*) AS rows FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events) GROUP BY c_custkey",

@@ -21,7 +21,7 @@ from riskloom.models import boost, forest, matrix
 from riskloom.models.trees import Ensemble
 from riskloom.models.trees import feature_importance as gain_share
 from riskloom.operators import calendar as cal
-from riskloom.operators import distance, integrity
+from riskloom.operators import distance, integrity, repeats
 from riskloom.operators.history import rolling
 from riskloom.operators.ordering import dense_key, exact_quantiles
 from riskloom.plans import bi, cubes, daily, evaluate, export, pipeline, scoring, tiles, validation
@@ -166,6 +166,26 @@ def pk_violations(spark, sf_dir):
     return integrity.key_violations(testdata.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+@query
+def pk_violations_packed(spark, sf_dir):
+    """The same by packed positions, without a shuffle of the keys."""
+    return repeats.repeated_keys(testdata.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+
+
+@query
+def event_key_report(spark, sf_dir):
+    """Repeated event ids, and events of the same user at the same time: (keys, surplus rows) of each."""
+    events = testdata.read(spark, sf_dir, "events")
+    found = []
+    for rule in ("event_id", "user_id,ts"):
+        twice = repeats.repeated_keys(events, rule.split(","))
+        found.append(
+            twice.agg(F.count(F.lit(1)).alias("repeated_keys"), F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("surplus_rows"))
+            .select(F.lit(rule).alias("rule"), "repeated_keys", "surplus_rows")
+        )
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def fk_violations(spark, sf_dir):
     """Customers that no event refers to, as orphans of the event stream."""

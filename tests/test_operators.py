@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators import dictionary, ordering
+from riskloom.operators import dictionary, ordering, repeats
 from riskloom.operators.calendar import calendar, date_spine, dim_date
 from riskloom.operators.integrity import key_violations, orphan_keys, violations
 from riskloom.sources.schemas import STAR
@@ -117,6 +117,37 @@ def test_integrity_rules(spark, make_fact):
     assert [tuple(r) for r in orphan_keys(fact, "device_id", gear, "device_id").collect()] == [("D7", 1)]
 
 
+@pytest.mark.parametrize("held", [50, 1 << 23])
+def test_repeated_keys_by_packed_positions(spark, monkeypatch, held):
+    """Nulls, a key with a third of the rows, many buckets, clashing column names, a grid too small for the keys."""
+    rnd = random.Random(8)
+    rows = [(f"k{rnd.randrange(900)}", rnd.randrange(3), i) for i in range(1200)]
+    rows += [("hot", 1, i) for i in range(600)] + [(None, 1, 0), (None, 1, 1), (None, None, 0), ("", None, 0)]
+    df = spark.createDataFrame(rows, "_at string, bucket int, once long").repartition(5)
+    want = sorted(map(str, key_violations(df, ["_at", "bucket"]).collect()))
+    monkeypatch.setattr(repeats, "BUCKET_KEYS", 100)
+    for room, chance in ((64, 1 << 16), (1, 1 << 40), (64, 1)):
+        monkeypatch.setattr(repeats, "ROOM", room)
+        monkeypatch.setattr(repeats, "CHANCE_MEETINGS", chance)
+        got = repeats.repeated_keys(df, ["_at", "bucket"], held)
+        assert sorted(map(str, got.collect())) == want
+    assert repeats.repeated_keys(df.limit(0), ["bucket"]).count() == 0
+    monkeypatch.setattr(repeats, "BROADCAST_ROWS", 3)
+    assert sorted(map(str, repeats.repeated_keys(df, ["_at", "bucket"], held).collect())) == want
+
+
+def test_keys_without_repeats_cost_little(spark):
+    """Well below a tenth of a row of 24 bytes with its key and count; no pair of different keys is expected to meet often."""
+    keys = spark.range(1_000_000).select(F.sha1(F.col("id").cast("string")).alias("key"))
+    buckets, places = repeats.grid(1_000_000)
+    lists = repeats.position_lists(keys, ["key"], buckets, places)
+    assert lists.select(F.sum(F.octet_length("once") + F.octet_length("twice"))).first()[0] < 1.6e6
+    assert repeats.repeated_keys(keys, ["key"]).count() == 0
+    for n in (0, 1, 10**6, 10**9, 10**12, 10**15):
+        buckets, places = repeats.grid(n)
+        assert 1 <= buckets * places <= 1 << 63 and buckets <= repeats.MOST_BUCKETS
+
+
 def test_number_too_wide_for_its_declaration(spark):
     from riskloom.operators.integrity import row_rules
 
