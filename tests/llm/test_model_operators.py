@@ -120,6 +120,17 @@ def test_merged_transforms():
         assert sorted(sorted(v) for v in got.values()) == sorted(v for v in want.values() if len(v) > 1)
 
 
+def test_a_round_takes_only_rows_that_lead_to_whole_strings(monkeypatch):
+    rnd = random.Random(5)
+    strings = [rnd.randbytes(40).replace(b"\xff", b"a") + b"x" * 40 + rnd.randbytes(40).replace(b"\xff", b"a") for _ in range(30)] + [b"short"]
+    text, lengths = np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings])
+    taken, refined = [], bwt._refined
+    monkeypatch.setattr(bwt, "_refined", lambda b, longer, rows, block: taken.append(len(rows)) or refined(b, longer, rows, block))
+    place, interval = bwt.repeated(text, lengths, 100, 1000)
+    assert len(place) == len(interval) == 0
+    assert taken[0] == 30 * 21 and sum(taken) < 30 * 21 * 30  # one row per window, fewer once windows differ
+
+
 def test_merge_order_and_common_prefixes():
     strings = [b"banana", b"ananas", b"bandana", b"nab"]
     split = [strings[:2], strings[2:]]
