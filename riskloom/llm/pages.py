@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import read
 
-#: Share of the content root's score that a path must reach.
-THRESHOLD = 0.1
+#: Share of the content root's score that a path's smoothed score must reach. Smoothing alone gives half of it, so this
+#: asks a path itself for a fiftieth.
+THRESHOLD = 0.51
 #: The same for a path outside the content root, whose own ratios must do.
 THRESHOLD_OUTSIDE = 0.5
 #: A path is a menu, whatever its length, if links hold more than this share of its text.
@@ -59,6 +60,7 @@ _BLOCK = _set(
 _HEADINGS = _set("h1 h2 h3 h4 h5 h6")
 _PROSE = _HEADINGS | _set("p blockquote pre")
 _CELLS = _set("li dt dd td th figcaption caption")
+_TABLE = _set("table thead tbody tfoot tr ul ol dl")
 _MAIN = _set("article main")
 _KEEPS_P = _set("td th option optgroup tbody thead tfoot tr caption legend button select body html head")
 _ENDS = {
@@ -308,7 +310,9 @@ def content(blocks: list[tuple[int, str, int]], parents: list[int], names: list[
         if inside[parents[p]]:
             inside[p] = True
             score[p] = SMOOTHING * mean(p) + (1 - SMOOTHING) * score[root]
-    reaches = lambda p: score[p] >= THRESHOLD * score[root] if inside[p] else mean(p) >= THRESHOLD_OUTSIDE * score[root]
+    # All text of an article stays, and prose, cells and tables of any content root; bare containers have to reach it.
+    sure = lambda p: names[root] in _MAIN or names[p] in _PROSE or names[p] in _CELLS or names[p] in _TABLE
+    reaches = lambda p: sure(p) or score[p] >= THRESHOLD * score[root] if inside[p] else mean(p) >= THRESHOLD_OUTSIDE * score[root]
     # A heading of the article stays also where it is a link, as titles often are.
     title = lambda p: inside[p] and names[root] in _MAIN and names[p] in _HEADINGS
     keep = [count[p] and reaches(p) and (unlinked[p] or title(p)) for p in range(n)]

@@ -43,6 +43,9 @@ PAGES = {
     "an article called a teaser": (f'<body><article class="teaser">{P}</article></body>', TEXT),
     "documentation": (f'<body><div role="navigation">{NAV}</div><main><h1 id="install">Install</h1>{P}<pre>pip  list</pre><h2 id="menu">Menu</h2><p>{MORE}</p></main></body>', f"Install\n{TEXT}\npip list\nMenu\n{MORE}"),
     "misnested inline elements": (f"<article><b>{P}<div></b><p>{LONG}</p></div></article>", f"{TEXT}\n{LONG}"),
+    "a separator in a bare container": (f'<body><div id="page"><div class="text">{P * 2}<div class="sep">|</div>{P}</div></div></body>', "\n".join([TEXT] * 3)),
+    "a short cell beside long text": (f'<body><div id="page"><div class="text">{P * 2}<table><tr><td>7</td></tr></table>{P}</div></div></body>', f"{TEXT}\n{TEXT}\n7\n{TEXT}"),
+    "a separator in an article": (f'<article>{P}<div class="sep">|</div>{P}</article>', f"{TEXT}\n|\n{TEXT}"),
     "a paragraph in a cell": (f"<article><p>{LONG}<table><tr><td><p>{MORE}<p>{LONG}</table></article>", f"{LONG}\n{MORE}\n{LONG}"),
 }
 
