@@ -26,6 +26,7 @@ from riskloom.storage import BROADCAST_ROWS, materialize
 
 HOT_ROWS = 5_000_000
 SLICE_ROWS = 2_000_000
+FEW_SLICES = 1_000  # more only where slices would be larger than SLICE_ROWS: bounds are sampled and tasks booked on the driver
 MAX_SLICES = 50_000  # beyond it slices grow instead, to keep the exchange's bookkeeping small
 _SECOND = 1_000_000
 
@@ -35,6 +36,12 @@ def sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
+def slices_for(rows: int, slice_rows: int) -> int:
+    """Slices of about ``slice_rows`` rows; beyond FEW_SLICES they grow up to SLICE_ROWS rows before there are more."""
+    asked = ceil(rows / slice_rows)
+    return min(MAX_SLICES, max(1, min(asked, max(FEW_SLICES, ceil(rows / SLICE_ROWS)))))
+
+
 def hot_keys(df: DataFrame, key: str, limit: int) -> tuple[DataFrame | None, int, int]:
     """Keys with more than ``limit`` rows as a table, how many, and their rows.
     Counting is one map-side combined pass over the key column."""
@@ -75,7 +82,7 @@ def with_history(
         return out if attributes is None else out.join(attributes, key)
     heavy = sized(heavy, n_heavy)
     calm = _by_key(df.join(heavy, key, "left_anti"), **plain)
-    slices = min(MAX_SLICES, max(1, ceil(n_rows * (1 + len(frames)) / slice_rows)))
+    slices = slices_for(n_rows * (1 + len(frames)), slice_rows)
     busy = _by_slice(df.join(heavy, key, "left_semi"), slices=slices, n_keys=n_heavy, **plain)
     if attributes is not None:
         calm = calm.join(attributes, key)

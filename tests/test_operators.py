@@ -188,3 +188,10 @@ def test_one_instant_is_cut_into_slices(spark, monkeypatch):
     got = out.agg(F.min("sum_w"), F.max("sum_w"), F.min("cnt_w"), F.count_distinct("seq"), F.max("seq"), F.count_if(F.col("prev_c") != F.col("c") - 1), F.count_if(F.col("prev_c").isNull())).first()
     assert tuple(got) == (40_000, 40_000, 20_000, 20_000, 20_000, 0, 1)
     assert dict(sizes)["slices"] <= 4_000 and dict(sizes)["instants"] <= 2
+
+
+def test_slices_stay_few_until_they_are_large():
+    from riskloom.operators import history
+
+    assert [history.slices_for(n, 2_000) for n in (0, 300_000, 18_000_000, 10**10, 10**12)] == [1, 150, 1_000, 5_000, 50_000]
+    assert history.slices_for(18_000_000, history.SLICE_ROWS) == 9
