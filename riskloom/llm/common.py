@@ -42,10 +42,13 @@ def whole_rows(documents: DataFrame, name: str) -> DataFrame:
 
 
 def worker_memory(name: str) -> dict:
-    """A dictionary that lives as long as the Python worker, over many tasks.
-    Callers bound its size."""
+    """A dictionary that lives as long as the Python worker, over many tasks, until a task asks for another name: a
+    worker that goes on to another operator does not hold both. Callers bound its size."""
     home = sys.modules.setdefault("_riskloom_worker", types.ModuleType("_riskloom_worker"))
-    return home.__dict__.setdefault(name, {})
+    held = home.__dict__.setdefault("held", {})
+    for other in set(held) - {name}:
+        del held[other]
+    return held.setdefault(name, {})
 
 
 def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
@@ -56,6 +59,16 @@ def texts(batch: pa.RecordBatch, name: str = "text") -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def few_rows(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``rows`` rows, so that a worker holds copies of few texts at a time. A batch
+    without rows stays one. For operators that keep nothing between tasks: what another one kept goes."""
+    worker_memory("nothing")
+    for b in batches:
+        for at in range(0, max(1, b.num_rows), rows):
+            yield b.slice(at, rows)
+    pa.default_memory_pool().release_unused()
+
+
 _BREAK = re.compile(rb"[\x20\x09-\x0D]")
 
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import doc_columns, nulls_last, read, small, stored, text_blocks, texts, whole_rows
+from riskloom.llm.common import doc_columns, few_rows, nulls_last, read, small, stored, text_blocks, texts, whole_rows
 from riskloom.llm.components import components
 
 SHINGLE, MAX_BITS, SEED = 3, 2, 42
@@ -65,7 +65,7 @@ def _fingerprints(shingle: int, seed: int, keys: list[str]):
     schema = pa.schema([*[(k, pa.int64()) for k in keys], ("fp", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in few_rows(batches, 2_000):
             fps = np.array([simhash(t, shingle, seed) for t in texts(b)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*[b.column(k) for k in keys], pa.array(fps)], schema=schema)
 

@@ -1,12 +1,15 @@
 """Rules, SimHash, secrets, mixing, token counts, packing against brute force, over awkward documents."""
 
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 from pyspark.sql import functions as F
 
 from riskloom.llm import common, mixing, packing, rules, secrets, simhash, unigram
@@ -477,3 +480,16 @@ def test_bins_close_the_fullest():
 def test_few_open_bins_still_pack_everything(corpus):
     few = packing.pack(corpus, packing.default_tokenizer(), open_bins=2)
     assert few.agg(F.sum("length")).first()[0] == packing.pack(corpus, packing.default_tokenizer()).agg(F.sum("length")).first()[0]
+
+
+def test_batches_in_parts_of_few_rows():
+    batch = pa.RecordBatch.from_pydict({"x": list(range(1_200))})
+    parts = list(common.few_rows(iter([batch, batch.slice(0, 0)])))
+    assert [p.num_rows for p in parts] == [500, 500, 200, 0] and parts[2].column("x").to_pylist() == list(range(1_000, 1_200))
+
+
+def test_a_worker_keeps_one_operators_memory():
+    common.worker_memory("a")["words"] = 1
+    assert common.worker_memory("a") == {"words": 1}
+    list(common.few_rows(iter([])))
+    assert common.worker_memory("a") == {}
