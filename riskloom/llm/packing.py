@@ -8,15 +8,19 @@ to a second round of the same algorithm, longest first, so that tasks do not eac
 leave a tail.
 
 Tokens come from a given tokenizer file, word by word: white space always ends a
-word there, so a worker keeps the ids of the words it has met and the tokenizer
-sees each distinct word once.
+word there, so a worker keeps the ids of the words it has met. A new word is cut
+where the tokenizer cuts it, into runs of letters, digits and runs of other
+characters, and the tokenizer sees each distinct one of these once.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -34,13 +38,19 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Leftover pieces of the first round that share a task of the second, and that task's open bins.
 SECOND_ROUND = 50_000
-#: A worker forgets its words beyond so many.
-MAX_WORDS = 600_000
-#: New words of letters that are encoded in one line; bytes of text whose words are looked up together, and from which
+#: Bytes of words, and as many of their parts, that a worker keeps; what an entry takes beside its letters and ids.
+WORD_BYTES, _ENTRY = 96 << 20, 160
+#: New parts of words that are encoded in one line; bytes of text whose words are looked up together, and from which
 #: a text is taken block by block.
 TOGETHER, GROUP, LONG = 2_000, 1 << 19, 4 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long, open boolean"
+#: How the tokenizer cuts a text, and the same for a word in lower case whose characters beyond ASCII are letters.
+_CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_CUT = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xFF]+|[0-9]|[!-/:-@\[-`{-~]+")
+#: What such words have none of: control characters and those from U+0500 on.
+_OTHER = re.compile(rb"[\x00-\x20\x7F\xD4-\xFF]")
+_ASCII = re.compile(r"[\x00-\x7F]+")
 _ASCII_END = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 _POINTS = b".,;:!?"
 
@@ -88,6 +98,36 @@ class Bins:
                 yield number, self.capacity - free, items
 
 
+class Recent:
+    """Ids by word in at most ``most`` bytes and what one group of texts adds: two halves, of which the older goes when
+    the other is full. Words that are met again move to the newer one."""
+
+    def __init__(self, most: int):
+        self.most, self.held = most, 0
+        self.ids: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+
+    def turn(self) -> None:
+        if self.held > self.most // 2:
+            self.ids, self.older, self.held = {}, self.ids, 0
+
+    def missing(self, words: set[bytes]) -> set[bytes]:
+        """Those of the words that are not known; the others are in ``ids`` now."""
+        new = words.difference(self.ids)
+        again = {w: self.older[w] for w in new if w in self.older}
+        self.add(again)
+        return new.difference(again)
+
+    def add(self, found: dict[bytes, bytes]) -> None:
+        self.ids.update(found)
+        self.held += _ENTRY * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
+
+
+def _letters(word: str) -> bool:
+    """Whether the characters beyond ASCII are letters to the tokenizer, which composes and lower-cases them."""
+    return unicodedata.is_normalized("NFC", word) and _ASCII.sub("", word.lower()).isalpha()
+
+
 def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
     """Ids of documents' words, as little-endian unsigned 32-bit numbers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -97,44 +137,56 @@ def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
     if "tokenizer" not in memory:
         made = Tokenizer.from_str(spec)
         mark, ends = json.loads(spec)["model"].get("end_of_word_suffix"), None
-        if mark:  # ids that end a word: words of letters can be encoded in one line and told apart again
+        if mark:  # ids that end a part: parts can be encoded in one line and told apart again
             ends = np.zeros(made.get_vocab_size(), bool)
             ends[[i for piece, i in made.get_vocab().items() if piece.endswith(mark)]] = True
-        memory.update(tokenizer=made, words={}, stems={}, ends=ends)
-    tokenizer, known, stems, word_ends = (memory[k] for k in ("tokenizer", "words", "stems", "ends"))
-
-    def parts(word: bytes) -> tuple[bytes, bytes]:
-        """A word as the tokenizer sees it: lower case, and full stops apart where they are a piece of their own."""
+        steps = (json.loads(spec).get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        cuts = steps[0].get("pattern") == {"Regex": _CUT}
+        memory.update(tokenizer=made, words=Recent(WORD_BYTES), parts=Recent(WORD_BYTES), ends=ends, cuts=cuts)
+    tokenizer, known, stems, part_ends, cuts = (memory[k] for k in ("tokenizer", "words", "parts", "ends", "cuts"))
+    model = tokenizer.model
+
+    def parts(word: bytes) -> list[bytes]:
+        """A word as the tokenizer cuts it, in lower case; one with unusual characters as it is, but for full stops that
+        are a piece of their own."""
         if b"<|" in word:  # may hold a special token, which is matched before lower-casing
-            return word, b""
-        word = word.lower()
+            return [word]
+        low = word.lower()
+        if cuts and low.isalpha():
+            return [low]
+        if cuts and not _OTHER.search(low) and (low.isascii() or _letters(low.decode("utf-8"))):
+            return _WORD_CUT.findall(low)
         stem = word.rstrip(_POINTS)
-        return (stem, word[len(stem) :]) if stem and stem[-1] in _ASCII_END else (word, b"")
-
-    def learn(words: set[bytes]) -> None:
-        cut = {w: parts(w) for w in words}
-        new = {p: p.decode("utf-8") for pair in cut.values() for p in pair if p and p not in stems}
-        letters = [s for s, t in new.items() if word_ends is not None and t.isalpha()]
+        return [stem, word[len(stem) :]] if stem and stem[-1] in _ASCII_END and len(stem) < len(word) else [word]
+
+    def encoded(new: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of parts: of those of ASCII from the model itself, as there is nothing to cut or to change in them."""
+        whole = [s for s in new if cuts and s.isascii() and _WORD_CUT.fullmatch(s)]
+        done = {s: array("I", [t.id for t in model.tokenize(s.decode("ascii"))]).tobytes() for s in whole}
+        left = {s: s.decode("utf-8") for s in new if s not in done}
+        letters = [s for s, t in left.items() if part_ends is not None and t.isalpha()]
         for i in range(0, len(letters), TOGETHER):
             some = letters[i : i + TOGETHER]
-            line = tokenizer.encode_batch_fast([" ".join(new[s] for s in some)], add_special_tokens=False)[0].ids
+            line = tokenizer.encode_batch_fast([" ".join(left[s] for s in some)], add_special_tokens=False)[0].ids
             line = np.array(line, dtype="<u4")
-            ends = 4 * (np.flatnonzero(word_ends[line]) + 1)
-            if len(ends) == len(some):  # else some word is more than one to the tokenizer
+            ends = 4 * (np.flatnonzero(part_ends[line]) + 1)
+            if len(ends) == len(some):  # else some part is more than one to the tokenizer
                 raw = line.tobytes()
-                stems.update((s, raw[a:b]) for s, a, b in zip(some, [0, *ends.tolist()], ends.tolist(), strict=False))
-        rest = [(s, t) for s, t in new.items() if s not in stems]
+                done.update((s, raw[a:b]) for s, a, b in zip(some, [0, *ends.tolist()], ends.tolist(), strict=False))
+        rest = [(s, t) for s, t in left.items() if s not in done]
         coded = tokenizer.encode_batch_fast([t for _, t in rest], add_special_tokens=False) if rest else []
-        stems.update((s, np.array(e.ids, dtype="<u4").tobytes()) for (s, _), e in zip(rest, coded, strict=True))
-        known.update((w, stems[a] + stems[b] if b else stems[a]) for w, (a, b) in cut.items())
+        done.update((s, np.array(e.ids, dtype="<u4").tobytes()) for (s, _), e in zip(rest, coded, strict=True))
+        return done
 
     def ids(lists: list[list[bytes]]) -> list[bytes]:
-        if max(len(known), len(stems)) > MAX_WORDS:
-            known.clear()
-            stems.clear()
-        if new := set().union(*lists).difference(known):
-            learn(new)
-        return [b"".join(map(known.__getitem__, words)) for words in lists]
+        known.turn()
+        stems.turn()
+        if new := known.missing(set().union(*lists)):
+            cut = {w: parts(w) for w in new}
+            stems.add(encoded(stems.missing(set().union(*cut.values()))))
+            of = stems.ids
+            known.add({w: of[p[0]] if len(p) == 1 else b"".join([of[x] for x in p]) for w, p in cut.items()})
+        return [b"".join(map(known.ids.__getitem__, words)) for words in lists]
 
     return ids
 

@@ -482,6 +482,32 @@ def test_few_open_bins_still_pack_everything(corpus):
     assert few.agg(F.sum("length")).first()[0] == packing.pack(corpus, packing.default_tokenizer()).agg(F.sum("length")).first()[0]
 
 
+def test_words_are_cut_as_the_tokenizer_cuts_them(monkeypatch):
+    path = packing.default_tokenizer()
+    made, spec = Tokenizer.from_file(path), open(path, encoding="utf-8").read()
+    rnd = random.Random(7)
+    signs = "abcsStTdDmMrReEvVlL\'\'..,,!?-_<|>$%&09é0ÉßİıŁʼΩσΣжЖ\u0301\u0344²½ªºKक\u093c你😀\u200b\x7f\u0345“”"
+    words = ["".join(rnd.choice(signs) for _ in range(rnd.randint(1, 9))).encode() for _ in range(8_000)] + [b"T\xcd\x84", b"<|endoftext|>x"]
+    monkeypatch.setattr(packing, "WORD_BYTES", 200_000)  # half of the words at most
+    ids = packing.word_ids(spec + "\n")
+    for _ in range(2):
+        for at in range(0, len(words), 500):
+            some = [[w] for w in words[at : at + 500]]
+            want = [np.array(made.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes() for [w] in some]
+            assert ids(some) == want
+
+
+def test_recent_words_are_bounded_and_the_used_ones_stay():
+    known, used = packing.Recent(100_000), b"used"
+    learnt = 0
+    for i in range(20):
+        known.turn()
+        new = known.missing({used, *(b"%d-%d" % (i, k) for k in range(100))})
+        learnt += used in new
+        known.add({w: b"1234" for w in new})
+    assert learnt == 1 and len(known.ids) + len(known.older) < 1_000
+
+
 def test_batches_in_parts_of_few_rows():
     batch = pa.RecordBatch.from_pydict({"x": list(range(1_200))})
     parts = list(common.few_rows(iter([batch, batch.slice(0, 0)])))
