@@ -7,10 +7,10 @@ is left, the fullest closes. The pieces of bins still open at a task's end go on
 to a second round of the same algorithm, longest first, so that tasks do not each
 leave a tail.
 
-Tokens come from a given tokenizer file, word by word: white space always ends a
-word there, so a worker keeps the ids of the words it has met. A new word is cut
-where the tokenizer cuts it, into runs of letters, digits and runs of other
-characters, and the tokenizer sees each distinct one of these once.
+Tokens come from a given tokenizer file. A group of texts is cut at once where the
+tokenizer cuts: at white space, which always ends a word there, and into runs of
+letters, digits and runs of other characters. The group's distinct parts are looked
+up among those that a worker remembers, and the tokenizer sees only new ones.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import string
 import unicodedata
 import zlib
 from array import array
@@ -38,21 +39,38 @@ END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Leftover pieces of the first round that share a task of the second, and that task's open bins.
 SECOND_ROUND = 50_000
-#: Bytes of words, and as many of their parts, that a worker keeps; what an entry takes beside its letters and ids.
-WORD_BYTES, _ENTRY = 96 << 20, 160
-#: New parts of words that are encoded in one line; bytes of text whose words are looked up together, and from which
-#: a text is taken block by block.
-TOGETHER, GROUP, LONG = 2_000, 1 << 19, 4 << 20
+#: Bytes of parts of words that a worker keeps; what an entry takes beside its letters and ids.
+WORD_BYTES, _ENTRY = 160 << 20, 160
+#: New parts of words that are encoded in one line; bytes of text whose parts are looked up together, beyond which a
+#: text is taken block by block.
+TOGETHER, GROUP = 2_000, 2 << 20
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, bin long, offset long, fill long, open boolean"
 #: How the tokenizer cuts a text, and the same for a word in lower case whose characters beyond ASCII are letters.
 _CUT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _WORD_CUT = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z\x80-\xFF]+|[0-9]|[!-/:-@\[-`{-~]+")
-#: What such words have none of: control characters and those from U+0500 on.
-_OTHER = re.compile(rb"[\x00-\x20\x7F\xD4-\xFF]")
-_ASCII = re.compile(r"[\x00-\x7F]+")
-_ASCII_END = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
-_POINTS = b".,;:!?"
+_WHITE = b" \t\n\v\f\r"
+_SPACE, _LETTER, _DIGIT, _SIGN, _ODD = range(5)
+#: Characters of two bytes that are taken for letters, and what makes a word odd among them: those that are none, do
+#: not stay as they are in NFC or one letter in lower case, and the beginning of a special token.
+_TWO_BYTES = [chr(c) for c in [*range(0xC0, 0x2C0), *range(0x380, 0x500)]]
+_ODD_PAIRS = [c.encode() for c in _TWO_BYTES if not ((c + c.lower()).isalpha() and unicodedata.is_normalized("NFC", c))] + [b"<|"]
+
+
+def _kinds() -> bytes:
+    kinds = bytearray([_ODD]) * 256
+    for of, kind in (
+        (_WHITE, _SPACE),
+        (string.ascii_letters.encode() + bytes(range(0x80, 0xC0)) + bytes(c.encode()[0] for c in _TWO_BYTES), _LETTER),
+        (string.digits.encode(), _DIGIT),
+        (string.punctuation.encode(), _SIGN),
+    ):
+        for byte in of:
+            kinds[byte] = kind
+    return bytes(kinds)
+
+
+_KINDS = _kinds()
 
 
 class Bins:
@@ -123,13 +141,44 @@ class Recent:
         self.held += _ENTRY * len(found) + sum(map(len, found)) + sum(map(len, found.values()))
 
 
-def _letters(word: str) -> bool:
-    """Whether the characters beyond ASCII are letters to the tokenizer, which composes and lower-cases them."""
-    return unicodedata.is_normalized("NFC", word) and _ASCII.sub("", word.lower()).isalpha()
-
-
-def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
-    """Ids of documents' words, as little-endian unsigned 32-bit numbers."""
+def _cut(text: bytes, cuts: bool) -> tuple[np.ndarray, pa.BinaryArray]:
+    """The parts of a text that ends in three spaces, and where they begin. With ``cuts`` words are put into lower case
+    and cut as the tokenizer does it, but for odd words, which may compose or hold unusual characters: those stay as
+    they are. Else parts are words."""
+    held = bytearray(text.lower() if cuts else text)
+    at, kinds = np.frombuffer(held, np.uint8), np.frombuffer(held.translate(_KINDS), np.uint8)
+    inside, before = kinds != _SPACE, np.empty_like(kinds)
+    before[:1], before[1:] = _SPACE, kinds[:-1]
+    words = inside & (before == _SPACE)
+    begins = words
+    if cuts:
+        begins = inside & ((kinds != before) | (kinds == _DIGIT))
+        marks = np.flatnonzero((at == ord("'")) & (before != _SIGN))
+        one, two = at[marks + 1], at[marks + 2]
+        size = np.where(np.isin(one, list(b"stmd")), 2, 0)
+        for a, b in (b"re", b"ve", b"ll"):
+            size[(one == a) & (two == b)] = 3
+        marks, size = marks[size > 0], size[size > 0]
+        begins[marks + 1] = False
+        begins[marks + size] = inside[marks + size]
+        odd = [np.flatnonzero(kinds == _ODD)]
+        pairs = [p for p in _ODD_PAIRS if p[0] in text and p in text]
+        odd += [np.array([m.start() for m in re.finditer(re.escape(p), text)], int) for p in pairs]
+        odd = np.concatenate(odd)
+        if len(odd):
+            first, gaps = np.flatnonzero(words), np.flatnonzero(~inside)
+            first = first[np.unique(np.searchsorted(first, odd, "right") - 1)]
+            for a, b in zip(first.tolist(), gaps[np.searchsorted(gaps, first)].tolist(), strict=True):
+                begins[a + 1 : b] = False
+                held[a:b] = text[a:b]
+    letters = bytes(held.translate(None, _WHITE))
+    offsets = np.append(np.flatnonzero(begins[inside]), len(letters)).astype(np.int32)
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
+    return np.flatnonzero(begins), pa.Array.from_buffers(pa.binary(), len(offsets) - 1, buffers)
+
+
+def text_ids(spec: str) -> Callable[[list[bytes]], list[bytes]]:
+    """Ids of texts, as little-endian unsigned 32-bit numbers."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -142,26 +191,13 @@ def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
             ends[[i for piece, i in made.get_vocab().items() if piece.endswith(mark)]] = True
         steps = (json.loads(spec).get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         cuts = steps[0].get("pattern") == {"Regex": _CUT}
-        memory.update(tokenizer=made, words=Recent(WORD_BYTES), parts=Recent(WORD_BYTES), ends=ends, cuts=cuts)
-    tokenizer, known, stems, part_ends, cuts = (memory[k] for k in ("tokenizer", "words", "parts", "ends", "cuts"))
+        memory.update(tokenizer=made, parts=Recent(WORD_BYTES), ends=ends, cuts=cuts)
+    tokenizer, known, part_ends, cuts = (memory[k] for k in ("tokenizer", "parts", "ends", "cuts"))
     model = tokenizer.model
 
-    def parts(word: bytes) -> list[bytes]:
-        """A word as the tokenizer cuts it, in lower case; one with unusual characters as it is, but for full stops that
-        are a piece of their own."""
-        if b"<|" in word:  # may hold a special token, which is matched before lower-casing
-            return [word]
-        low = word.lower()
-        if cuts and low.isalpha():
-            return [low]
-        if cuts and not _OTHER.search(low) and (low.isascii() or _letters(low.decode("utf-8"))):
-            return _WORD_CUT.findall(low)
-        stem = word.rstrip(_POINTS)
-        return [stem, word[len(stem) :]] if stem and stem[-1] in _ASCII_END and len(stem) < len(word) else [word]
-
     def encoded(new: set[bytes]) -> dict[bytes, bytes]:
         """Ids of parts: of those of ASCII from the model itself, as there is nothing to cut or to change in them."""
-        whole = [s for s in new if cuts and s.isascii() and _WORD_CUT.fullmatch(s)]
+        whole = [s for s in new if cuts and (s.isalpha() or s.isascii() and _WORD_CUT.fullmatch(s))]
         done = {s: array("I", [t.id for t in model.tokenize(s.decode("ascii"))]).tobytes() for s in whole}
         left = {s: s.decode("utf-8") for s in new if s not in done}
         letters = [s for s, t in left.items() if part_ends is not None and t.isalpha()]
@@ -178,31 +214,44 @@ def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
         done.update((s, np.array(e.ids, dtype="<u4").tobytes()) for (s, _), e in zip(rest, coded, strict=True))
         return done
 
-    def ids(lists: list[list[bytes]]) -> list[bytes]:
+    def ids(texts: list[bytes]) -> list[bytes]:
+        begins, parts = _cut(b" ".join(texts) + b"   ", cuts)
+        parts = parts.dictionary_encode()
+        distinct, index = parts.dictionary.to_numpy(zero_copy_only=False).tolist(), parts.indices.to_numpy()
         known.turn()
-        stems.turn()
-        if new := known.missing(set().union(*lists)):
-            cut = {w: parts(w) for w in new}
-            stems.add(encoded(stems.missing(set().union(*cut.values()))))
-            of = stems.ids
-            known.add({w: of[p[0]] if len(p) == 1 else b"".join([of[x] for x in p]) for w, p in cut.items()})
-        return [b"".join(map(known.ids.__getitem__, words)) for words in lists]
+        known.add(encoded(known.missing(set(distinct))))
+        found = [known.ids[p] for p in distinct]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        counts = sizes[index]
+        ends = np.append(0, np.cumsum(counts))
+        # the ids of a part stand together in ``joined``: those of all parts in order of the text
+        joined, first = np.frombuffer(b"".join(found), dtype="<u4"), np.cumsum(sizes) - sizes
+        raw = joined[np.repeat(first[index] - ends[:-1], counts) + np.arange(ends[-1])].tobytes()
+        edges = np.append(0, np.cumsum([len(t) + 1 for t in texts], dtype=np.int64))
+        cut = (4 * ends[np.searchsorted(begins, edges)]).tolist()
+        return [raw[a:b] for a, b in zip(cut, cut[1:], strict=False)]
 
     return ids
 
 
+def word_ids(spec: str) -> Callable[[list[list[bytes]]], list[bytes]]:
+    """``text_ids`` of documents that are given as lists of words."""
+    ids = text_ids(spec)
+    return lambda lists: ids([b" ".join(words) for words in lists])
+
+
 def token_ids(spark: SparkSession, tokenizer: str) -> Callable[[], Callable[[list[bytes]], list[bytes]]]:
     """What workers call to get texts -> ids; the tokenizer file travels to them once."""
     with open(tokenizer, encoding="utf-8") as f:
         shared = spark.sparkContext.broadcast(f.read())
 
     def make() -> Callable[[list[bytes]], list[bytes]]:
-        ids = word_ids(shared.value)
+        ids = text_ids(shared.value)
 
         def coded(texts: list[bytes]) -> list[bytes]:
-            if sum(map(len, texts)) > LONG:
-                return [b"".join(ids([block.split()])[0] for block in text_blocks(t)) for t in texts]
-            return ids([t.split() for t in texts])
+            if sum(map(len, texts)) > GROUP:
+                return [b"".join(ids([block])[0] for block in text_blocks(t, GROUP)) for t in texts]
+            return ids(texts)
 
         return coded
 

@@ -497,6 +497,35 @@ def test_words_are_cut_as_the_tokenizer_cuts_them(monkeypatch):
             assert ids(some) == want
 
 
+def test_texts_are_cut_as_the_tokenizer_cuts_them(spark, monkeypatch):
+    path = packing.default_tokenizer()
+    made = Tokenizer.from_file(path)
+    rnd = random.Random(11)
+    bits = ["it's", "IT'LL", "'re'Ve''d", "o'stop'", "l'\u00e9t\u00e9", "12a3", "!'s", "caf\u00e9%%%", "\u00c9\u00d7\u00f7", "\u0130x", "\u00dfx.", "\u0416\u0439!"]
+    bits += ["T\u0344", "e\u0301.", "\u4e2d\u6587", "<|endoftext|>X", "<|EndOfText|>", "a\x7fB", "a\u00a0B", "\u00b2\u00bd9", "\u01c5\u02bc", "\u039b\u03cc\u03b3\u039f\u03a3's.", "\u0387\u03f6", "\u0490\u0491,\u0482", "\u0418\u0306\u0483", "x" * 300]
+    gaps = [" ", "  ", "\n", "\t\r\n", "\v", "\f "]
+    signs = "".join(bits[:-1])
+    made_up = lambda: "".join(rnd.choice(signs) for _ in range(rnd.randint(1, 6)))
+    texts = ["", " ", "'", "'s", "x'", "x're", "\n'll "]
+    texts += ["".join(rnd.choice(gaps) * rnd.randint(0, 1) + (rnd.choice(bits) if rnd.random() < 0.5 else made_up()) for _ in range(rnd.randint(1, 40))) for _ in range(3_000)]
+    want = [np.array(made.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    raw = [t.encode() for t in texts]
+    monkeypatch.setattr(packing, "GROUP", 3_000)  # the same call also takes texts block by block
+    for step in (len(raw), 7, 1):
+        ids = packing.token_ids(spark, path)()
+        assert [x for at in range(0, len(raw), step) for x in ids(raw[at : at + step])] == want
+    assert ids([b"", b""]) == [b"", b""] and ids([]) == []
+
+
+def test_words_that_differ_in_case_and_signs_are_known_by_their_parts():
+    spec = open(packing.default_tokenizer(), encoding="utf-8").read() + " \n"
+    stems, signs = [f"{a}{b}olu" for a in "bcdfg" for b in "aeiou"], [".", ",", "%%%", '"', ";)"]
+    words = [before + s + after for s in [*stems, *map(str.title, stems), *map(str.upper, stems)] for before in ["", *signs] for after in ["", *signs]]
+    packing.word_ids(spec)([[w.encode() for w in words]])
+    memory = common.worker_memory(f"packing-{zlib.crc32(spec.encode())}")
+    assert sum(len(m.ids) + len(m.older) for m in memory.values() if isinstance(m, packing.Recent)) <= len(stems) + len(signs)
+
+
 def test_recent_words_are_bounded_and_the_used_ones_stay():
     known, used = packing.Recent(100_000), b"used"
     learnt = 0
