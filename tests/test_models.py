@@ -204,6 +204,54 @@ def test_boost_goes_on_from_its_last_stored_round(spark, rows, tmp_path, monkeyp
     assert rounds[1] == 4 and got.nodes.equals(want.nodes) and got.params == want.params
 
 
+def test_columns_of_few_bins_share_bytes():
+    bins = [256, 2, 24, 1, 7, 2, 100, 2, 256, 2]
+    shared = boost.shared_bytes(bins)
+    assert sorted(c for columns in shared for c, _, _ in columns) == list(range(len(bins))) and len(shared) == 5
+    rows = np.random.default_rng(5).integers(0, bins, (200, len(bins)))
+    for columns in shared:
+        code = sum(rows[:, c] * step for c, step, _ in columns if bins[c] > 1)
+        assert np.all(code < 256) and all((code // step % n == rows[:, c]).all() for c, step, n in columns)
+
+
+@pytest.mark.parametrize("direct", [32, 0])
+def test_boost_over_many_folders_stores_rows_once(spark, rows, monkeypatch, direct):
+    """However many tasks hold the rows; without a state, trees do not write the rows and margins again."""
+    fit = lambda: boost.fit_boost(rows, rows, COLUMNS, "y", "id", max_trees=5, learning_rate=0.3)
+    want = fit()
+    real, written = boost.scratch_path, []
+    monkeypatch.setattr(boost, "scratch_path", lambda spark, name: written.append(name) or real(spark, name))
+    for name, value in (("STORE_EVERY", 2), ("_TASK_ROWS", 1), ("_MOST_ROWS", 400), ("_BLOCK", 50), ("_DIRECT", direct)):
+        monkeypatch.setattr(boost, name, value)
+    assert fit().nodes.equals(want.nodes) and written.count("boost-rows") == 1
+
+
+def test_boost_goes_on_without_its_folders(spark, rows, monkeypatch):
+    """Rows on the executors' disks may go at any time, with their executor."""
+    import os
+    import shutil
+    from pathlib import Path
+
+    fit = lambda: boost.fit_boost(rows, rows, COLUMNS, "y", "id", max_trees=5, learning_rate=0.3)
+    want = fit()
+    homes = spark.sparkContext.range(1).map(lambda _: os.environ["SPARK_LOCAL_DIRS"]).first().split(",")
+    real, calls, gone = boost.best_split, [], []
+
+    def lost(hist, sizes, columns):
+        calls.append(0)
+        if len(calls) in (20, 45):
+            found = [folder for home in homes for folder in Path(home).glob("boost-*")]
+            gone.append(len(found))
+            for folder in found:
+                shutil.rmtree(folder)
+        return real(hist, sizes, columns)
+
+    monkeypatch.setattr(boost, "best_split", lost)
+    got = fit()
+    assert got.nodes.equals(want.nodes) and got.params == want.params and len(gone) == 2 and min(gone) > 0
+    assert not any([*Path(home).glob("boost-*")] for home in homes)
+
+
 @pytest.mark.parametrize("parts", [1, 9])
 def test_quantile_summaries(spark, parts):
     from riskloom.models import quantiles
