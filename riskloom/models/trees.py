@@ -70,16 +70,23 @@ class Ensemble:
 
 
 def leaf_values(trees: Sequence[dict[str, np.ndarray | int]], x: np.ndarray) -> np.ndarray:
-    """(trees, rows) leaf values of a C-ordered (rows, features) block."""
-    flat = np.ascontiguousarray(x, dtype=float).reshape(-1)
-    start = np.arange(len(x), dtype=np.int64) * x.shape[1]
-    out = np.empty((len(trees), len(x)))
+    """(trees, rows) leaf values of a (rows, features) block; one stored by features is not copied. Steps write into
+    the same few arrays, which stay in cache; all positions are within bounds, so ``clip`` only spares a check."""
+    rows = len(x)
+    flat, row = np.ascontiguousarray(x.T, dtype=float).reshape(-1), np.arange(rows, dtype=np.int64)
+    at, place, right = np.empty(rows, np.int64), np.empty(rows, np.int64), np.empty(rows, bool)
+    value, threshold = np.empty(rows), np.empty(rows)
+    out = np.empty((len(trees), rows))
     for k, tree in enumerate(trees):
-        at = np.zeros(len(x), dtype=np.int64)
-        for _ in range(tree["depth"]):
-            value = flat.take(start + tree["feature"].take(at))
-            at = tree["child"].take(at) + (value > tree["threshold"].take(at))
-        out[k] = tree["value"].take(at)
+        start = tree["feature"] * rows
+        at[:] = 0
+        for _ in range(tree["depth"] if rows else 0):
+            np.add(start.take(at, out=place, mode="clip"), row, out=place)
+            flat.take(place, out=value, mode="clip")
+            tree["threshold"].take(at, out=threshold, mode="clip")
+            np.greater(value, threshold, out=right)
+            np.add(tree["child"].take(at, out=place, mode="clip"), right, out=at)
+        tree["value"].take(at, out=out[k], mode="clip")
     return out
 
 
@@ -99,7 +106,7 @@ def score_column(
     def score(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
         arrays = shared.value
         for batch in batches:
-            x = np.column_stack([c.to_numpy(dtype=float) for c in batch])
+            x = np.array([c.to_numpy(dtype=float) for c in batch]).T
             parts = [combine(leaf_values(arrays, b)) for b in blocks(x)]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 

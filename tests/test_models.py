@@ -69,6 +69,27 @@ def test_grown_tree_is_sound():
     assert len(flat) == 1 and flat["value"][0] == pytest.approx(float(forest.mean_path(8)))
 
 
+def test_leaf_values_walk_row_by_row():
+    """Also with NaN, rows stored by features, no rows, and trees of one leaf."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(400, 4))
+    x[::7, 1], x[::11, 2] = np.nan, np.inf
+    grown = [forest._grow(rng.normal(size=(n, 4)), 6, rng).assign(tree=k, gain=0.0) for k, n in enumerate((200, 1, 60))]
+    trees = Ensemble("t", ("a",) * 4, pd.concat(grown)).arrays()
+
+    def walk(nodes, row):
+        at = 0
+        while nodes["feature"][at] >= 0:
+            at = nodes["child"][at] + int(row[nodes["feature"][at]] > nodes["threshold"][at])
+        return nodes["value"][at]
+
+    want = np.array([[walk(nodes.to_dict("list"), row) for row in x] for nodes in grown])
+    by_feature = np.asfortranarray(x)
+    for given in (x, by_feature, by_feature[100:300]):
+        assert np.array_equal(leaf_values(trees, given), want[:, 100:300] if len(given) < 400 else want)
+    assert leaf_values(trees, x[:0]).shape == (3, 0)
+
+
 def test_mean_path():
     assert forest.mean_path(1) == 0 and forest.mean_path(2) == 1
     assert float(forest.mean_path(256)) == pytest.approx(10.244, abs=1e-2)
